@@ -1,12 +1,14 @@
-"""A corpus pipeline: every stage takes the documents that its predecessor kept."""
+"""A corpus pipeline: every stage takes the documents that its predecessor kept, written as Parquet and read again."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.llm import minhash, quality
-from gazetta.llm.common import table
+from gazetta.llm import decontam, langid, minhash, packing, quality
+from gazetta.llm.common import shared_dir, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +16,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that are in no language learned from the documents themselves."""
+    return langid.keep(docs, langid.train(docs))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five-word shingles, similarity 0.8 or more).
 
@@ -24,4 +31,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.select("_row.*").unionByName(docs.where("doc_id is null"))
 
 
-STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents with a passage of the benchmark."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into bins; one row for each piece of a document."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("language", language), ("near_dedup", near_dedup), ("decontamination", decontamination), ("best_fit_packing", best_fit_packing)]
+
+#: The trees, the language model, the banding and the packing have no equal in SQL; the tests hold run() against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of sf_dir; what each returns is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazetta.llm import minhash, quality, shard
+from gazetta.llm import decontam, html, langid, licenses, minhash, packing, quality, shard, toxicity, urlrules
 from gazetta.llm.common import table
 
 
@@ -23,10 +23,49 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the chain flags; toxicity.score gives the probabilities of all."""
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels"))).where("toxic")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return langid.identify(documents, langid.train(documents))
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlrules.judge(pages, urlrules.mine(urlrules.labelled(pages, table(spark, sf_dir, "labels"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
     "op3_minhash": op3_minhash,
+    "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
+    "op6_licenses": op6_licenses,
+    "op7_html": op7_html,
+    "op8_decontamination": op8_decontamination,
+    "op9_langid": op9_langid,
+    "op10_urls": op10_urls,
 }
 
 _UNIT = "((('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '#{s}'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)"
@@ -52,7 +91,39 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
 FROM placed
 """
 
+_HOST = "translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP10_SQL = rf"""
+WITH parsed AS (
+    SELECT page_id, coalesce(url, '') AS url, {_HOST} AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(url, ''), '://(.*)$', 1) AS rest FROM pages
+), tokened AS (
+    SELECT *, list_filter([
+        's:' || regexp_extract(url, '^([a-zA-Z]+)://', 1), 't:' || regexp_extract(host, '([^.]+)$', 1), 'd:' || regexp_extract(host, '([^.]+[.][^.]+)$', 1), 'h:' || host,
+        'w:' || regexp_extract(host, '^([^.]+)[.][^.]+[.]', 1), 'p:' || regexp_replace(regexp_extract(path, '^/([^/]+)', 1), '[0-9]+', '#', 'g'), 'x:' || regexp_extract(path, '[.]([A-Za-z0-9]+)$', 1),
+        'q:' || regexp_replace(regexp_extract(rest, '[?]([^#]+)', 1), '=[^&]*', '', 'g'), 'f:' || CASE WHEN contains(rest, '#') THEN '#' ELSE '' END], lambda x: len(x) > 2) AS tokens
+    FROM parsed
+), subsets AS (
+    SELECT DISTINCT tokens, list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS part
+    FROM (SELECT DISTINCT tokens, unnest(range(1, 1 << len(tokens))) AS mask FROM (SELECT DISTINCT tokens FROM tokened))
+), marks AS (
+    SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id
+), labelled AS (
+    SELECT tokens, bad FROM tokened JOIN marks ON try_cast(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT) = doc_id
+), rules AS (
+    SELECT part FROM labelled JOIN subsets USING (tokens)
+    GROUP BY part HAVING count(*) FILTER (bad) >= ceil(0.005 * (SELECT count(*) FROM labelled)) AND count(*) FILTER (bad) >= 0.6 * count(*)
+), blocked AS (
+    SELECT DISTINCT tokens FROM subsets JOIN rules USING (part)
+), listed AS (
+    SELECT t.*, b.tokens IS NOT NULL AS hit, (SELECT arg_max((r.h || r.p, r.v), length(r.h || r.p)) FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) r(v, h, p)
+        WHERE (t.host = r.h OR ends_with(t.host, '.' || r.h)) AND starts_with(t.path, r.p)) AS best
+    FROM tokened t LEFT JOIN blocked b ON t.tokens = b.tokens
+)
+SELECT page_id, host, path, best[1] AS rule, coalesce(best[2], CASE WHEN hit THEN 'block' ELSE 'allow' END) AS verdict FROM listed
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_urls": OP10_SQL,
     "op2_sharding": OP2_SQL,
     "op3_minhash": r"""
 WITH RECURSIVE tokens AS (
