@@ -51,23 +51,27 @@ def with_bias(x: np.ndarray) -> np.ndarray:
     return np.hstack([x, np.ones((len(x), 1), x.dtype)])
 
 
-def linear(x: np.ndarray, y: np.ndarray, steps: int = 150, l2: float = 0.3) -> np.ndarray:
-    """L2-regularised logistic regression by accelerated gradient steps; the bias (last) is not penalised."""
+def linear(x: np.ndarray, y: np.ndarray, steps: int = 300, l2: float = 0.02) -> np.ndarray:
+    """L2-regularised logistic regression by accelerated gradient steps; the bias (last) is not penalised.
+
+    Columns are scaled to unit length for the steps, so rare features move as fast as common ones.
+    """
     x = with_bias(x)
-    w = v = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], l2)
-    penalty[-1] = 1e-3
-    probe = np.ones(x.shape[1])
+    scale = np.sqrt(np.maximum((x * x).sum(axis=0), 1.0))
+    x = x / scale
+    penalty = np.append(np.full(x.shape[1] - 1, l2), 1e-3) / scale**2
+    probe = np.ones(x.shape[1], x.dtype)
     for _ in range(12):  # largest curvature by power iteration
         probe = x.T @ (x @ probe)
         probe /= max(np.linalg.norm(probe), 1e-12)
-    rate = 1 / (0.25 * np.linalg.norm(x.T @ (x @ probe)) * 1.1 + l2)
+    rate = 1 / (0.25 * np.linalg.norm(x.T @ (x @ probe)) * 1.1 + penalty.max())
+    w = v = np.zeros(x.shape[1], x.dtype)
     for k in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ v, -40, 40)))
-        new = v - rate * (x.T @ (p - y) + penalty * v)
-        v = new + k / (k + 3) * (new - w)
+        new = (v - rate * (x.T @ (p - y) + penalty * v)).astype(x.dtype)
+        v = new + np.float32(k / (k + 3)) * (new - w)
         w = new
-    return w
+    return w / scale
 
 
 def predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -76,6 +80,7 @@ def predict(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray, names: tuple[str, ...], index: dict[str, int]) -> Chain:
     """x: (rows, features) 0 or 1; y: (rows, categories); fold: of each row."""
+    y = y.astype(x.dtype)
     weights, given, last = [], x, np.zeros(len(x))
     for k in range(y.shape[1]):
         out = np.zeros(len(x))
@@ -89,7 +94,9 @@ def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray, names: tuple[str, ...],
     order = np.argsort(-last, kind="stable")
     hits = np.cumsum(y[order, -1])
     f1 = 2 * hits / (np.arange(1, len(order) + 1) + max(y[:, -1].sum(), 1))
-    return Chain(names, index, weights, float(np.clip(last[order][f1.argmax()] if len(order) else 0.5, 0.3, 0.7)))
+    cut = int(f1.argmax())
+    threshold = (last[order][cut] + last[order][min(cut + 1, len(order) - 1)]) / 2  # between the last text to flag and the next
+    return Chain(names, index, weights, float(np.clip(threshold, 0.1, 0.7)))
 
 
 def chain_scores(chain: Chain, x: np.ndarray) -> np.ndarray:
@@ -107,7 +114,7 @@ def matrix(index: dict[str, int], features: list[set[str]]) -> np.ndarray:
     return x
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = 8_000, selected: int = 1_000) -> Chain | None:
+def train(documents: DataFrame, labels: DataFrame, rows: int = 6_000, selected: int = 700) -> Chain | None:
     """Fits on at most `rows` labelled documents and the `selected` features that tell toxic ones best. None without both classes."""
     ids = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
