@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.operators.lineage import cut
+
 
 def children_of(edges: DataFrame, parent: str, key: str = "parent_code", order: str = "code") -> DataFrame:
     return edges.where(F.col(key) == parent).orderBy(order)
@@ -32,8 +34,6 @@ def expand(edges: DataFrame, seeds: DataFrame, stop_levels: tuple[str, ...] = ()
     Nodes of the stop levels (column `level` of edges) are reached but not expanded. Every round is one join
     of the frontier with the edges; the visited set is cut from its lineage by a checkpoint where a folder is set.
     """
-    reliable = edges.sparkSession.conf.get("spark.checkpoint.dir", None)
-    cut = (lambda df: df.checkpoint()) if reliable else (lambda df: df.cache())
     open_edges = edges.where(~F.col("level").isin(*stop_levels)) if stop_levels else edges
     step = edges.select("code", "parent_code")
     may_grow = open_edges.select(F.col("code").alias("grows")).distinct()

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazetta.operators.lineage import cut
+
 
 def count_by(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("n"))
@@ -26,12 +28,17 @@ def total_counts(**tables: DataFrame) -> DataFrame:
 def exclusive_quantiles(rows: DataFrame, by: Sequence[str], value: str, cuts: dict[str, tuple[float, int]]) -> DataFrame:
     """Exact quantiles by the exclusive method, for cuts name: (p, least rows); with fewer rows the maximum. Nulls do not count.
 
-    Values are counted before the shuffle and ranked by running counts, so no group of equal values and no
-    array of all values is ever gathered; a group's distinct values are ranked in a sorted, spilling window.
+    Values are counted before the shuffle and dealt out by ranges; running counts within a range are shifted by
+    the counts of the ranges before it, one small row each. So neither equal values nor the values of a group
+    ever meet in one task.
     """
     counted = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
+    ranges = cut(counted.repartitionByRange(*by, value).withColumn("_p", F.spark_partition_id()))
+    sums = ranges.groupBy(*by, "_p").agg(F.sum("_c").alias("_s"))
     group = Window.partitionBy(*by)
-    ranked = counted.withColumn("_to", F.sum("_c").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))).withColumn("_all", F.sum("_c").over(group))
+    sums = sums.select(*by, "_p", F.coalesce(F.sum("_s").over(group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_s").over(group).alias("_all"))
+    inside = F.sum("_c").over(Window.partitionBy(*by, "_p").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranges.withColumn("_to", inside).join(sums, [*by, "_p"]).withColumn("_to", F.col("_to") + F.col("_before"))
 
     def at(place: Column) -> Column:
         return F.min(F.when(F.col("_to") >= place, F.col(value)))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazetta.operators.lineage import cut
 from gazetta.schemas import STATUSES
 
 
@@ -101,9 +102,10 @@ def numbered(rows: DataFrame, order: Sequence[str], name: str = "_n") -> DataFra
     """Rows with their place (from 0) in a total order, without sorting all rows in one task.
 
     Rows are range-partitioned and sorted; partition counts, one small row each, shift the places within.
+    The ranges are cut from their lineage, since counts and rows must see the same ones.
     """
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    placed = placed.withColumn("_k", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = cut(placed.withColumn("_k", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
     counts = placed.groupBy("_p").agg(F.count("*").alias("_c"))
     shift = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_p", F.coalesce(F.sum("_c").over(shift), F.lit(0)).alias("_s"))
