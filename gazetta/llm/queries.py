@@ -75,10 +75,10 @@ WITH crc AS (
     SELECT list(c ORDER BY n) AS t FROM (
         SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS n))
 ), bytes AS (
-    SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS h FROM documents
 ), sized AS (
     SELECT doc_id, octet_length(encode(text))::BIGINT + 1 AS size,
-        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(text))::BIGINT), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(h, lambda x: ('0x' || x)::BIGINT)),
             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS text_crc32
     FROM bytes, crc
 ), scored AS (
