@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
-#: Items that are packed together. Blocks are consecutive rows of a scan partition: nothing is shuffled, no task holds more.
+#: Rows that are packed together. Blocks are consecutive rows of a scan partition: nothing is shuffled, no task holds more.
 BLOCK = 4096
+#: Pieces after which a block ends early; bins of a block are numbered in 20 bits, blocks of a partition in 18.
+PIECES = 1 << 19
 
 
 def best_fit(items: list[tuple[int, object, object]], capacity: int) -> list[tuple[int, int]]:
@@ -85,14 +87,16 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
     rows = documents.select("doc_id", "source", words.cast("long").alias("n"), F.xxhash64(plain).alias("cluster"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, turn, waiting = TaskContext.get().partitionId(), 0, []
+        task, turn, waiting, n = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            waiting += zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
-            while len(waiting) >= block:
-                yield packed(waiting[:block], (task << 20) + turn)
-                waiting, turn = waiting[block:], turn + 1
+            for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                waiting.append(row)
+                n += 1 + row[2] // capacity
+                if len(waiting) >= block or n >= PIECES:
+                    yield packed(waiting, (task << 18) + turn)
+                    waiting, turn, n = [], turn + 1, 0
         if waiting:
-            yield packed(waiting, (task << 20) + turn)
+            yield packed(waiting, (task << 18) + turn)
 
     def packed(part: list[tuple], number: int) -> pa.RecordBatch:
         cut = [(k, i, size) for k, row in enumerate(part) for i, size in enumerate(pieces(row[2], capacity))]
@@ -107,7 +111,7 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
             elif size:
                 own, offset = (last := last + 1), 0
             doc_id, source, _, cluster = part[k]
-            for n, v in zip(names, (doc_id, i, size, (number << 24) + own if size else -1, offset if size else 0, source, cluster), strict=True):
+            for n, v in zip(names, (doc_id, i, size, (number << 20) + own if size else -1, offset if size else 0, source, cluster), strict=True):
                 out[n].append(v)
         return pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in types.items()], names=names)
 
