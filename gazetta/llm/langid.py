@@ -24,6 +24,7 @@ LONGEST_PIECE = 12
 PART = 32  #: longer letter runs are scored in parts of so many letters
 UNKNOWN = 1e-7  #: probability of a letter that is no piece, the same in all languages
 CACHE = 200_000  #: words a worker remembers
+SLICE = 5_000  #: words in one forward pass
 
 _letters = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -167,8 +168,8 @@ class Model:
             self.known, new = {}, sorted(words)
             if len(new) > len(self.scores):
                 self.scores = np.zeros((len(new), len(self.languages)))
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
+        for k in range(0, len(new), SLICE):
+            some = new[k : k + SLICE]
             cut = [parts(w) for w in some]
             g = lattice(self.pieces, [x for c in cut for x in c])
             score = np.log(np.maximum(forward(g, self.p)[g.last], 1e-300))
@@ -202,19 +203,21 @@ def fit(counts: list[tuple[str, str, int]], pieces: Pieces, rounds: int = 4, add
     index = {x: k for k, x in enumerate(languages)}
     words = sorted({c[1] for c in counts})
     at = {w: k for k, w in enumerate(words)}
-    cut = [parts(w) for w in words]
     weight = np.zeros((len(words), len(languages)))
     for lang, word, n in counts:
         weight[at[word], index[lang]] += n
-    weight = np.repeat(weight, [len(c) for c in cut], axis=0)
-    g = lattice(pieces, [x for c in cut for x in c])
+    lattices = []  # in slices of the words, so the passes need little memory
+    for k in range(0, len(words), SLICE):
+        cut = [parts(w) for w in words[k : k + SLICE]]
+        g = lattice(pieces, [x for c in cut for x in c])
+        lattices.append((g, np.repeat(weight[k : k + SLICE], [len(c) for c in cut], axis=0), np.searchsorted(g.first, g.start, side="right") - 1))
     p = np.full((pieces.size + 1, len(languages)), 1 / (pieces.size + 1))
-    word_of = np.searchsorted(g.first, g.start, side="right") - 1
     for _ in range(rounds):
-        a, b = forward(g, p), backward(g, p)
-        whole = np.maximum(a[g.last], 1e-300)
-        share = a[g.start] * p[g.piece] * b[g.end] * (weight / whole)[word_of]
-        expected = np.stack([np.bincount(g.piece, share[:, k], pieces.size + 1) for k in range(len(languages))], axis=1)
+        expected = np.zeros_like(p)
+        for g, times, word_of in lattices:
+            a, b = forward(g, p), backward(g, p)
+            share = a[g.start] * p[g.piece] * b[g.end] * (times / np.maximum(a[g.last], 1e-300))[word_of]
+            expected += np.stack([np.bincount(g.piece, share[:, k], pieces.size + 1) for k in range(len(languages))], axis=1)
         p = (expected + add) / (expected.sum(axis=0) + add * (pieces.size + 1))
         p[-1] = UNKNOWN
     return Model(languages, pieces, p)
@@ -225,7 +228,7 @@ def fold(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 4
 
 
-def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 500) -> Model:
+def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 300) -> Model:
     """Fits on about `a_language` documents of each language: those with the lowest hashes, outside the held-out fold, with a lang and an id."""
     open_rows = documents.select("doc_id", "text", "lang").where((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n"))  # one small row a language
@@ -244,7 +247,7 @@ def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int =
         return {"lang": lang, "word": word, "n": n}
 
     counted = map_batches(sample.select("lang", "text"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return fit(sorted((r.lang, r.word, r.n) for r in counted.toLocalIterator()), Pieces.read(vocabulary))
+    return fit(sorted((r.lang, r.word, r.n) for r in counted.collect()), Pieces.read(vocabulary))
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
