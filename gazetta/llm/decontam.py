@@ -1,10 +1,11 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Benchmark items and documents are normalised (lower case, every run of other characters than letters
-and digits one space). Items are cut into overlapping segments. Of a segment's q-grams every STEP-th is
-kept, so an edit destroys at most Q / STEP of them: a passage within k edits of the segment shares all
-but k * Q / STEP, on diagonals at most k apart. Shared q-grams are counted in overlapping diagonal
-bands of twice that width; bands that meet the bound are verified by banded alignment.
+and digits one space). Items are cut into short overlapping units, one from every word start. Of an
+item's q-grams every STEP-th is kept, so an edit destroys at most Q / STEP of them: a passage within k
+edits of a unit shares all but k * Q / STEP of the unit's, on diagonals at most k apart. Shared q-grams
+are counted in overlapping diagonal bands of twice that width, first for whole items, then for the units
+of items that have enough; bands that meet the bound are verified by banded alignment.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from gazetta.llm.common import map_batches
 
 Q, STEP = 8, 4
-SEGMENT, STRIDE = 160, 80  #: normalised characters
-BUDGET = 0.08  #: edits a character of a segment
+WORDS, UNIT = 12, 80  #: a unit ends after so many words, or so many normalised characters if that comes first
+STRIDE = 8  #: characters of a longer word after which another unit starts
+WIDE = 3  #: characters that a character of a script without spaces counts for
+BUDGET = 0.08  #: edits a character of a unit
 LEAST = 40  #: items with fewer normalised characters are no evidence and match nothing
 BLOCK_CHARS = 4_000_000  #: of the benchmark in one pass over the documents; larger benchmarks take more passes
 
@@ -71,21 +74,50 @@ def grams(code: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def units(code: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of the units of an item, both rising: WORDS words and LEAST characters, or UNIT characters; a shorter item is one unit."""
+    n, space = len(code), code == 32
+    total = np.concatenate([[0], np.cumsum(np.where((code >= 0x2E80) & (code < 0xE000), WIDE, 1))])
+    begins = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
+    ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
+    word = np.searchsorted(begins, np.arange(n), side="right") - 1
+    step = (total[:-1] - total[begins[word]]) // STRIDE
+    first = np.zeros(n, bool)
+    first[begins] = True
+    starts = np.flatnonzero(~space & (first | (np.diff(step, prepend=0) != 0)))
+    by_words = np.maximum(word[starts] + WORDS - 1, np.searchsorted(total[ends], total[starts] + LEAST))
+    by_words = np.where(by_words < len(ends), ends[np.minimum(by_words, len(ends) - 1)], n + 1)
+    end = np.minimum(by_words, np.searchsorted(total, total[starts] + UNIT))
+    out = [(int(a), int(b)) for a, b in zip(starts, end, strict=True) if b <= n]
+    if not out:
+        return [(0, n)]
+    return out if out[-1][1] == n else [*out, (out[-1][0], n)]
+
+
 class Index(NamedTuple):
-    item: np.ndarray  #: item_id of each segment
-    code: np.ndarray  #: (segments, SEGMENT) code points, 0 after the end
+    item: np.ndarray  #: item_id of each unit
+    flat: np.ndarray  #: code points of all items
+    start: np.ndarray  #: of each unit in flat, rising
     size: np.ndarray
     edits: np.ndarray  #: budget
     least: np.ndarray  #: shared q-grams that a band must have
     hashes: np.ndarray  #: distinct q-gram hashes, sorted
     first: np.ndarray  #: postings of hash k are first[k]:first[k + 1]
-    segment: np.ndarray
-    offset: np.ndarray
+    place: np.ndarray  #: in flat, of each posting
+    owner: np.ndarray  #: number of each posting's item
+    low: np.ndarray  #: units low:high may hold a posting
+    high: np.ndarray
     seen: np.ndarray  #: bitmap of the hashes
 
+    @property
+    def code(self) -> list[np.ndarray]:
+        """Code points of each unit."""
+        return [self.flat[a : a + n] for a, n in zip(self.start, self.size, strict=True)]
+
 
 def build(items: list[tuple[int, str | None]]) -> Index | None:
-    codes, owner = [], []
+    codes, owner, start, end = [], [], [], []
+    total = 0
     for item, text in items:
         code = normalised(points(text.replace(chr(_BREAK), " ")))[0] if text else np.empty(0, np.uint32)
         while len(code) and code[0] == 32:
@@ -94,52 +126,75 @@ def build(items: list[tuple[int, str | None]]) -> Index | None:
             code = code[:-1]
         if item is None or len(code) < LEAST:
             continue
-        for start in [*range(0, max(len(code) - SEGMENT, 0), STRIDE), max(len(code) - SEGMENT, 0)]:
-            codes.append(code[start : start + SEGMENT])
-            owner.append(item)
+        for a, b in units(code):
+            owner.append(item), start.append(total + a), end.append(total + b)
+        codes.append(code)
+        total += len(code)
     if not codes:
         return None
-    size = np.array([len(c) for c in codes])
-    edits = (size * BUDGET).astype(np.int64)
-    table = np.zeros((len(codes), SEGMENT), np.uint32)
-    hashes, segment, offset = [], [], []
-    for k, c in enumerate(codes):
-        table[k, : len(c)] = c
-        h = grams(c)[::STEP]
-        hashes.append(h), segment.append(np.full(len(h), k)), offset.append(np.arange(len(h)) * STEP)
-    kept = np.array([len(h) for h in hashes])
-    h, segment, offset = np.concatenate(hashes), np.concatenate(segment), np.concatenate(offset)
+    start, end = np.array(start), np.array(end)
+    bounds = np.cumsum([0] + [len(c) for c in codes])
+    place = np.concatenate([np.arange(a, b - Q + 1, STEP) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+    flat = np.concatenate(codes)
+    h = grams(flat)[place]
+    kept = np.searchsorted(place, end - Q, side="right") - np.searchsorted(place, start)  # no unit reaches beyond its item
+    edits = np.minimum(((end - start) * BUDGET).astype(np.int64), (kept - 1) // (Q // STEP))
     order = np.argsort(h, kind="stable")
     distinct, first = np.unique(h[order], return_index=True)
     seen = np.zeros(1 << 22, bool)
     seen[(distinct >> np.uint64(42)).astype(np.int64)] = True
-    least = np.maximum(1, kept - edits * (Q // STEP))
-    return Index(np.array(owner, np.int64), table, size, edits, least, distinct, np.append(first, len(h)), segment[order], offset[order], seen)
+    place = place[order]
+    number = np.searchsorted(bounds, place, side="right") - 1
+    low, high = np.searchsorted(end, place + Q), np.searchsorted(start, place, side="right")
+    return Index(np.array(owner, np.int64), flat, start, end - start, edits, kept - edits * (Q // STEP), distinct, np.append(first, len(h)), place, number, low, high, seen)
+
+
+def repeated(times: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """first[k], first[k] + 1, ... of every k, times[k] of them."""
+    ends = np.cumsum(times)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times, times) + np.repeat(first, times)
 
 
 def regions(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(segment, first diagonal) of the bands of a text that share enough q-grams."""
+    """(unit, first diagonal) of the bands of a text that share enough q-grams; a diagonal is the place of the unit's start in the text."""
     h = grams(code)
     at = np.flatnonzero(index.seen[(h >> np.uint64(42)).astype(np.int64)])
     k = np.minimum(np.searchsorted(index.hashes, h[at]), len(index.hashes) - 1)
     good = index.hashes[k] == h[at]
     at, k = at[good], k[good]
     times = index.first[k + 1] - index.first[k]
-    ends = np.cumsum(times)
-    post = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times, times) + np.repeat(index.first[k], times)
-    segment = index.segment[post]
-    width = index.edits[segment] + 1
-    band = (np.repeat(at, times) - index.offset[post] + SEGMENT) // width  # SEGMENT: diagonals before the text count too
-    span = len(code) + 2 * SEGMENT
-    key, count = np.unique(np.concatenate([segment * span + band, segment * span + np.maximum(band - 1, 0)]), return_counts=True)
-    segment, band = key // span, key % span
-    enough = count >= index.least[segment]
-    segment, band = segment[enough], band[enough]
-    return segment, band * (index.edits[segment] + 1) - SEGMENT
+    post, at = repeated(times, index.first[k]), np.repeat(at, times)
+
+    # items with enough in bands as wide as any unit's
+    shift = len(index.flat)  # diagonals before the text count too
+    span = len(code) + shift + 2
+    band = (at - index.place[post] + shift) // (int(index.edits.max()) + 1)
+    key = index.owner[post] * span + band
+    keys, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+    after = np.minimum(np.searchsorted(keys, keys + 1), max(len(keys) - 1, 0))
+    both = count + np.where(keys[after] == keys + 1, count[after], 0)  # this band and the next
+    before = np.maximum(np.searchsorted(keys, keys - 1), 0)
+    both = np.maximum(both, np.where(keys[before] == keys - 1, both[before], 0))
+    enough = both[inverse] >= int(index.least.min())
+    post, at = post[enough], at[enough]
+
+    # their units
+    times = np.maximum(index.high[post] - index.low[post], 0)
+    unit, post, at = repeated(times, index.low[post]), np.repeat(post, times), np.repeat(at, times)
+    within = (index.start[unit] <= index.place[post]) & (index.place[post] + Q <= index.start[unit] + index.size[unit])
+    unit, post, at = unit[within], post[within], at[within]
+    most = int(index.size.max())
+    span = len(code) + 2 * most
+    band = (at - (index.place[post] - index.start[unit]) + most) // (index.edits[unit] + 1)
+    key, count = np.unique(np.concatenate([unit * span + band, unit * span + np.maximum(band - 1, 0)]), return_counts=True)
+    unit, band = key // span, key % span
+    enough = count >= index.least[unit]
+    unit, band = unit[enough], band[enough]
+    return unit, band * (index.edits[unit] + 1) - most
 
 
 def align(index: Index, code: np.ndarray, segment: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fewest edits, start and end in the text of each segment within its band, all regions side by side."""
+    """Fewest edits, start and end in the text of each unit within its band, all regions side by side."""
     most = int(index.edits[segment].max())
     width = 4 * most + 3  # diagonals of the band and `most` on either side
     low = diagonal - most
@@ -152,7 +207,7 @@ def align(index: Index, code: np.ndarray, segment: np.ndarray, diagonal: np.ndar
     for i in range(int(index.size[segment].max())):
         here = column + i
         letter = padded[np.where((here < 0) | (here >= len(code)), len(code), here)]
-        step = value + np.where(letter == index.code[segment, i][:, None], 0, _ONE)
+        step = value + np.where(letter == index.flat[np.minimum(index.start[segment] + i, len(index.flat) - 1)][:, None], 0, _ONE)
         step[:, :-1] = np.minimum(step[:, :-1], value[:, 1:] + _ONE)
         value = np.minimum.accumulate(step - ramp, axis=1) + ramp
         ends = index.size[segment] == i + 1
@@ -164,7 +219,7 @@ def align(index: Index, code: np.ndarray, segment: np.ndarray, diagonal: np.ndar
 
 
 def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
-    """(row, item, start, end, edits) of the segments found in a list of texts; places are code points of the text."""
+    """(row, item, start, end, edits) of the passages found in a list of texts: units that overlap are one passage, with their least edits; places are code points of the text."""
     sizes = np.array([len(t) + 1 if t else 1 for t in texts])
     raw = points(chr(_BREAK).join((t or "").replace(chr(_BREAK), " ") for t in texts) + chr(_BREAK))
     code, place = normalised(raw)
@@ -180,7 +235,13 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int,
         a, b = place[start[good]], place[end[good] - 1] + 1
         row = np.searchsorted(begin, a, side="right") - 1
         out += zip(row.tolist(), index.item[s[good]].tolist(), (a - begin[row]).tolist(), (b - begin[row]).tolist(), edits[good].tolist(), strict=True)
-    return sorted(set(out))  # neighbouring bands find the same
+    passages: list[tuple[int, int, int, int, int]] = []
+    for row, item, a, b, edits in sorted(set(out)):
+        if passages and passages[-1][:2] == (row, item) and a < passages[-1][3]:
+            _, _, first, last, fewest = passages.pop()
+            a, b, edits = first, max(b, last), min(edits, fewest)
+        passages.append((row, item, a, b, edits))
+    return passages
 
 
 def blocks(benchmark: DataFrame) -> list[Index]:
@@ -201,7 +262,8 @@ def blocks(benchmark: DataFrame) -> list[Index]:
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item found in it: doc_id, item_id, start, end, edits, n_segments.
 
-    start and end are code points of the text around all segments found, edits their least number. Null
+    start and end are code points of the text around all passages found, edits the least number in a unit
+    of one, n_segments the number of passages. Null
     and empty texts match nothing, nor do items that are null or shorter than LEAST normalised characters;
     an empty benchmark gives no rows. Rows with equal doc_id (or null) are searched each on their own
     and reported together. Other columns don't matter.

@@ -358,6 +358,19 @@ def test_leaks_match_brute_force(seed):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_excerpts_are_found_at_every_offset(seed):
+    rng = random.Random(seed)
+    item = sentence(rng, 120, 3000)
+    index, words = decontam.build([(7, item)]), item.split()
+    texts = [f"{sentence(rng, 20)} {' '.join(words[a : a + n])} {sentence(rng, 20)}" for n in (12, 16, 20, 25, 40) for a in range(len(words) - n + 1)]
+    got = {row for row, *_ in decontam.matches(index, texts)}
+    assert got == {k for k, t in enumerate(texts) if any("".join(map(chr, c)) in t for c in index.code)} == set(range(len(texts)))
+    cjk = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(200))
+    texts = [f"{cjk[::-1][:50]}{cjk[a : a + 34]}{cjk[::-1][50:90]}" for a in range(len(cjk) - 34 + 1)]
+    assert {row for row, *_ in decontam.matches(decontam.build([(7, cjk)]), texts)} == set(range(len(texts)))
+
+
 def test_spans_are_those_of_the_text():
     item = "Each of these passages is long enough, says the editor, to be found in a text again."
     text = f"Before — \U0001f600 it. {item.upper().replace(',', ' ;')} After."
