@@ -5,11 +5,13 @@ and digits one space). Items are cut into short overlapping units, one from ever
 item's q-grams every STEP-th is kept, so an edit destroys at most Q / STEP of them: a passage within k
 edits of a unit shares all but k * Q / STEP of the unit's, on diagonals at most k apart. Shared q-grams
 are counted in overlapping diagonal bands of twice that width, first for whole items, then for the units
-of items that have enough; bands that meet the bound are verified by banded alignment.
+of items that have enough; bands that meet the bound are verified by banded alignment. Items too short
+for that are looked up whole, by hash, at every word start.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -23,7 +25,7 @@ WORDS, UNIT = 12, 80  #: a unit ends after so many words, or so many normalised
 STRIDE = 8  #: characters of a longer word after which another unit starts
 WIDE = 3  #: characters that a character of a script without spaces counts for
 BUDGET = 0.08  #: edits a character of a unit
-LEAST = 40  #: items with fewer normalised characters are no evidence and match nothing
+LEAST = 40  #: items with fewer normalised characters match only as they are, as whole words
 BLOCK_CHARS = 4_000_000  #: of the benchmark in one pass over the documents; larger benchmarks take more passes
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -77,7 +79,7 @@ def grams(code: np.ndarray) -> np.ndarray:
 def units(code: np.ndarray) -> list[tuple[int, int]]:
     """(start, end) of the units of an item, both rising: WORDS words and LEAST characters, or UNIT characters; a shorter item is one unit."""
     n, space = len(code), code == 32
-    total = np.concatenate([[0], np.cumsum(np.where((code >= 0x2E80) & (code < 0xE000), WIDE, 1))])
+    total = np.concatenate([[0], np.cumsum(np.where(wide(code), WIDE, 1))])
     begins = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
     ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
     word = np.searchsorted(begins, np.arange(n), side="right") - 1
@@ -108,6 +110,7 @@ class Index(NamedTuple):
     low: np.ndarray  #: units low:high may hold a posting
     high: np.ndarray
     seen: np.ndarray  #: bitmap of the hashes
+    short: dict[int, tuple[np.ndarray, dict[bytes, list[int]]]]  #: by length, the sorted hashes of items under LEAST, and their ids by code points
 
     @property
     def code(self) -> list[np.ndarray]:
@@ -115,7 +118,43 @@ class Index(NamedTuple):
         return [self.flat[a : a + n] for a, n in zip(self.start, self.size, strict=True)]
 
 
+def wide(code: np.ndarray) -> np.ndarray:
+    """Whether a character is of a script without spaces."""
+    return (code >= 0x2E80) & (code < 0xE000)
+
+
+def run_hashes(code: np.ndarray, at: np.ndarray, sizes: list[int]) -> Iterator[np.ndarray]:
+    """For each size, the hash of code[a : a + size] of every a in `at` (which must not reach beyond the end)."""
+    back = np.cumprod(np.full(len(code) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)))) * _BASE
+    forth = np.cumprod(np.full(len(code) + 1, _BASE)) * np.uint64(pow(int(_BASE), -1, 1 << 64))
+    mixed = (code.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(29)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * back[:-1], dtype=np.uint64)])
+    for n in sizes:
+        a = at[at + n <= len(code)]
+        h = (total[a + n] - total[a]) * forth[a]
+        yield h ^ (h >> np.uint64(31))
+
+
+def whole(index: Index, code: np.ndarray) -> list[tuple[int, int, int]]:
+    """(item, start, end) of the short items that stand in a text as they are; scripts without spaces need no word ends."""
+    if not index.short:
+        return []
+    edge = (code == 32) | (code == _BREAK) | wide(code)
+    free = np.concatenate([[True], edge]) | np.concatenate([edge, [True]])  # a word may start or end before this place
+    letter = (code != 32) & (code != _BREAK)
+    at = np.flatnonzero(free[:-1] & letter)
+    out = []
+    for (n, (known, ids)), h in zip(index.short.items(), run_hashes(code, at, list(index.short)), strict=True):
+        a = at[: len(h)]
+        hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+        for start in a[hit & free[a + n]].tolist():
+            out += [(item, start, start + n) for item in ids.get(code[start : start + n].astype(np.uint32).tobytes(), ())]
+    return out
+
+
 def build(items: list[tuple[int, str | None]]) -> Index | None:
+    brief: dict[int, dict[bytes, list[int]]] = {}
     codes, owner, start, end = [], [], [], []
     total = 0
     for item, text in items:
@@ -124,18 +163,25 @@ def build(items: list[tuple[int, str | None]]) -> Index | None:
             code = code[1:]
         while len(code) and code[-1] == 32:
             code = code[:-1]
-        if item is None or len(code) < LEAST:
+        if item is None or not len(code):
+            continue
+        if len(code) < LEAST:
+            brief.setdefault(len(code), {}).setdefault(code.astype(np.uint32).tobytes(), []).append(item)
             continue
         for a, b in units(code):
             owner.append(item), start.append(total + a), end.append(total + b)
         codes.append(code)
         total += len(code)
-    if not codes:
+    short = {}
+    for n, ids in sorted(brief.items()):
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        short[n] = np.sort(next(run_hashes(flat, np.arange(0, len(flat), n), [n]))), ids
+    if not codes and not short:
         return None
-    start, end = np.array(start), np.array(end)
+    start, end = np.array(start, np.int64), np.array(end, np.int64)
     bounds = np.cumsum([0] + [len(c) for c in codes])
-    place = np.concatenate([np.arange(a, b - Q + 1, STEP) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-    flat = np.concatenate(codes)
+    place = np.concatenate([np.empty(0, np.int64)] + [np.arange(a, b - Q + 1, STEP) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+    flat = np.concatenate([np.empty(0, np.uint32), *codes])
     h = grams(flat)[place]
     kept = np.searchsorted(place, end - Q, side="right") - np.searchsorted(place, start)  # no unit reaches beyond its item
     edits = np.minimum(((end - start) * BUDGET).astype(np.int64), (kept - 1) // (Q // STEP))
@@ -146,7 +192,7 @@ def build(items: list[tuple[int, str | None]]) -> Index | None:
     place = place[order]
     number = np.searchsorted(bounds, place, side="right") - 1
     low, high = np.searchsorted(end, place + Q), np.searchsorted(start, place, side="right")
-    return Index(np.array(owner, np.int64), flat, start, end - start, edits, kept - edits * (Q // STEP), distinct, np.append(first, len(h)), place, number, low, high, seen)
+    return Index(np.array(owner, np.int64), flat, start, end - start, edits, kept - edits * (Q // STEP), distinct, np.append(first, len(h)), place, number, low, high, seen, short)
 
 
 def repeated(times: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -157,6 +203,8 @@ def repeated(times: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def regions(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(unit, first diagonal) of the bands of a text that share enough q-grams; a diagonal is the place of the unit's start in the text."""
+    if not len(index.hashes):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     h = grams(code)
     at = np.flatnonzero(index.seen[(h >> np.uint64(42)).astype(np.int64)])
     k = np.minimum(np.searchsorted(index.hashes, h[at]), len(index.hashes) - 1)
@@ -224,10 +272,11 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int,
     raw = points(chr(_BREAK).join((t or "").replace(chr(_BREAK), " ") for t in texts) + chr(_BREAK))
     code, place = normalised(raw)
     segment, diagonal = regions(index, code)
-    if not len(segment):
-        return []
     begin = np.cumsum(sizes) - sizes
     out = []
+    for item, start, end in whole(index, code):
+        row = int(np.searchsorted(begin, place[start], side="right")) - 1
+        out.append((row, item, int(place[start] - begin[row]), int(place[end - 1] + 1 - begin[row]), 0))
     for k in range(0, len(segment), 2000):
         s, d = segment[k : k + 2000], diagonal[k : k + 2000]
         edits, start, end = align(index, code, s, d)
@@ -264,8 +313,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     start and end are code points of the text around all passages found, edits the least number in a unit
     of one, n_segments the number of passages. Null
-    and empty texts match nothing, nor do items that are null or shorter than LEAST normalised characters;
-    an empty benchmark gives no rows. Rows with equal doc_id (or null) are searched each on their own
+    and empty texts match nothing, nor do items without an id, letter or digit; items shorter than LEAST
+    normalised characters match as whole words without an edit; an empty benchmark gives no rows. Rows with equal doc_id (or null) are searched each on their own
     and reported together. Other columns don't matter.
     """
     schema = "doc_id long, item_id long, start long, end long, edits long"

@@ -371,6 +371,17 @@ def test_excerpts_are_found_at_every_offset(seed):
     assert {row for row, *_ in decontam.matches(decontam.build([(7, cjk)]), texts)} == set(range(len(texts)))
 
 
+def test_short_items_match_as_whole_words():
+    items = [(1, "What is the capital of France?"), (2, "法国的首都是哪里？"), (3, "Ohm"), (4, "..."), (None, "What"), (5, "what is THE capital of france")]
+    texts = ["So: what is the  Capital of France", "What is the capital of Frances?", "请问法国的首都是哪里啊", "ohms, kiloohm", "what is the", "an ohm.", "capital of France"]
+    got = decontam.matches(decontam.build(items), texts)
+    assert {(row, item, texts[row][a:b]) for row, item, a, b, _ in got} == {(0, 1, texts[0][4:]), (0, 5, texts[0][4:]), (2, 2, "法国的首都是哪里"), (5, 3, "ohm")}
+    rng = random.Random(0)
+    items = [(k, sentence(rng, rng.randint(1, 3), 30)) for k in range(40)]
+    texts = [sentence(rng, 30, 30) for _ in range(40)]
+    assert {m[:2] for m in decontam.matches(decontam.build(items), texts)} == {(r, k) for r, t in enumerate(texts) for k, x in items if f" {x} " in f" {t} "}
+
+
 def test_spans_are_those_of_the_text():
     item = "Each of these passages is long enough, says the editor, to be found in a text again."
     text = f"Before — \U0001f600 it. {item.upper().replace(',', ' ;')} After."
