@@ -31,6 +31,7 @@ BLOCK_CHARS = 4_000_000  #: of the benchmark in one pass over the documents; lar
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = np.uint32(1)  #: stands between documents
 _ONE = 4096  #: an edit in alignment values, which also carry the start of the match
+_FAR = _ONE * _ONE  #: more than any edits
 
 _lowered: np.ndarray | None = None
 
@@ -248,16 +249,18 @@ def align(index: Index, code: np.ndarray, segment: np.ndarray, diagonal: np.ndar
     low = diagonal - most
     column = low[:, None] + np.arange(width)[None, :]
     value = np.broadcast_to(np.arange(width, dtype=np.int64), column.shape).copy()  # no edits; starts anywhere
-    value[(column < 0) | (column > len(code))] = _ONE * _ONE
+    value[(column < 0) | (column > len(code))] = _FAR
     ramp = np.arange(width, dtype=np.int64) * _ONE
     padded = np.concatenate([code, np.zeros(1, code.dtype)])
     final = np.zeros_like(value)
     for i in range(int(index.size[segment].max())):
         here = column + i
         letter = padded[np.where((here < 0) | (here >= len(code)), len(code), here)]
-        step = value + np.where(letter == index.flat[np.minimum(index.start[segment] + i, len(index.flat) - 1)][:, None], 0, _ONE)
+        broken = letter == _BREAK  # no alignment passes from one text to the next
+        past = ramp + np.cumsum(broken, axis=1) * _FAR  # from a lower diagonal to this one the letters between are passed
+        step = value + np.where(broken, _FAR, 0) + np.where(letter == index.flat[np.minimum(index.start[segment] + i, len(index.flat) - 1)][:, None], 0, _ONE)
         step[:, :-1] = np.minimum(step[:, :-1], value[:, 1:] + _ONE)
-        value = np.minimum.accumulate(step - ramp, axis=1) + ramp
+        value = np.minimum.accumulate(step - past, axis=1) + past
         ends = index.size[segment] == i + 1
         final[ends] = value[ends]
     best = final.argmin(axis=1)

@@ -382,6 +382,16 @@ def test_short_items_match_as_whole_words():
     assert {m[:2] for m in decontam.matches(decontam.build(items), texts)} == {(r, k) for r, t in enumerate(texts) for k, x in items if f" {x} " in f" {t} "}
 
 
+@pytest.mark.parametrize("cut", range(1, 6))
+def test_a_match_stays_in_its_text(cut):
+    item = "Each of these passages is long enough, says the editor, to be found in it."
+    index = decontam.build([(1, item)])
+    texts = ["a clean text that ends before", item[cut:] + " and more of it", "another clean text", "so " + item[:-cut], "clean again", item[:35], item[35:]]
+    got = decontam.matches(index, texts)
+    assert {m[:2] for m in got} == {(1, 1), (3, 1)} and all(0 <= a < b <= len(texts[row]) for row, _, a, b, _ in got)
+    assert [m[1:] for m in decontam.matches(index, texts[1:2])] == [m[1:] for m in got if m[0] == 1]
+
+
 def test_spans_are_those_of_the_text():
     item = "Each of these passages is long enough, says the editor, to be found in a text again."
     text = f"Before — \U0001f600 it. {item.upper().replace(',', ' ;')} After."
