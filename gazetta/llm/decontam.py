@@ -1,8 +1,8 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Benchmark items and documents are normalised (lower case, every run of other characters than letters
-and digits one space). Items are cut into short overlapping units, one from every word start. Of an
-item's q-grams every STEP-th is kept, so an edit destroys at most Q / STEP of them: a passage within k
+and digits one space). Items are cut into short overlapping units, one from every word start, and into
+longer segments, in which edits may lie closer together. Of an item's q-grams every STEP-th is kept, so an edit destroys at most Q / STEP of them: a passage within k
 edits of a unit shares all but k * Q / STEP of the unit's, on diagonals at most k apart. Shared q-grams
 are counted in overlapping diagonal bands of twice that width, first for whole items, then for the units
 of items that have enough; bands that meet the bound are verified by banded alignment. Items too short
@@ -22,6 +22,7 @@ from gazetta.llm.common import map_batches
 
 Q, STEP = 8, 4
 WORDS, UNIT = 12, 80  #: a unit ends after so many words, or so many normalised characters if that comes first
+SEGMENT = 160  #: characters of the longer units, one every half of it
 STRIDE = 8  #: characters of a longer word after which another unit starts
 WIDE = 3  #: characters that a character of a script without spaces counts for
 BUDGET = 0.08  #: edits a character of a unit
@@ -78,7 +79,7 @@ def grams(code: np.ndarray) -> np.ndarray:
 
 
 def units(code: np.ndarray) -> list[tuple[int, int]]:
-    """(start, end) of the units of an item, both rising: WORDS words and LEAST characters, or UNIT characters; a shorter item is one unit."""
+    """(start, end) of the units of an item, by start: WORDS words and LEAST characters, or UNIT characters, and segments; a shorter item is one unit."""
     n, space = len(code), code == 32
     total = np.concatenate([[0], np.cumsum(np.where(wide(code), WIDE, 1))])
     begins = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
@@ -92,9 +93,10 @@ def units(code: np.ndarray) -> list[tuple[int, int]]:
     by_words = np.where(by_words < len(ends), ends[np.minimum(by_words, len(ends) - 1)], n + 1)
     end = np.minimum(by_words, np.searchsorted(total, total[starts] + UNIT))
     out = [(int(a), int(b)) for a, b in zip(starts, end, strict=True) if b <= n]
-    if not out:
-        return [(0, n)]
-    return out if out[-1][1] == n else [*out, (out[-1][0], n)]
+    if out and out[-1][1] < n:
+        out.append((out[-1][0], n))
+    last = max(n - SEGMENT, 0)
+    return sorted({*out, *((a, min(a + SEGMENT, n)) for a in (*range(0, last, SEGMENT // 2), last))})
 
 
 class Index(NamedTuple):
@@ -192,7 +194,7 @@ def build(items: list[tuple[int, str | None]]) -> Index | None:
     seen[(distinct >> np.uint64(42)).astype(np.int64)] = True
     place = place[order]
     number = np.searchsorted(bounds, place, side="right") - 1
-    low, high = np.searchsorted(end, place + Q), np.searchsorted(start, place, side="right")
+    low, high = np.searchsorted(np.maximum.accumulate(end), place + Q), np.searchsorted(start, place, side="right")
     return Index(np.array(owner, np.int64), flat, start, end - start, edits, kept - edits * (Q // STEP), distinct, np.append(first, len(h)), place, number, low, high, seen, short)
 
 
@@ -202,10 +204,10 @@ def repeated(times: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - times, times) + np.repeat(first, times)
 
 
-def regions(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(unit, first diagonal) of the bands of a text that share enough q-grams; a diagonal is the place of the unit's start in the text."""
+def regions(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit, first diagonal, diagonal of one shared q-gram) of the bands of a text that share enough q-grams; a diagonal is the place of the unit's start in the text."""
     if not len(index.hashes):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     h = grams(code)
     at = np.flatnonzero(index.seen[(h >> np.uint64(42)).astype(np.int64)])
     k = np.minimum(np.searchsorted(index.hashes, h[at]), len(index.hashes) - 1)
@@ -234,12 +236,21 @@ def regions(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     unit, post, at = unit[within], post[within], at[within]
     most = int(index.size.max())
     span = len(code) + 2 * most
-    band = (at - (index.place[post] - index.start[unit]) + most) // (index.edits[unit] + 1)
-    key, count = np.unique(np.concatenate([unit * span + band, unit * span + np.maximum(band - 1, 0)]), return_counts=True)
+    diagonal = at - (index.place[post] - index.start[unit])
+    band = (diagonal + most) // (index.edits[unit] + 1)
+    key, one, count = np.unique(np.concatenate([unit * span + band, unit * span + np.maximum(band - 1, 0)]), return_index=True, return_counts=True)
     unit, band = key // span, key % span
     enough = count >= index.least[unit]
-    unit, band = unit[enough], band[enough]
-    return unit, band * (index.edits[unit] + 1) - most
+    unit, band, one = unit[enough], band[enough], one[enough]
+    return unit, band * (index.edits[unit] + 1) - most, diagonal[one % max(len(diagonal), 1)]
+
+
+def verbatim(index: Index, code: np.ndarray, segment: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether each unit stands in the text at its place without an edit."""
+    size, good = index.size[segment], (place >= 0) & (place + index.size[segment] <= len(code))
+    n = np.arange(int(size.max()))[None, :]
+    same = code[np.clip(place[:, None] + n, 0, len(code) - 1)] == index.flat[np.minimum(index.start[segment][:, None] + n, len(index.flat) - 1)]
+    return good & (same | (n >= size[:, None])).all(axis=1)
 
 
 def align(index: Index, code: np.ndarray, segment: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,7 +285,9 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int,
     sizes = np.array([len(t) + 1 if t else 1 for t in texts])
     raw = points(chr(_BREAK).join((t or "").replace(chr(_BREAK), " ") for t in texts) + chr(_BREAK))
     code, place = normalised(raw)
-    segment, diagonal = regions(index, code)
+    segment, diagonal, likely = regions(index, code)
+    order = np.argsort(index.size[segment], kind="stable")  # units of about one size are aligned together
+    segment, diagonal, likely = segment[order], diagonal[order], likely[order]
     begin = np.cumsum(sizes) - sizes
     out = []
     for item, start, end in whole(index, code):
@@ -282,7 +295,10 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int,
         out.append((row, item, int(place[start] - begin[row]), int(place[end - 1] + 1 - begin[row]), 0))
     for k in range(0, len(segment), 2000):
         s, d = segment[k : k + 2000], diagonal[k : k + 2000]
-        edits, start, end = align(index, code, s, d)
+        start = likely[k : k + 2000]
+        edits, end, other = np.zeros(len(s), np.int64), start + index.size[s], ~verbatim(index, code, s, start)
+        if other.any():
+            edits[other], start[other], end[other] = align(index, code, s[other], d[other])
         good = (edits <= index.edits[s]) & (end > start)
         a, b = place[start[good]], place[end[good] - 1] + 1
         row = np.searchsorted(begin, a, side="right") - 1

@@ -382,6 +382,12 @@ def test_short_items_match_as_whole_words():
     assert {m[:2] for m in decontam.matches(decontam.build(items), texts)} == {(r, k) for r, t in enumerate(texts) for k, x in items if f" {x} " in f" {t} "}
 
 
+def test_edits_may_lie_close_together():
+    item = "".join(f"{k:03d} " for k in range(100, 130)).strip()
+    text = f"x {item[:52]}{'z' * 9}{item[61:]} y"
+    assert {m[:2] for m in decontam.matches(decontam.build([(1, item)]), [text])} == {(0, 1)}
+
+
 @pytest.mark.parametrize("cut", range(1, 6))
 def test_a_match_stays_in_its_text(cut):
     item = "Each of these passages is long enough, says the editor, to be found in it."
