@@ -11,15 +11,16 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gazetta.llm.common import written
+
 CAPACITY = 2048
-#: Rows that are packed together. Blocks are consecutive rows of a scan partition: nothing is shuffled, no task holds more.
+#: Pieces that are packed together, on average and at most twice as many. Pieces are dealt to blocks by hash; no text is shuffled.
 BLOCK = 4096
-#: Pieces after which a block ends early; bins of a block are numbered in 20 bits, blocks of a partition in 18.
-PIECES = 1 << 19
+#: Bins filled less than this are emptied after the first pass, and their pieces of all blocks packed anew.
+POOR = 0.98
 
 
 def best_fit(items: list[tuple[int, object, object]], capacity: int) -> list[tuple[int, int]]:
@@ -65,10 +66,49 @@ def best_fit(items: list[tuple[int, object, object]], capacity: int) -> list[tup
     return out
 
 
-def pieces(tokens: int, capacity: int) -> list[int]:
-    """Sizes of the pieces of a document: full bins first, the rest last; an empty document is one piece of no tokens."""
-    full, rest = divmod(tokens, capacity)
-    return [capacity] * full + ([rest] if rest or not full else [])
+def dealt(rows: DataFrame, n: int, salt: int) -> DataFrame:
+    """Rows with a block of 0 to n - 1 by a hash of what they hold, each block sorted and in one partition."""
+    block = F.pmod(F.xxhash64(F.lit(salt), *COLUMNS), F.lit(n))
+    tasks = max(1, min(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return rows.select(block.alias("block"), *COLUMNS).repartition(tasks, "block").sortWithinPartitions("block", F.desc("n_tokens"), "doc_id", "piece", "source", "cluster")
+
+
+COLUMNS = ("doc_id", "piece", "n_tokens", "source", "cluster")
+PLACED = "doc_id long, piece long, n_tokens long, bin_id long, bin_offset long, source string, cluster long, poor boolean"
+
+
+def placed(rows: DataFrame, capacity: int, block: int, base: int) -> DataFrame:
+    """bin_id and bin_offset of dealt rows; poor marks those in a bin filled less than POOR. base is added to block numbers."""
+    arrow = {"doc_id": pa.int64(), "piece": pa.int64(), "n_tokens": pa.int64(), "bin_id": pa.int64(), "bin_offset": pa.int64(), "source": pa.string(), "cluster": pa.int64(), "poor": pa.bool_()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, turn, waiting = None, 0, []
+        for batch in batches:
+            for number, *row in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if waiting and (number != now or len(waiting) >= 2 * block):
+                    yield packed(waiting, ((base + now) << 18) + turn)
+                    waiting, turn = [], turn + 1 if number == now else 0
+                now = number
+                waiting.append(row)
+        if waiting:
+            yield packed(waiting, ((base + now) << 18) + turn)
+
+    def packed(part: list[list], number: int) -> pa.RecordBatch:
+        loose = [k for k, row in enumerate(part) if 0 < row[2] < capacity]
+        place = dict(zip(loose, best_fit([(part[k][2], part[k][3], part[k][4]) for k in loose], capacity), strict=True))
+        fill: dict[int, int] = {}
+        for k, (own, _) in place.items():
+            fill[own] = fill.get(own, 0) + part[k][2]
+        last = max(fill, default=-1)
+        out: list[tuple] = []
+        for k, (doc_id, piece, size, source, cluster) in enumerate(part):
+            own, offset = place.get(k, (-1, 0))
+            if size == capacity:
+                own = last = last + 1
+            out.append((doc_id, piece, size, (number << 20) + own if size else -1, offset, source, cluster, k in place and fill[own] < POOR * capacity))
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out, strict=True), arrow.values(), strict=True)], names=list(arrow))
+
+    return rows.mapInArrow(run, PLACED)
 
 
 def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
@@ -79,45 +119,23 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
     of one source or of one duplicate cluster (texts with the same words, A-Z lower-cased); pieces of one
     document have its source and so never meet. A null source conflicts with nothing. Null, empty and
     wordless texts are one piece of 0 tokens in bin -1. Rows that repeat are packed each on its own.
-    bin_id is unique: it is made of the partition, its block and the bin. Other columns are ignored.
+    Blocks are dealt by a hash of the rows, so files and partitions don't decide what meets; pieces in
+    poorly filled bins of all blocks are dealt and packed again. bin_id is unique: it is made of the
+    block and the bin. Other columns are ignored.
     """
     text = F.coalesce("text", F.lit(""))
     plain = F.trim(F.regexp_replace(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[ \\t\\n\\x0B\\f\\r]+", " "))
     words = F.when(plain == "", F.lit(0)).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1)
     rows = documents.select("doc_id", "source", words.cast("long").alias("n"), F.xxhash64(plain).alias("cluster"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, turn, waiting, n = TaskContext.get().partitionId(), 0, [], 0
-        for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                waiting.append(row)
-                n += 1 + row[2] // capacity
-                if len(waiting) >= block or n >= PIECES:
-                    yield packed(waiting, (task << 18) + turn)
-                    waiting, turn, n = [], turn + 1, 0
-        if waiting:
-            yield packed(waiting, (task << 18) + turn)
-
-    def packed(part: list[tuple], number: int) -> pa.RecordBatch:
-        cut = [(k, i, size) for k, row in enumerate(part) for i, size in enumerate(pieces(row[2], capacity))]
-        loose = [c for c in cut if 0 < c[2] < capacity]
-        place = dict(zip(loose, best_fit([(size, part[k][1], part[k][3]) for k, _, size in loose], capacity), strict=True))
-        last = max((b for b, _ in place.values()), default=-1)
-        out: dict[str, list] = {n: [] for n in names}
-        for c in cut:
-            k, i, size = c
-            if c in place:
-                own, offset = place[c]
-            elif size:
-                own, offset = (last := last + 1), 0
-            doc_id, source, _, cluster = part[k]
-            for n, v in zip(names, (doc_id, i, size, (number << 20) + own if size else -1, offset if size else 0, source, cluster), strict=True):
-                out[n].append(v)
-        return pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in types.items()], names=names)
-
-    types = {"doc_id": pa.int64(), "piece": pa.int64(), "n_tokens": pa.int64(), "bin_id": pa.int64(), "bin_offset": pa.int64(), "source": pa.string(), "cluster": pa.int64()}
-    names = list(types)
-    return rows.mapInArrow(run, "doc_id long, piece long, n_tokens long, bin_id long, bin_offset long, source string, cluster long")
+    cut = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)).cast("long") - 1))
+    rows = rows.select("doc_id", cut.alias("piece"), "n", "source", "cluster")
+    rows = rows.withColumn("n_tokens", F.least(F.lit(capacity), F.col("n") - F.col("piece") * capacity).cast("long")).select(*COLUMNS)
+    rows = written(rows, "pieces")
+    n = max(1, -(-rows.count() // block))
+    first = written(placed(dealt(rows, n, 1), capacity, block, 0), "packed")
+    poor = first.where("poor")
+    again = placed(dealt(poor, max(1, -(-poor.count() // block)), 2), capacity, block, n)
+    return first.where("not poor").drop("poor").union(again.drop("poor"))
 
 
 def bins(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

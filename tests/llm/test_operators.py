@@ -321,6 +321,14 @@ def test_references_and_spaces():
     assert text == "A & B\none two é three\nQuite a long paragraph, with text."
 
 
+def test_packing_does_not_depend_on_the_layout(spark):
+    rows = [(k, "w " * (1 + k * 37 % 900), f"s{k // 100}") for k in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bound = max(-(-sum(1 + k * 37 % 900 for k in range(1200)) // 2048), 100)
+    got = [{(r.doc_id, r.bin_id, r.bin_offset) for r in packing.pack(x, block=400).collect()} for x in (frame.coalesce(1), frame.repartition(60), frame.orderBy("source"))]
+    assert got[0] == got[1] == got[2] and len({b for _, b, _ in got[0]}) <= 1.1 * bound
+
+
 # decontamination
 
 
