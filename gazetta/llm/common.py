@@ -6,8 +6,10 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Code points one slice of an Arrow batch may hold before it is processed; bounds worker memory.
 SLICE_CHARS = 400_000
 
-_scratch: set[str] = set()
+#: Bytes of one Arrow batch between the JVM and a Python worker, where the session keeps Spark's default (256 MB).
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (local runs)."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local master may leave it unset; it then gets a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         where = f"file://{tempfile.mkdtemp(prefix='gazetta-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -39,17 +45,83 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+def _write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    path = f"{shared_dir(df.sparkSession)}/scratch-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, read again: cuts the lineage and survives lost executors.
 
     The folder goes when the driver's interpreter ends, since results that read it may be lazy.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/scratch-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _scratch.add(path)
-    atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out, path = _write(df, name)
+    atexit.register(_drop, df.sparkSession, path)
+    return out
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """As `written`, for tables that no lazy result reads: their folders go when the block ends."""
+    made: list[tuple[SparkSession, str]] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out, path = _write(df, name)
+        made.append((df.sparkSession, path))
+        return out
+
+    try:
+        yield keep
+    finally:
+        for spark, path in made:
+            _drop(spark, path)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of an Arrow batch, so that long texts meet in small numbers; a session's own setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) in (None, str(256 << 20), "256MB", "256m", "268435456b"):
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def map_parts(df: DataFrame, keep: Callable[[pa.RecordBatch], pa.Array], text: str = "text") -> DataFrame:
+    """The rows of df, whole, for which keep(slice) is true."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                yield part.filter(keep(part))
+
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, df.schema)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows that come sorted by their first `keys` columns of integers, as tables of whole groups, with the place of each group's start and the end."""
+    waiting: list[pa.RecordBatch] = []
+
+    def starts(rows: pa.Table) -> np.ndarray:
+        new = np.zeros(max(rows.num_rows - 1, 0), bool)
+        for k in range(keys):
+            v = rows.column(k).to_numpy()
+            new |= v[1:] != v[:-1]
+        return np.concatenate([[0], np.flatnonzero(new) + 1])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        if len(waiting) > 1 and all(batch.column(k)[-1] == waiting[0].column(k)[0] for k in range(keys)):
+            continue  # still the same group
+        rows = pa.Table.from_batches(waiting)
+        at = starts(rows)
+        if len(at) > 1:
+            yield rows.slice(0, at[-1]), at
+            waiting = rows.slice(at[-1]).to_batches()
+    if waiting:
+        rows = pa.Table.from_batches(waiting)
+        yield rows, np.append(starts(rows), rows.num_rows)
 
 
 def map_batches(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, Any]], schema: str, text: str = "text") -> DataFrame:
@@ -68,6 +140,7 @@ def map_batches(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, Any]]
                 got = rows(part.to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type, from_pandas=False) for f in arrow], schema=arrow)
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -6,10 +6,12 @@ pair by counting equal fields and correcting for chance collisions; pairs that p
 deviations below the threshold) are confirmed on their full shingle sets.
 
 No step emits all pairs of a group. Equal sets are one class from the start. First each member of a
-band bucket is compared with the bucket's leader only. Then the members of a bucket that are still in
-different components, and close to one another by their signatures, are compared in blocks of bounded
-bytes: products of membership matrices give all exact intersections of a block, and only a forest of
-the links leaves the task. So no link between different sets that banding finds is lost, and a group
+band bucket is compared with the bucket's leader only. The members of a bucket that are still in
+different components are then dealt to blocks of bounded size: the largest component's rows to blocks of
+their own, which meet only the blocks of the rest. Signatures (no texts) are compared in pairs of blocks,
+each pair of documents in the first band that it shares; the rows with a candidate then meet with their
+texts, and products of membership matrices give all exact intersections, of which only a forest of the
+links leaves the task. So no link between different sets that banding finds is lost, and a group
 of thousands of copies costs its blocks, not its pairs.
 """
 
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import map_batches, written
+from gazetta.llm.common import map_batches, scratch, small_batches, sorted_groups, written
 
 MINIMA = 128
 BITS = 2  #: kept of each minimum
@@ -120,25 +122,38 @@ def sketches(documents: DataFrame, width: int, bands: int) -> DataFrame:
     return map_batches(documents.select("doc_id", "text"), sketch, "doc_id long, n_shingles long, hi long, lo long, bands array<long>, sig array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union of their full shingle sets."""
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+#: Members of one leader that meet in a task; a leader with more is sent to several.
+STAR_ROWS = 1024
+
+
+def star_links(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (lead, id) with 100 * intersection >= percent * union of their full shingle sets.
+
+    Members are dealt to cells of about STAR_ROWS; each cell gets the leader's text once and before its members'.
+    """
+    cells = stars.groupBy("lead").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("n"))
+    rows = stars.join(cells, "lead").select("lead", F.pmod(F.xxhash64("id"), F.col("n")).cast("int").alias("cell"), "id")
+    heads = cells.select("lead", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("cell"), F.col("lead").alias("id"))
+    rows = rows.unionByName(heads).join(texts, "id").select("lead", "cell", "id", "text")
+    rows = rows.repartition("lead", "cell").sortWithinPartitions("lead", "cell", F.col("id") != F.col("lead"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, kept = None, np.empty(0, np.uint64)  # rows of one a come together, so its set is built once
+        now, kept = None, np.empty(0, np.uint64)
         for batch in batches:
             good = []
-            for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if a != last:
-                    last, kept = a, shingle_set(x.as_py(), width)
-                other = shingle_set(y.as_py(), width)
-                common = len(kept) + len(other) - len(np.union1d(kept, other))
-                good.append(100 * common >= percent * (len(kept) + len(other) - common))
-            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+            for lead, i, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                own = shingle_set(text.as_py(), width)
+                if i == lead:
+                    now, kept = lead, own
+                    good.append(False)
+                    continue
+                both = len(kept) + len(own)
+                common = both - len(np.union1d(kept, own)) if now == lead else 0
+                good.append(100 * common >= percent * (both - common))
+            yield batch.select([0, 2]).filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long")
+    small_batches(stars.sparkSession)
+    return rows.mapInArrow(run, "lead long, id long").select(F.col("lead").alias("a"), F.col("id").alias("b"))
 
 
 def is_star(edges: DataFrame) -> bool:
@@ -195,18 +210,80 @@ def block_links(rows: pa.Table, width: int, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(ends[:, 0], pa.int64()), "b": pa.array(ends[:, 1], pa.int64())})
 
 
-#: A block has at most so many text bytes and rows, on average over an even hash split.
-BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 1024
+#: A block has at most so many shingles and rows, on average over an even hash split; two blocks meet in a task.
+BLOCK_SHINGLES, BLOCK_ROWS = 500_000, 1024
+#: Pairs of signatures that are compared at once.
+PAIRS = 1 << 18
 
 
-def links_in_blocks(apart: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between components of the same bucket, for rows (key, id, comp): buckets are cut into blocks, and all pairs of blocks compared."""
-    sized = apart.join(texts, "id").select("key", "id", "comp", "text")
-    parts = sized.groupBy("key").agg(F.greatest(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("n"))
-    sized = sized.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    sized = sized.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    sized = sized.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "comp", "text")
-    return sized.groupBy("key", "i", "j").applyInArrow(lambda rows: block_links(rows, width, percent), "a long, b long").distinct()
+def in_blocks(apart: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows (key, id, comp, ...) with the pairs of blocks (i, j) in which they are compared, and their own block.
+
+    Blocks 0 to n_big - 1 hold the bucket's largest component, whose rows need not be compared with one another;
+    n_rest blocks hold all other rows. cells: (key, big, n_big, n_rest), with n_rest 0 if all fit in one block.
+    """
+    rows = apart.join(cells, "key")
+    big = F.col("comp") == F.col("big")
+    own = F.when(F.col("n_rest") == 0, F.lit(0)).when(big, F.pmod(F.xxhash64("id"), F.col("n_big"))).otherwise(F.col("n_big") + F.pmod(F.xxhash64("id"), F.greatest("n_rest", F.lit(1))))
+    rows = rows.withColumn("own", own.cast("int"))
+    first = F.when(big, F.col("n_big")).otherwise(F.lit(0))  # rows of the largest component meet the others only
+    others = F.when(F.col("n_rest") == 0, F.array(F.lit(0))).otherwise(F.sequence(first, F.col("n_big") + F.col("n_rest") - 1))
+    rows = rows.withColumn("other", F.explode(others)).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    return rows.select("key", "i", "j", "own", *[c for c in apart.columns if c != "key"])
+
+
+def near_rows(rows: DataFrame, most: int, percent: int) -> DataFrame:
+    """(key, i, j, id, comp) of those rows of in_blocks that have a candidate in their pair of blocks.
+
+    A candidate is in another component, of a size that the threshold allows, and unlike in at most `most` fields
+    of the signature. A pair that shares several buckets is a candidate only in the first band that it shares.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, at in sorted_groups(batches, 3):
+            key, own, ids, comp, n = (part.column(c).to_numpy() for c in ("key", "own", "id", "comp", "n"))
+            block = part.column("i").to_numpy() + part.column("j").to_numpy()
+            sig = part.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
+            short = part.column("short").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
+            tail = np.repeat(at[1:], np.diff(at)) - np.arange(len(key)) - 1  # rows of the group behind each row
+            near = np.zeros(len(key), bool)
+            ends = np.cumsum(tail)
+            lo = 0
+            while lo < len(key):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PAIRS, side="right")))
+                times = tail[lo:hi]
+                x = np.repeat(np.arange(lo, hi), times)
+                y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(times) - times, times)
+                small, large = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+                good = (comp[x] != comp[y]) & (own[x] + own[y] == block[x]) & (100 * small >= percent * large)
+                x, y = x[good], y[good]
+                differ = sig[x] ^ sig[y]
+                differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+                good = np.bitwise_count(differ).sum(axis=1) <= most
+                x, y = x[good], y[good]
+                band = (short[x] == short[y]).argmax(axis=1)
+                good = short[x, band] == (key[x] & 0x7FFFFFFF)
+                near[x[good]] = near[y[good]] = True
+                lo = hi
+            out = part.select(["key", "i", "j", "id", "comp"]).filter(pa.array(near))
+            yield from out.to_batches()
+
+    small_batches(rows.sparkSession)
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.select("key", "i", "j", "own", "id", "comp", "n", "sig", "short").mapInArrow(run, "key long, i int, j int, id long, comp long")
+
+
+def links_in_blocks(near: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components, by the full sets of the rows that near_rows leaves in each pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, at in sorted_groups(batches, 3):
+            for lo, hi in zip(at[:-1], at[1:], strict=True):
+                yield from block_links(part.slice(lo, hi - lo), width, percent).to_batches()
+
+    small_batches(near.sparkSession)
+    rows = near.join(texts, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.select("key", "i", "j", "comp", "text").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -222,31 +299,39 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     most = most_mismatches(threshold)
     sketch = written(sketches(documents, width, bands_for(threshold)), "sketch")
     filled = sketch.where("doc_id is not null and hi is not null")
-    classes = filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"))
-    reps = filled.join(classes, ["hi", "lo"]).where("doc_id = rep").select("rep", "bands", "sig")
-    buckets = reps.select(F.col("rep").alias("id"), "sig", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
-    members = written(buckets.join(shared.select("key", "lead"), "key").select("key", "id", "lead", "sig"), "members")
-    ids = members.select("id").distinct()
-    texts = written(documents.select(F.col("doc_id").alias("id"), "text").join(ids, "id").groupBy("id").agg(F.min("text").alias("text")), "texts")
-
-    # each member against its bucket's leader
-    leads = members.where("id = lead").select("key", F.col("sig").alias("lead_sig"))
-    stars = members.join(leads, "key").where((F.col("id") != F.col("lead")) & (mismatches(F.col("sig"), F.col("lead_sig")) <= most))
-    found = confirmed(stars.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct(), texts, width, percent)
-    place = components(found)
-
-    # members of a bucket that are still apart and close to one another
-    placed = members.select("key", "id", "sig").join(place, "id", "left").select("key", "id", "sig", F.coalesce("component", "id").alias("comp"))
-    split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    apart = written(placed.join(split, "key").select("key", "id", "comp", "sig"), "apart")
-    other = apart.select("key", F.col("comp").alias("other_comp"), F.col("sig").alias("other_sig"))
-    close = (apart["key"] == other["key"]) & (F.col("comp") != F.col("other_comp")) & (mismatches(F.col("sig"), F.col("other_sig")) <= most)
-    near = apart.join(other, close, "left_semi").select("key", "id", "comp")
-    joined = components(links_in_blocks(near, texts, width, percent))  # (component, its new component)
-    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    # equal sets are one class, whose rows are equal but for doc_id
+    reps = written(filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "reps")
+    with scratch() as keep:
+        buckets = reps.select("id", F.explode("bands").alias("key"))
+        shared = keep(buckets.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead"), "shared")
+        members = keep(buckets.join(shared, "key").select("key", "id", "lead"), "members")
+        ids = members.select("id").distinct()
+        texts = keep(documents.select(F.col("doc_id").alias("id"), "text").join(ids, "id").groupBy("id").agg(F.min("text").alias("text")), "texts")
+
+        # each member against its bucket's leader
+        sig = reps.select("id", "n", "sig")
+        lead_sig = reps.select(F.col("id").alias("lead"), F.col("n").alias("lead_n"), F.col("sig").alias("lead_sig"))
+        stars = members.where("id <> lead").select("lead", "id").distinct().join(sig, "id").join(lead_sig, "lead")
+        alike = (mismatches(F.col("sig"), F.col("lead_sig")) <= most) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n"))
+        stars = keep(stars.where(alike).select("lead", "id").distinct(), "stars")
+        place = components(star_links(stars, texts, width, percent))
+
+        # members of a bucket that are still apart
+        placed = members.select("key", "id").join(place, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+        split = keep(placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"), "split")
+        short = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short")
+        apart = keep(placed.join(split, "key").join(reps.select("id", "n", "sig", short), "id").select("key", "id", "comp", "n", "sig", "short"), "apart")
+        sizes = apart.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+        sizes = sizes.groupBy("key").agg(F.max(F.struct("rows", "n", "comp")).alias("big"), F.sum("rows").alias("rows"), F.sum("n").alias("n"))
+        blocks = lambda rows, n: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+        rest = F.when(blocks(F.col("rows"), F.col("n")) > 1, blocks(F.col("rows") - F.col("big.rows"), F.col("n") - F.col("big.n"))).otherwise(0)
+        cells = keep(sizes.select("key", F.col("big.comp").alias("big"), blocks(F.col("big.rows"), F.col("big.n")).alias("n_big"), rest.alias("n_rest")), "cells")
+        near = near_rows(in_blocks(apart, cells), most, percent)
+        joined = components(links_in_blocks(near, texts, width, percent))  # (component, its new component)
 
-    result = sketch.select("doc_id", "n_shingles", "hi", "lo").join(classes, ["hi", "lo"], "left").join(place, F.col("rep") == place["id"], "left")
-    result = result.withColumn("component", F.coalesce("component", "rep", "doc_id")).join(joined, "component", "left")
-    result = result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("whole", "component")).alias("component_id"))
+    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    classes = reps.select("hi", "lo", F.col("id").alias("rep")).join(place, F.col("rep") == place["id"], "left")
+    classes = classes.select("hi", "lo", F.coalesce("component", "rep").alias("component")).join(joined, "component", "left").select("hi", "lo", F.coalesce("whole", "component").alias("whole"))
+    result = sketch.select("doc_id", "n_shingles", "hi", "lo").join(classes, ["hi", "lo"], "left")
+    result = result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("whole", "doc_id")).alias("component_id"))
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

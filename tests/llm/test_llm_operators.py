@@ -117,8 +117,11 @@ def slow_components(sets, percent):
     return label
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
-def test_near_duplicates_match_brute_force(spark, width, percent):
+@pytest.mark.parametrize(("width", "percent", "block"), [(3, 85, None), (5, 80, None), (3, 85, 8)])
+def test_near_duplicates_match_brute_force(spark, width, percent, block, monkeypatch):
+    if block:  # large buckets: several cells a leader, several blocks a bucket
+        monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
+        monkeypatch.setattr(minhash, "STAR_ROWS", block)
     rng = random.Random(width)
     rows, bases = [], [sentence(rng, n) for n in (40, 150, 300)]
     for k in range(240):
@@ -167,6 +170,18 @@ def test_block_links_join_what_links_join():
     assert label == want and len(got["a"]) < 60
 
 
+def test_sorted_groups_are_whole_over_batches():
+    import pyarrow as pa
+    from gazetta.llm.common import sorted_groups
+
+    keys = [1, 1, 2, 3, 3, 3, 3, 3, 3, 4]
+    for size in (1, 2, 3, 10):
+        batches = [pa.record_batch({"k": keys[i : i + size], "v": list(range(i, min(i + size, 10)))}) for i in range(0, 10, size)]
+        groups = [part.slice(a, b - a).to_pydict() for part, at in sorted_groups(iter(batches), 1) for a, b in zip(at[:-1], at[1:], strict=True)]
+        assert [set(g["k"]) for g in groups] == [{1}, {2}, {3}, {4}] and [len(g["v"]) for g in groups] == [2, 1, 6, 1]
+    assert list(sorted_groups(iter([]), 1)) == []
+
+
 def test_components_of_long_chains(spark):
     links = [(k, k + 1) for k in range(1, 300)] + [(1000, 1002), (1002, 1001)]
     random.Random(1).shuffle(links)
