@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.llm import decontam, langid, minhash, packing, quality
-from gazetta.llm.common import shared_dir, table
+from gazetta.llm.common import shared_dir, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,11 +24,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five-word shingles, similarity 0.8 or more).
 
-    Rows that repeat a doc_id count as one document, of which the least text stays; rows without a doc_id all stay.
+    Rows that repeat a doc_id count as one document, of which the least text stays; rows without a doc_id
+    all stay, and so do null and empty texts. The rows themselves move once, to be parted from the ids that go.
     """
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
-    rows = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("_row"))
-    return rows.select("_row.*").unionByName(docs.where("doc_id is null"))
+    found = minhash.near_duplicates(docs).where("doc_id is not null")
+    ids = written(found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n")).where("not kept or n > 1"), "marked")
+    rows = docs.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    again = ids.where("kept")
+    if again.isEmpty():
+        return rows
+    repeated = docs.join(again.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("_row"))
+    return rows.unionByName(repeated.select("_row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
