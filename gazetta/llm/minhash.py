@@ -313,7 +313,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
         lead_sig = reps.select(F.col("id").alias("lead"), F.col("n").alias("lead_n"), F.col("sig").alias("lead_sig"))
         stars = members.where("id <> lead").select("lead", "id").distinct().join(sig, "id").join(lead_sig, "lead")
         alike = (mismatches(F.col("sig"), F.col("lead_sig")) <= most) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n"))
-        stars = keep(stars.where(alike).select("lead", "id").distinct(), "stars")
+        stars = keep(stars.where(alike).select("lead", "id"), "stars")
         place = components(star_links(stars, texts, width, percent))
 
         # members of a bucket that are still apart
