@@ -11,14 +11,17 @@ for that are looked up whole, by hash, at every word start.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import map_batches
+from gazetta.llm.common import map_batches, map_parts, written
 
 Q, STEP = 8, 4
 WORDS, UNIT = 12, 80  #: a unit ends after so many words, or so many normalised characters if that comes first
@@ -28,6 +31,7 @@ WIDE = 3  #: characters that a character of a script without spaces counts for
 BUDGET = 0.08  #: edits a character of a unit
 LEAST = 40  #: items with fewer normalised characters match only as they are, as whole words
 BLOCK_CHARS = 4_000_000  #: of the benchmark in one pass over the documents; larger benchmarks take more passes
+WINDOW, OVERLAP = 100_000, 1_000  #: characters of a text whose q-grams are looked up at once, and by how much such windows overlap
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = np.uint32(1)  #: stands between documents
@@ -171,8 +175,11 @@ def build(items: list[tuple[int, str | None]]) -> Index | None:
         if len(code) < LEAST:
             brief.setdefault(len(code), {}).setdefault(code.astype(np.uint32).tobytes(), []).append(item)
             continue
-        for a, b in units(code):
-            owner.append(item), start.append(total + a), end.append(total + b)
+        seen: set[bytes] = set()
+        for a, b in units(code):  # of units that read alike in an item, one is enough
+            if (own := code[a:b].tobytes()) not in seen:
+                seen.add(own)
+                owner.append(item), start.append(total + a), end.append(total + b)
         codes.append(code)
         total += len(code)
     short = {}
@@ -185,6 +192,8 @@ def build(items: list[tuple[int, str | None]]) -> Index | None:
     bounds = np.cumsum([0] + [len(c) for c in codes])
     place = np.concatenate([np.empty(0, np.int64)] + [np.arange(a, b - Q + 1, STEP) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
     flat = np.concatenate([np.empty(0, np.uint32), *codes])
+    open_units = np.cumsum(np.bincount(start, minlength=total + 1) - np.bincount(end - Q + 1, minlength=total + 1))
+    place = place[open_units[place] > 0]  # q-grams of some unit
     h = grams(flat)[place]
     kept = np.searchsorted(place, end - Q, side="right") - np.searchsorted(place, start)  # no unit reaches beyond its item
     edits = np.minimum(((end - start) * BUDGET).astype(np.int64), (kept - 1) // (Q // STEP))
@@ -245,6 +254,14 @@ def regions(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return unit, band * (index.edits[unit] + 1) - most, diagonal[one % max(len(diagonal), 1)]
 
 
+def windowed(index: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As regions, by windows of the text that overlap by more than a unit, so that a very long or repetitive text needs bounded memory."""
+    got = [(lo, regions(index, code[lo : lo + WINDOW + OVERLAP])) for lo in range(0, max(len(code), 1), WINDOW)]
+    unit, diagonal, likely = (np.concatenate([g[k] + (lo if k else 0) for lo, g in got]) for k in range(3))
+    _, one = np.unique(np.stack([unit, diagonal, likely], axis=1), axis=0, return_index=True)
+    return unit[one], diagonal[one], likely[one]
+
+
 def verbatim(index: Index, code: np.ndarray, segment: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Whether each unit stands in the text at its place without an edit."""
     size, good = index.size[segment], (place >= 0) & (place + index.size[segment] <= len(code))
@@ -285,7 +302,7 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int,
     sizes = np.array([len(t) + 1 if t else 1 for t in texts])
     raw = points(chr(_BREAK).join((t or "").replace(chr(_BREAK), " ") for t in texts) + chr(_BREAK))
     code, place = normalised(raw)
-    segment, diagonal, likely = regions(index, code)
+    segment, diagonal, likely = windowed(index, code)
     order = np.argsort(index.size[segment], kind="stable")  # units of about one size are aligned together
     segment, diagonal, likely = segment[order], diagonal[order], likely[order]
     begin = np.cumsum(sizes) - sizes
@@ -312,19 +329,31 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, int, int,
     return passages
 
 
-def blocks(benchmark: DataFrame) -> list[Index]:
-    """Indexes of the benchmark, each of about BLOCK_CHARS characters at most; the items come to the driver one partition at a time."""
-    out: list[Index | None] = []
+def blocks(benchmark: DataFrame) -> Iterator[Index]:
+    """Indexes of the benchmark, each of about BLOCK_CHARS characters at most, one at a time; the items come to the driver one partition at a time."""
     items: list[tuple[int, str | None]] = []
     total = 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
+        if items and total + len(row[1] or "") > BLOCK_CHARS:
+            if index := build(items):
+                yield index
+            items, total = [], 0
         items.append((row[0], row[1]))
         total += len(row[1] or "")
-        if total >= BLOCK_CHARS:
-            out.append(build(items))
-            items, total = [], 0
-    out.append(build(items))
-    return [x for x in out if x is not None]
+    if index := build(items):
+        yield index
+
+
+def passes(benchmark: DataFrame, step: Callable[[Broadcast, bool], None]) -> None:
+    """Calls step(index, last) for each block of the benchmark. A block's index is released before the next is built, so step must not leave lazy rows that need it, but for the last."""
+    held = None
+    for index in blocks(benchmark):
+        if held is not None:
+            step(held, False)
+            held.unpersist()
+        held = benchmark.sparkSession.sparkContext.broadcast(index)  # bounded by BLOCK_CHARS
+    if held is not None:
+        step(held, True)
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -334,39 +363,36 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     of one, n_segments the number of passages. Null
     and empty texts match nothing, nor do items without an id, letter or digit; items shorter than LEAST
     normalised characters match as whole words without an edit; an empty benchmark gives no rows. Rows with equal doc_id (or null) are searched each on their own
-    and reported together. Other columns don't matter.
+    and reported together. A benchmark of several blocks takes a pass over the documents for each, all but the last written. Other columns don't matter.
     """
     schema = "doc_id long, item_id long, start long, end long, edits long"
-    found = None
-    for index in blocks(benchmark):
-        held = documents.sparkSession.sparkContext.broadcast(index)  # bounded by BLOCK_CHARS
+    found = [documents.sparkSession.createDataFrame([], schema)]
 
-        def search(batch: dict, held=held) -> dict:
+    def step(held: Broadcast, last: bool) -> None:
+        def search(batch: dict) -> dict:
             got = matches(held.value, batch["text"])
             return {"doc_id": [batch["doc_id"][m[0]] for m in got]} | {n: [m[k] for m in got] for k, n in enumerate(("item_id", "start", "end", "edits"), 1)}
 
         part = map_batches(documents.select("doc_id", "text"), search, schema)
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = documents.sparkSession.createDataFrame([], schema)
-    return found.groupBy("doc_id", "item_id").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("edits").alias("edits"), F.count_distinct("start").alias("n_segments"))
+        found.append(part if last else written(part, "leaks"))
 
+    passes(benchmark, step)
+    rows = reduce(DataFrame.union, found[1:] or found)
+    return rows.groupBy("doc_id", "item_id").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("edits").alias("edits"), F.count_distinct("start").alias("n_segments"))
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item is found, whole, without a join."""
-    import pyarrow as pa
 
-    from gazetta.llm.common import slices
+def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents in which no benchmark item is found, whole, without a join; after each block of the benchmark but the last they are written and read again."""
+    kept = [documents]
 
-    for index in blocks(benchmark):
-        held = documents.sparkSession.sparkContext.broadcast(index)
+    def step(held: Broadcast, last: bool) -> None:
+        def good(part: pa.RecordBatch) -> pa.Array:
+            out = np.ones(part.num_rows, bool)
+            out[[m[0] for m in matches(held.value, part.column(part.schema.get_field_index("text")).to_pylist())]] = False
+            return pa.array(out)
 
-        def run(batches, held=held):
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    good = np.ones(part.num_rows, bool)
-                    good[[m[0] for m in matches(held.value, part.column(part.schema.get_field_index("text")).to_pylist())]] = False
-                    yield part.filter(pa.array(good))
+        rows = map_parts(kept[0], good)
+        kept[0] = rows if last else written(rows, "clean")
 
-        documents = documents.mapInArrow(run, documents.schema)
-    return documents
+    passes(benchmark, step)
+    return kept[0]

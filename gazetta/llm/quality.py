@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazetta.llm import gbt
-from gazetta.llm.common import map_batches, words
+from gazetta.llm.common import map_batches, map_parts, words
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -59,19 +60,20 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """Documents of the `rows` labelled ids that come first by hash, with their label: a bounded training sample."""
+    """Documents of the `rows` labelled ids that come first by hash, with their label. An id may have many rows: the caller bounds those."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("_y"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = 20_000, trees: int = 40) -> gbt.Trees:
-    """Fits quality (1 good, 0 bad) on at most `rows` labelled documents; without labels, a model that keeps all."""
+    """Fits quality (1 good, 0 bad) on at most `rows` labelled documents, however many rows an id has; without labels, a model that keeps all."""
 
     def features(batch: dict) -> dict:
         return {"y": batch["_y"], "x": [statistics(t)[1] for t in batch["text"]]}
 
-    sample = map_batches(labelled_sample(documents, labels, "quality", rows), features, "y int, x array<double>").collect()
+    sample = map_batches(labelled_sample(documents, labels, "quality", rows), features, "y int, x array<double>")
+    sample = sample.orderBy(F.xxhash64("x"), "x", "y").limit(rows).collect()
     if not sample:
         return gbt.constant(0.999)
     y, x = np.array([r.y for r in sample]), np.array([r.x for r in sample])
@@ -100,16 +102,11 @@ def assess(documents: DataFrame, model: gbt.Trees, least_words: int = 50, most_r
 
 def keep(documents: DataFrame, model: gbt.Trees, least_words: int = 50, most_repeat: int = 50, threshold: float = 0.5) -> DataFrame:
     """The documents that `assess` keeps, whole and with all their columns, in one pass and without a join."""
-    import pyarrow as pa
 
-    from gazetta.llm.common import slices
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                got = [statistics(t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
-                score = gbt.predict(model, np.array([g[1] for g in got]).reshape(-1, len(FEATURES)))
-                good = [g[0][0] >= least_words and 100 * g[0][4] <= most_repeat * g[0][0] and s >= threshold for g, s in zip(got, score, strict=True)]
-                yield part.filter(pa.array(good, pa.bool_()))
+    def good(part: pa.RecordBatch) -> pa.Array:
+        got = [statistics(t) for t in part.column(part.schema.get_field_index("text")).to_pylist()]
+        score = gbt.predict(model, np.array([g[1] for g in got]).reshape(-1, len(FEATURES)))
+        fair = [g[0][0] >= least_words and 100 * g[0][4] <= most_repeat * g[0][0] and s >= threshold for g, s in zip(got, score, strict=True)]
+        return pa.array(fair, pa.bool_())
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_parts(documents, good)
