@@ -2,7 +2,8 @@
 
 Each language has a probability for every piece of a fixed public vocabulary. The score of a word is
 the sum over all its segmentations into pieces, by a forward pass; pieces never cross words, so a
-text's log-likelihood is the sum over its words, and every distinct word is scored once per worker.
+text's log-likelihood is the sum over its words, and every distinct word is scored once per worker,
+whole, however long it is. Texts are lower-cased, so pieces with capitals are left out of the vocabulary.
 The piece probabilities come from EM (forward-backward counts) on a bounded sample of labelled texts.
 """
 
@@ -10,21 +11,22 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import map_batches
+from gazetta.llm.common import map_batches, map_parts, scratch
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  #: stands before the first letter of a word, as in the vocabulary
-LONGEST_PIECE = 12
-PART = 32  #: longer letter runs are scored in parts of so many letters
+LONG = 32  #: letter runs longer than this are summed over in logarithms, as their probabilities leave the range of doubles
 UNKNOWN = 1e-7  #: probability of a letter that is no piece, the same in all languages
-CACHE = 200_000  #: words a worker remembers
-SLICE = 5_000  #: words in one forward pass
+CACHE, CACHE_LETTERS = 200_000, 2_000_000  #: words that a worker remembers, and their letters
+SLICE, SLICE_LETTERS = 5_000, 60_000  #: words in one forward pass, and their letters unless it is one word
 
 _letters = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -68,12 +70,12 @@ class Pieces:
 
     @classmethod
     def read(cls, path: str) -> Pieces:
-        """The lower-case word pieces of a sentencepiece model that are letters, with or without the mark."""
+        """The pieces of a sentencepiece model that can occur in lower-cased letter runs: those of letters, without capitals, with or without the mark."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         found = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-        kept = [p for p in found if p == p.lower() and len(p) <= LONGEST_PIECE and (p == MARK or p.removeprefix(MARK).isalpha())]
+        kept = [p for p in found if p == p.lower() and (p == MARK or p.removeprefix(MARK).isalpha())]
         return cls(sorted(set(kept)))
 
 
@@ -140,18 +142,46 @@ def backward(g: Lattice, p: np.ndarray) -> np.ndarray:
     return b
 
 
-def parts(word: str) -> list[str]:
-    whole = MARK + word
-    return [whole[k : k + PART] for k in range(0, len(whole), PART)]
+def log_forward(g: Lattice, q: np.ndarray) -> np.ndarray:
+    """As forward, in logarithms; q: of p."""
+    a = np.full((g.nodes, q.shape[1]), -np.inf)
+    a[g.first] = 0
+    for lo, hi in zip(g.steps[:-1], g.steps[1:], strict=True):
+        np.logaddexp.at(a, g.end[lo:hi], a[g.start[lo:hi]] + q[g.piece[lo:hi]])
+    return a
+
+
+def log_backward(g: Lattice, q: np.ndarray) -> np.ndarray:
+    b = np.full((g.nodes, q.shape[1]), -np.inf)
+    b[g.last] = 0
+    for lo, hi in zip(g.steps[-2::-1], g.steps[:0:-1], strict=True):
+        np.logaddexp.at(b, g.start[lo:hi], b[g.end[lo:hi]] + q[g.piece[lo:hi]])
+    return b
+
+
+def word_slices(words: list[str]) -> Iterator[tuple[bool, int, int]]:
+    """(long, start, end) of the slices of words sorted by length that one forward pass takes."""
+    start = letters = 0
+    for k, w in enumerate(words):
+        turn = len(w) >= LONG and k > 0 and len(words[k - 1]) < LONG
+        if k > start and (turn or k - start >= SLICE or letters + len(w) > SLICE_LETTERS):
+            yield len(words[start]) >= LONG, start, k
+            start, letters = k, 0
+        letters += len(w)
+    if start < len(words):
+        yield len(words[start]) >= LONG, start, len(words)
 
 
 class Model:
-    def __init__(self, languages: list[str], pieces: Pieces, p: np.ndarray):
+    """Piece probabilities p (pieces + 1, languages), and for each language the least log-likelihood a letter that a text of it has."""
+
+    def __init__(self, languages: list[str], pieces: Pieces, p: np.ndarray, floor: np.ndarray | None = None):
         self.languages, self.pieces, self.p = languages, pieces, p
+        self.floor = np.full(len(languages), -np.inf) if floor is None else floor
         self.clear()
 
     def __getstate__(self) -> dict:
-        return {k: self.__dict__[k] for k in ("languages", "pieces", "p")}
+        return {k: self.__dict__[k] for k in ("languages", "pieces", "p", "floor")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
@@ -159,40 +189,47 @@ class Model:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.scores = np.zeros((CACHE, len(self.languages)))
+        self.letters = 0
+        self.scores = np.zeros((1024, len(self.languages)))
 
     def learn(self, words: set[str]) -> None:
         """Scores the words that are not remembered."""
-        new = sorted(words - self.known.keys())
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, sorted(words)
-            if len(new) > len(self.scores):
-                self.scores = np.zeros((len(new), len(self.languages)))
-        for k in range(0, len(new), SLICE):
-            some = new[k : k + SLICE]
-            cut = [parts(w) for w in some]
-            g = lattice(self.pieces, [x for c in cut for x in c])
-            score = np.log(np.maximum(forward(g, self.p)[g.last], 1e-300))
-            ends = np.cumsum([len(c) for c in cut])
-            rows = np.add.reduceat(score, np.concatenate([[0], ends[:-1]]), axis=0)
-            self.scores[len(self.known) : len(self.known) + len(some)] = rows
-            for w in some:
-                self.known[w] = len(self.known)
-
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The most likely language of each whole text and its posterior; ("und", 0) without letters or languages."""
-        runs = [letter_runs(t) for t in texts] if self.languages else [[] for _ in texts]
+        new = words - self.known.keys()
+        letters = sum(map(len, new))
+        if self.known and (len(self.known) + len(new) > CACHE or self.letters + letters > CACHE_LETTERS):
+            self.clear()
+            new, letters = words, sum(map(len, words))
+        self.letters += letters
+        new = sorted(new, key=lambda w: (len(w), w))
+        size = len(self.known) + len(new)
+        if size > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros((max(size, 2 * len(self.scores)) - len(self.scores), len(self.languages)))])
+        for long, lo, hi in word_slices(new):
+            g = lattice(self.pieces, [MARK + w for w in new[lo:hi]])
+            at = len(self.known)
+            self.scores[at : at + hi - lo] = log_forward(g, np.log(self.p))[g.last] if long else np.log(np.maximum(forward(g, self.p)[g.last], 1e-300))
+            for k, w in enumerate(new[lo:hi]):
+                self.known[w] = at + k
+
+    def fits(self, texts: list[str | None]) -> list[tuple[np.ndarray, int]]:
+        """The log-likelihood of each whole text in every language, and its letters (one more for each word; 0 for a text without any)."""
+        runs = [letter_runs(t) for t in texts]
         self.learn(set().union(*runs))
-        names, scores = [], []
-        for words in runs:
-            if not words:
-                names.append("und"), scores.append(0.0)
+        zero = np.zeros(len(self.languages))
+        return [(self.scores[np.fromiter(map(self.known.__getitem__, ws), np.int64, len(ws))].sum(axis=0) if ws else zero, sum(map(len, ws)) + len(ws)) for ws in runs]
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """The most likely language of each whole text, its posterior, and whether the text fits it; ("und", 0, False) without letters or languages."""
+        names, scores, fitting = [], [], []
+        for total, letters in self.fits(texts if self.languages else [None] * len(texts)):
+            if not letters:
+                names.append("und"), scores.append(0.0), fitting.append(False)
                 continue
-            total = self.scores[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))].sum(axis=0)
             best = int(total.argmax())
             names.append(self.languages[best])
             scores.append(float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum()))
-        return names, scores
+            fitting.append(bool(total[best] >= self.floor[best] * letters))
+        return names, scores, fitting
 
 
 def fit(counts: list[tuple[str, str, int]], pieces: Pieces, rounds: int = 4, add: float = 0.02) -> Model:
@@ -201,22 +238,26 @@ def fit(counts: list[tuple[str, str, int]], pieces: Pieces, rounds: int = 4, add
     if not languages:
         return Model([], pieces, np.zeros((pieces.size + 1, 0)))
     index = {x: k for k, x in enumerate(languages)}
-    words = sorted({c[1] for c in counts})
+    words = sorted({c[1] for c in counts}, key=lambda w: (len(w), w))
     at = {w: k for k, w in enumerate(words)}
     weight = np.zeros((len(words), len(languages)))
     for lang, word, n in counts:
         weight[at[word], index[lang]] += n
     lattices = []  # in slices of the words, so the passes need little memory
-    for k in range(0, len(words), SLICE):
-        cut = [parts(w) for w in words[k : k + SLICE]]
-        g = lattice(pieces, [x for c in cut for x in c])
-        lattices.append((g, np.repeat(weight[k : k + SLICE], [len(c) for c in cut], axis=0), np.searchsorted(g.first, g.start, side="right") - 1))
+    for long, lo, hi in word_slices(words):
+        g = lattice(pieces, [MARK + w for w in words[lo:hi]])
+        lattices.append((long, g, weight[lo:hi], np.searchsorted(g.first, g.start, side="right") - 1))
     p = np.full((pieces.size + 1, len(languages)), 1 / (pieces.size + 1))
     for _ in range(rounds):
         expected = np.zeros_like(p)
-        for g, times, word_of in lattices:
-            a, b = forward(g, p), backward(g, p)
-            share = a[g.start] * p[g.piece] * b[g.end] * (times / np.maximum(a[g.last], 1e-300))[word_of]
+        q = np.log(p)
+        for long, g, times, word_of in lattices:
+            if long:
+                a, b = log_forward(g, q), log_backward(g, q)
+                share = np.exp(a[g.start] + q[g.piece] + b[g.end] - a[g.last][word_of]) * times[word_of]
+            else:
+                a, b = forward(g, p), backward(g, p)
+                share = a[g.start] * p[g.piece] * b[g.end] * (times / np.maximum(a[g.last], 1e-300))[word_of]
             expected += np.stack([np.bincount(g.piece, share[:, k], pieces.size + 1) for k in range(len(languages))], axis=1)
         p = (expected + add) / (expected.sum(axis=0) + add * (pieces.size + 1))
         p[-1] = UNKNOWN
@@ -228,26 +269,47 @@ def fold(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 4
 
 
-def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 300) -> Model:
-    """Fits on about `a_language` documents of each language: those with the lowest hashes, outside the held-out fold, with a lang and an id."""
+#: A text fits its language if its log-likelihood a letter is not further below the sample's mean than this, or so many standard deviations.
+LEAST_MARGIN, DEVIATIONS = 1.2, 8
+
+
+def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 300, languages: int = 100) -> Model:
+    """Fits on about `a_language` documents of each language: those with the lowest hashes, outside the held-out fold, with a lang and an id.
+
+    Of an id one text counts. Learned are the `languages` values of lang with most documents, so that the model, which is broadcast, is bounded.
+    """
     open_rows = documents.select("doc_id", "text", "lang").where((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n"))  # one small row a language
+    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     scale = 1 << 30
     sample = open_rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.lit(float(scale)) * a_language / F.col("n"))
-
-    def count(batch: dict) -> dict:
-        lang, word, n = [], [], []
-        for x, text in zip(batch["lang"], batch["text"], strict=True):
-            times: dict[str, int] = {}
-            for w in letter_runs(text):
-                times[w] = times.get(w, 0) + 1
-            lang += [x] * len(times)
-            word += times.keys()
-            n += times.values()
-        return {"lang": lang, "word": word, "n": n}
-
-    counted = map_batches(sample.select("lang", "text"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    return fit(sorted((r.lang, r.word, r.n) for r in counted.collect()), Pieces.read(vocabulary))
+    with scratch() as keep:
+        sample = keep(sample.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text"), "lang-sample")
+
+        def count(batch: dict) -> dict:
+            lang, word, n = [], [], []
+            for x, text in zip(batch["lang"], batch["text"], strict=True):
+                times: dict[str, int] = {}
+                for w in letter_runs(text):
+                    times[w] = times.get(w, 0) + 1
+                lang += [x] * len(times)
+                word += times.keys()
+                n += times.values()
+            return {"lang": lang, "word": word, "n": n}
+
+        counted = map_batches(sample, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        model = fit(sorted((r.lang, r.word, r.n) for r in counted.collect()), Pieces.read(vocabulary))
+        if not model.languages:
+            return model
+        held = documents.sparkSession.sparkContext.broadcast(model)
+
+        def own(batch: dict) -> dict:
+            got = [(x, total[held.value.languages.index(x)] / n) for x, (total, n) in zip(batch["lang"], held.value.fits(batch["text"]), strict=True) if n]
+            return {"lang": [x for x, _ in got], "fit": [f for _, f in got]}
+
+        fits = map_batches(sample, own, "lang string, fit double").groupBy("lang").agg(F.avg("fit").alias("mean"), F.stddev_pop("fit").alias("sd")).collect()
+        floor = {r.lang: r.mean - max(DEVIATIONS * r.sd, LEAST_MARGIN) for r in fits}
+        held.unpersist()
+    return Model(model.languages, model.pieces, model.p, np.array([floor[x] for x in model.languages]))
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
@@ -259,7 +321,7 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def judge(batch: dict) -> dict:
-        names, scores = held.value.predict(batch["text"])
+        names, scores, _ = held.value.predict(batch["text"])
         return {"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": names, "score": scores}
 
     rows = documents.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "text")
@@ -267,17 +329,15 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The documents in a learned language with a score of `least` or more, whole, in one pass and without a join."""
-    import pyarrow as pa
-
-    from gazetta.llm.common import slices
+    """The documents that fit a learned language and have a score of `least` or more, whole, in one pass and without a join.
 
+    A text in a language that was not learned scores high in the nearest one, but fits none: its log-likelihood
+    a letter lies far below that of the texts learned from. Null texts and those without letters go.
+    """
     held = documents.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                names, scores = held.value.predict(part.column(part.schema.get_field_index("text")).to_pylist())
-                yield part.filter(pa.array([n != "und" and s >= least for n, s in zip(names, scores, strict=True)], pa.bool_()))
+    def good(part: pa.RecordBatch) -> pa.Array:
+        _, scores, fitting = held.value.predict(part.column(part.schema.get_field_index("text")).to_pylist())
+        return pa.array([f and s >= least for f, s in zip(fitting, scores, strict=True)], pa.bool_())
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_parts(documents, good)

@@ -442,11 +442,46 @@ def test_a_large_benchmark_is_taken_in_blocks(spark, monkeypatch):
     documents = spark.createDataFrame([(k, f"x {t} y") for k, t in items], "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 500)
-    assert len(decontam.blocks(benchmark)) > 2
+    assert sum(1 for _ in decontam.blocks(benchmark)) > 2
     assert {(r.doc_id, r.item_id) for r in decontam.leaks(documents, benchmark).collect()} == {(k, k) for k in range(12)}
     assert decontam.clean(documents, benchmark).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 40, 150])
+def test_repetitive_items_and_texts(size):
+    item = "ab " * 60
+    index = decontam.build([(1, item), (2, "the quick brown fox jumps over a lazy dog and seven wizards mix potions")])
+    assert len(index.item) < 20  # units that read alike are kept once
+    texts = ["Lead in text. " + item, "ab " * size, "unrelated words of another text", item + " tail"]
+    found = decontam.matches(index, texts)
+    assert {m[0] for m in found if m[1] == 1} == {0, 3} | ({1} if size >= 40 else set())
+    assert all(0 <= a < b <= len(texts[row]) for row, _, a, b, _ in found)
+
+
+def test_windows_lose_nothing_at_their_borders(monkeypatch):
+    rng = random.Random(2)
+    item = sentence(rng, 40)
+    index = decontam.build([(1, item)])
+    monkeypatch.setattr(decontam, "WINDOW", 700)
+    for at in range(0, 200, 7):
+        text = sentence(rng, 80 + at) + " " + item + " " + sentence(rng, 300)
+        found = decontam.matches(index, [text])
+        assert [m[1] for m in found] == [1] and text[found[0][2] : found[0][3]].strip() .startswith(item[:20])
+
+
+def test_blocks_of_the_benchmark_take_turns(spark, monkeypatch):
+    rng = random.Random(6)
+    items = [(k, sentence(rng, 30)) for k in range(6)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    documents = spark.createDataFrame([(k, sentence(rng, 50) + " " + items[k % 6][1] if k % 2 else sentence(rng, 60)) for k in range(24)], "doc_id long, text string")
+    want = sorted(map(tuple, decontam.leaks(documents, benchmark).collect()))
+    kept = sorted(r.doc_id for r in decontam.clean(documents, benchmark).collect())
+    monkeypatch.setattr(decontam, "BLOCK_CHARS", 300)
+    assert sum(1 for _ in decontam.blocks(benchmark)) > 2
+    assert sorted(map(tuple, decontam.leaks(documents, benchmark).collect())) == want and len(want) == 12
+    assert sorted(r.doc_id for r in decontam.clean(documents, benchmark).collect()) == kept == list(range(0, 24, 2))
+
+
 # languages
 
 
@@ -469,6 +504,50 @@ def test_forward_sums_all_segmentations():
         assert got[:, k] == pytest.approx([total(w, k) for w in words]) and back[:, k] == pytest.approx(got[:, k])
 
 
+def test_long_runs_are_summed_whole():
+    import math
+
+    names = ["▁", "a", "b", "ab", "ba", "aab", "▁a"]
+    pieces = langid.Pieces(names)
+    p = np.random.default_rng(1).random((pieces.size + 1, 2)) * 1e-4
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abx") for _ in range(n)) for n in (200, 31, 32, 33, 700, 5)]
+
+    def total(word, k):  # exact sums of integers scaled by a power of two
+        unit = 1 << 60
+        score = [[round(v * unit) for v in p[:, j]] for j in range(2)][k]
+        at = [0] * (len(word) + 1)
+        at[0] = 1
+        for e in range(1, len(word) + 1):
+            for b in range(max(0, e - 3), e):
+                x = word[b:e]
+                s = score[names.index(x)] if x in names else score[-1] if len(x) == 1 else 0
+                at[e] += at[b] * s * unit ** (len(x) - 1)  # every letter carries one factor of unit
+        return math.log(at[-1]) - len(word) * math.log(unit)
+
+    model = langid.Model(["x", "y"], pieces, p)
+    model.learn(set(words))
+    for w in words:
+        assert model.scores[model.known[w]] == pytest.approx([total("▁" + w, k) for k in range(2)])
+    g = langid.lattice(pieces, ["▁" + w for w in words])
+    assert langid.log_backward(g, np.log(p))[g.first] == pytest.approx(langid.log_forward(g, np.log(p))[g.last])
+    assert langid.fit([("x", "ab" * 100, 2), ("y", "aab" * 99, 1), ("y", "ab", 3)], pieces).p[:-1].sum(axis=0) == pytest.approx([1, 1], abs=0.05)
+
+
+def test_texts_of_unlearned_languages_do_not_fit(spark):
+    rng = random.Random(8)
+
+    def text(syllables):
+        return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(120))
+
+    known = {"xx": ["the", "ing", "and", "er", "on", "st", "ly"], "yy": ["der", "ein", "sch", "ung", "ich", "ge"]}
+    rows = [(k, text(known[x]), x) for k in range(300) for x in [("xx", "yy")[k % 2]]]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = [(k, text(known["xx"]), None) for k in range(20)] + [(100 + k, text(["kkö", "yyt", "ää", "vuo", "ksi"]), None) for k in range(20)]
+    kept = langid.keep(spark.createDataFrame(new, "doc_id long, text string, lang string"), model).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(20))
+
+
 def test_held_out_accuracy(spark, sf001):
     documents = spark.read.parquet(f"{sf001}/documents.parquet")
     rows = QUERIES["op9_langid"](spark, sf001)
