@@ -25,7 +25,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not text of the page.
-SILENT = frozenset("title script style noscript template svg math iframe object select button textarea canvas audio video datalist".split())
+SILENT = frozenset("title script style noscript template svg iframe select button textarea canvas audio video datalist".split())
+#: Of these, the ones that the end of a block around them closes too.
+CLOSED_BY_BLOCKS = frozenset("select button canvas audio video datalist".split())
 IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 
 #: Groups of attribute words; a node has a feature for each, and one for whether an ancestor has it.
@@ -45,7 +47,9 @@ TAGS = {
 }
 _group = {w: k for k, words in enumerate(WORDS.values()) for w in words.split()}
 _kind = {t: k for k, tags in enumerate(TAGS.values()) for t in tags.split()}
-_split = re.compile(r"[a-z]+")
+_split = re.compile(r"[a-z]+(?:-[a-z]+)*")
+#: First or last parts that turn a hyphenated word into another one ("ad-free" is no advert, "no-sidebar" no sidebar).
+_TURNS = frozenset("free no non not without less has with".split())
 _own = [*TAGS, *(f"has_{w}" for w in WORDS)]
 _BOILER_TAGS = frozenset("nav footer aside form dialog menu".split())
 _BOILER = sum(1 << k for k, name in enumerate(WORDS) if name != "body")
@@ -67,7 +71,9 @@ class Page(HTMLParser):
         self.run: list[str] = []
         self.run_linked = 0
         self.link = False
-        self.silent: str | None = None
+        self.open: dict[str, int] = {}  # how many of each block tag are on the stack
+        self.silent: str | None = None  # the silent element that is open, and how many elements of each name are open in it, itself included
+        self.inside: dict[str, int] = {}
         try:
             self.feed(html)
             self.close()
@@ -80,9 +86,12 @@ class Page(HTMLParser):
         mark = None
         for name, value in attrs:
             if name in ("class", "id", "role", "itemprop") and value:
-                for w in _split.findall(value.lower()):
-                    if w in _group:
-                        words |= 1 << _group[w]
+                for whole in _split.findall(value.lower()):
+                    parts = whole.split("-")
+                    if len(parts) == 1 or not (parts[0] in _TURNS or parts[-1] in _TURNS):
+                        for w in parts:
+                            if w in _group:
+                                words |= 1 << _group[w]
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and "display:none" in value.replace(" ", "")):
                 hidden = 1
             elif name == "data-y":
@@ -100,13 +109,15 @@ class Page(HTMLParser):
 
     def pop(self) -> None:
         if len(self.stack) > 1:
-            self.stack.pop()
+            self.open[self.tag[self.stack.pop()]] -= 1
         self.link = False
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.silent is not None:
+            self.inside[tag] = self.inside.get(tag, 0) + 1
+            return
         if tag in SILENT:
-            if self.silent is None:
-                self.silent = tag
+            self.silent, self.inside = tag, {tag: 1}
             return
         if tag not in BLOCKS:
             if tag == "br":
@@ -114,7 +125,6 @@ class Page(HTMLParser):
             elif tag == "a":
                 self.link = True
             return
-        self.silent = None
         self.flush()
         if tag in ("html", "body"):
             if tag == "html" or "body" in self.tag:
@@ -123,6 +133,7 @@ class Page(HTMLParser):
             self.pop()
         if tag != "hr":
             self.stack.append(self.node(tag, attrs))
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -130,14 +141,19 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag == self.silent:
-            self.silent = None
-            return
+        if self.silent is not None:  # up to its own end tag, or that of a block around it
+            if self.inside.get(tag):
+                self.inside[tag] -= 1
+            elif self.silent in CLOSED_BY_BLOCKS and self.open.get(tag):
+                self.silent = None
+            if self.silent is not None:
+                if not self.inside[self.silent]:
+                    self.silent = None
+                return
         if tag == "a":
             self.link = False
-        if tag not in BLOCKS or tag in ("html", "body") or not any(self.tag[k] == tag for k in self.stack[1:]):
+        if tag not in BLOCKS or tag in ("html", "body") or not self.open.get(tag):
             return
-        self.silent = None
         self.flush()
         while self.tag[self.stack[-1]] != tag:
             self.pop()

@@ -447,6 +447,33 @@ def test_a_large_benchmark_is_taken_in_blocks(spark, monkeypatch):
     assert decontam.clean(documents, benchmark).count() == 0
 
 
+PROSE = "A long sentence of the story, with commas, follows here and goes on for a while. " * 4
+
+
+def extracted(inside):
+    return html.extract_all(html.train(), [f"<html><body><nav><ul><li><a href='/'>Home</a></ul></nav><article><h1>A title</h1><p>{PROSE}</p>{inside}<p>{PROSE}</p></article></body></html>"])[0]
+
+
+@pytest.mark.parametrize("tag", ["template", "noscript", "button", "iframe", "select"])
+@pytest.mark.parametrize("inside", ["<div><p>secret words</p></div>", "<p>secret words", "secret <{tag}>words</{tag}> words", "<p>secret</p><ul><li>words</ul>"])
+def test_silent_elements_stay_silent(tag, inside):
+    if tag == "iframe" and "{tag}" in inside:
+        return  # the text of an iframe ends at its first end tag
+    text = extracted(f"<{tag}>{inside.format(tag=tag)}</{tag}>")
+    assert "secret" not in text and "words" not in text and text.count(PROSE.strip()) == 2
+
+
+def test_unclosed_buttons_end_with_their_block():
+    text = extracted("<div><button>secret words</div>")
+    assert "secret" not in text and text.count(PROSE.strip()) == 2
+
+
+def test_formulas_stay_and_hyphenated_class_words_are_whole():
+    assert "We have x = 2 as root." in extracted("<p>We have <math><mi>x</mi> = <mn>2</mn></math> as root. " + PROSE + "</p>")
+    for name in ("ad-free story", "no-sidebar content"):
+        assert "kept words" in extracted(f'<div class="{name}"><p>kept words of it. {PROSE}</p></div>')
+
+
 @pytest.mark.parametrize("size", [1, 40, 150])
 def test_repetitive_items_and_texts(size):
     item = "ab " * 60
