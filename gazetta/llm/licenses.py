@@ -3,48 +3,22 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from typing import NamedTuple
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 
+from gazetta.llm import license_texts
 from gazetta.llm.common import map_batches
 
 GRAM = 3  #: words in a fingerprint
 WINDOW = 2  #: any run of GRAM + WINDOW - 1 words that a text shares with a template shares a fingerprint
-BAND = 8  #: words that an alignment may drift, and a tenth of the template besides
 COVERAGE = 0.75  #: of a template's words, from which a match is reported
-
-#: Public notices and opening paragraphs of well-known licenses, by SPDX-like name.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    (
-        "MIT",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, '
-        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    ),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    (
-        "GPL",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    ),
-    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
-    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this work to the public domain worldwide"),
-)
+SHORT = 40  #: words up to which a template is a notice: one shared fingerprint picks it, and its telling words must agree
+SUPPORT = 0.2  #: of a longer template's fingerprints that a band of diagonals must share; edits in two of five words leave more
+CACHE = 20_000  #: alignments of notices that a worker remembers
 
 _word = re.compile(r"\w+")
 
@@ -81,73 +55,156 @@ class Match(NamedTuple):
     end: int
 
 
-def aligned(template: list[str], words: list[str], diagonal: int) -> tuple[int, int, int]:
-    """Words in common, first and last place in `words`, of the best alignment within the band around a diagonal."""
-    band = BAND + len(template) // 10
+def band_of(template: int) -> int:
+    """Words that an alignment with a template of so many words may drift to either side."""
+    return max(1, template // 8) if template <= SHORT else 8 + template // 10
+
+
+def aligned(template: np.ndarray, words: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
+    """Words in common, first and last place in `words`, of the best alignment within `band` of a diagonal; word ids stand for words.
+
+    Of alignments with as many words in common one that starts late is taken, and of those one that ends early.
+    """
     width = 2 * band + 1
-    best = [(0, -1, -1)] * (width + 1)  # by drift; the last stays empty
+    low = diagonal - band
+    reach = np.arange(low, low + width + len(template) - 1)
+    inside = (reach >= 0) & (reach < len(words))
+    near = np.where(inside, words[np.clip(reach, 0, max(len(words) - 1, 0))], -1)
+    unit = 1 << 42
+    mask = (1 << 21) - 1
+    best = np.zeros(width, np.int64)  # words in common, then the first of them, then mask less the last, as places in reach
     for i, want in enumerate(template):
-        row = []
-        for d in range(width):
-            j = i + diagonal + d - band
-            here = max(best[d + 1] if d + 1 < width else (0, -1, -1), best[d] if not 0 <= j < len(words) or words[j] != want else (0, -1, -1), key=lambda v: v[0])
-            if 0 <= j < len(words) and words[j] == want:
-                n, first, _ = best[d]
-                here = max(here, (n + 1, first if n else j, j), key=lambda v: v[0])
-            if d and row[-1][0] > here[0]:
-                here = row[-1]
-            row.append(here)
-        best = [*row, (0, -1, -1)]
-    return max(best, key=lambda v: v[0])
+        here = best.copy()
+        here[:-1] = np.maximum(here[:-1], best[1:])
+        hit = np.flatnonzero(near[i : i + width] == want)
+        if len(hit):
+            at, before = hit + i, best[hit]
+            first = np.where(before >= unit, (before >> 21) & mask, at)
+            here[hit] = np.maximum(here[hit], ((before >> 42) + 1 << 42) | (first << 21) | (mask - at))
+        best = np.maximum.accumulate(here)
+    value = int(best[-1])
+    return value >> 42, (value >> 21 & mask) + low, mask - (value & mask) + low
 
 
 class Scanner:
-    def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
-        self.names = [n for n, _ in templates]
-        self.words = [tokens(t)[0] for _, t in templates]
-        self.index: dict[int, list[tuple[int, int]]] = {}
-        for k, words in enumerate(self.words):
-            h = hashes(words)
-            for place in winnowed(h):
-                self.index.setdefault(int(h[place]), []).append((k, int(place)))
-        self.known = np.sort(np.array(list(self.index), np.uint64))
+    def __init__(self, templates: tuple[tuple[str, str], ...] | None = None):
+        chosen = license_texts.templates() if templates is None else templates
+        cut = [tokens(t)[0] for _, t in chosen]
+        self.names = [n for n, _ in chosen]
+        self.cache: dict[tuple, tuple[int, int, int]] = {}
+        self.vocabulary = {w: k for k, w in enumerate(sorted({w for words in cut for w in words}))}
+        self.words = [np.array([self.vocabulary[w] for w in words], np.int64) for words in cut]
+        self.telling = np.array([w in license_texts.TELLING or w.isdigit() for w in sorted(self.vocabulary)], bool)
+        hashed = [hashes(words) for words in cut]
+        places = [winnowed(h) for h in hashed]
+        h = np.concatenate([np.empty(0, np.uint64), *(x[p] for x, p in zip(hashed, places, strict=True))])
+        order = np.argsort(h, kind="stable")
+        self.known, self.first = np.unique(h[order], return_index=True)
+        self.first = np.append(self.first, len(h))
+        self.template = np.repeat(np.arange(len(cut)), [len(p) for p in places])[order]
+        self.place = np.concatenate([np.empty(0, np.int64), *places]).astype(np.int64)[order]
+        sizes = np.array([len(w) for w in cut], np.int64)
+        self.band = np.array([band_of(n) for n in sizes], np.int64)
+        self.need = np.where(sizes <= SHORT, 1, np.ceil([SUPPORT * len(p) for p in places])).astype(np.int64)
+
+    def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
+        """(template, diagonal) where enough fingerprints meet: each diagonal of a notice, one for each band of a longer template."""
+        prints = winnowed(h)
+        at = np.minimum(np.searchsorted(self.known, h[prints]), len(self.known) - 1)
+        good = self.known[at] == h[prints]
+        prints, at = prints[good], at[good]
+        if not len(prints):
+            return []
+        times = self.first[at + 1] - self.first[at]
+        posting = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.first[at], times)
+        template, diagonal = self.template[posting], np.repeat(prints, times) - self.place[posting]
+        order = np.lexsort((diagonal, template))
+        template, diagonal = template[order], diagonal[order]
+        out: list[tuple[int, int]] = []
+        starts = np.flatnonzero(np.concatenate([[True], template[1:] != template[:-1]]))
+        for lo, hi in zip(starts, [*starts[1:], len(template)], strict=True):
+            k, d = int(template[lo]), diagonal[lo:hi]
+            if hi - lo < self.need[k]:
+                continue
+            band = int(self.band[k])
+            if len(self.words[k]) <= SHORT:
+                out += [(k, x) for x in np.unique(d).tolist()]
+                continue
+            count = np.searchsorted(d, d + band, side="right") - np.searchsorted(d, d - band)
+            last = None
+            for x in d[count >= self.need[k]].tolist():
+                if last is None or x > last + band:
+                    last = x
+                    out.append((k, x))
+        return out
 
     def scan(self, text: str | None) -> list[Match]:
         """Matches of a whole text, of which no two overlap: of those that do, the one with more words in common stays."""
         if not text or not len(self.known):
             return []
         words, spans = tokens(text)
-        h = hashes(words)
-        prints = winnowed(h)
-        at = np.minimum(np.searchsorted(self.known, h[prints]), len(self.known) - 1)
-        found = set()
-        for place in prints[self.known[at] == h[prints]]:
-            for k, offset in self.index[int(h[place])]:
-                found.add((k, (int(place) - offset) // BAND * BAND))
-        matches = []
-        for k, diagonal in sorted(found):
-            n, first, last = aligned(self.words[k], words, diagonal)
-            if n >= max(GRAM, COVERAGE * len(self.words[k])):
-                matches.append(Match(self.names[k], k, n / len(self.words[k]), n, spans[first][0], spans[last][1]))
+        chosen = self.candidates(hashes(words))
+        if not chosen:
+            return []
+        ids = np.fromiter((self.vocabulary.get(w, -2 - w.isdigit()) for w in words), np.int64, len(words))
+        matches = set()
+        for k, diagonal in chosen:
+            n, first, last = self.match(k, ids, diagonal)
+            if n:
+                matches.add((-n * n / len(self.words[k]), spans[first][0], k, n, spans[last][1]))
         kept: list[Match] = []
-        for m in sorted(matches, key=lambda m: (-m.matched * m.coverage, m.start, m.template)):
-            if all(m.end <= x.start or m.start >= x.end for x in kept):
-                kept.append(m)
-        return sorted(kept, key=lambda m: m.start)
-
-
-def scan(documents: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
+        starts: list[int] = []  # of the matches kept, which are disjoint
+        ends: list[int] = []
+        for _, start, k, n, end in sorted(matches):
+            at = bisect_left(starts, start)
+            if (at == 0 or ends[at - 1] <= start) and (at == len(starts) or starts[at] >= end):
+                starts.insert(at, start), ends.insert(at, end)
+                kept.insert(at, Match(self.names[k], k, n / len(self.words[k]), n, start, end))
+        return kept
+
+    def match(self, k: int, ids: np.ndarray, diagonal: int) -> tuple[int, int, int]:
+        """Words in common, first and last place of a match with template k near a diagonal; 0 words if too few are in common."""
+        want = self.words[k]
+        short = len(want) <= SHORT
+        band = int(self.band[k]) * (1 if short else 2)
+        low = max(diagonal - band, 0)
+        window = ids[low : max(diagonal + band + len(want), 0)]
+        least = max(GRAM, COVERAGE * len(want))
+        if not short:
+            both = np.minimum(np.bincount(window[window >= 0], minlength=len(self.vocabulary)), np.bincount(want, minlength=len(self.vocabulary)))
+            if both.sum() < least:  # no alignment can have more
+                return 0, 0, 0
+            n, first, last = aligned(want, window, diagonal - low, band)
+            return (n, first + low, last + low) if n >= least else (0, 0, 0)
+        key = (k, diagonal - low, window.tobytes())
+        if key not in self.cache:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            found = np.isin(want, window)
+            n, first, last = aligned(want, window, diagonal - low, band) if found.sum() >= least and found[self.telling[want]].all() else (0, 0, 0)
+            self.cache[key] = (n, first, last) if n >= least and self.agree(want, window[first : last + 1]) else (0, 0, 0)
+        n, first, last = self.cache[key]
+        return n, first + low, last + low
+
+    def agree(self, template: np.ndarray, words: np.ndarray) -> bool:
+        """Whether names, variants and numbers are the same in both, in order; a number that no template has agrees with none."""
+        own = words[(words == -3) | ((words >= 0) & self.telling[np.maximum(words, 0)])]
+        return np.array_equal(own, template[self.telling[template]])
+
+
+def scan(documents: DataFrame, templates: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
     """One row a match: doc_id, license, template, coverage, n_words, start, end (code points of the text) and the matched text.
 
-    Null and empty texts have none. Rows that repeat or have no doc_id are scanned each by its own text;
+    Templates are those of license_texts if none are given: notices, and whole license texts, whose coverage tells how
+    much of the license a text holds. Null and empty texts have none. Rows that repeat or have no doc_id are scanned each by its own text;
     other columns don't matter.
     """
-    scanner = Scanner(templates)
+    held = documents.sparkSession.sparkContext.broadcast(Scanner(templates))  # a fixed number of license texts
 
     def find(batch: dict) -> dict:
         out: dict[str, list] = {n: [] for n in ("doc_id", "license", "template", "coverage", "n_words", "start", "end", "matched")}
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            for m in scanner.scan(text):
+            for m in held.value.scan(text):
                 for n, v in zip(out, (doc_id, m.license, m.template, m.coverage, m.matched, m.start, m.end, text[m.start : m.end]), strict=True):
                     out[n].append(v)
         return out

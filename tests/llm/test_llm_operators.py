@@ -8,7 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
-from gazetta.llm import decontam, gbt, html, langid, licenses, minhash, packing, quality, shard, toxicity, urlrules
+from gazetta.llm import decontam, gbt, html, langid, license_texts, licenses, minhash, packing, quality, shard, toxicity, urlrules
 from gazetta.llm.queries import ORACLE_SQL, QUERIES
 from pyspark.sql import functions as F
 
@@ -270,12 +270,60 @@ def test_license_spans_and_coverage():
     assert text[got[0].start : got[0].end] == "Licensed under the  APACHE License, Version 2.0"
     assert scanner.scan("licensed under many terms, released in the wild") == []
     assert [m.license for m in scanner.scan("Licensed under CC BY-NC 4.0.")] == ["CC-BY-NC-4.0"]
-    long = licenses.TEMPLATES[2][1].split()
+    long = dict(license_texts.TEXTS)["MIT"].split()
     edited = " ".join(w for k, w in enumerate(long) if k % 9 != 4)
     (m,) = scanner.scan("Start. " + edited + " end.")
     assert m.license == "MIT" and 0.8 < m.coverage < 1
 
 
+def test_versions_and_variants_of_notices():
+    scanner = licenses.Scanner()
+    for kind in license_texts.CREATIVE:
+        for version in ("2.0", "3.0", "4.0"):
+            assert [m.license for m in scanner.scan(f"It is licensed under CC {kind} {version} here")] == [f"CC-{kind}-{version}"]
+    for text, want in [
+        ("Licensed under the Apache License, Version 1.1", ["Apache-1.1"]), ("Licensed under the Apache License, Version 1.7", []), ("This work is licensed under the GNU General Public License, version 1.", ["GPL-1.0"]),
+        ("Released under the GNU General Public License, version 7.", []), ("Licensed under CC BY-NC-SA 9.0", []),
+    ]:
+        assert [m.license for m in scanner.scan(text)] == want, text
+    for n in (1, 7, 2000):
+        assert len(scanner.scan("Licensed under the MIT License. " * n)) == n
+
+
+def test_whole_license_texts():
+    scanner = licenses.Scanner()
+    for name, text in license_texts.TEXTS:
+        (m,) = scanner.scan("Before it. " + text + " After it.")
+        assert (m.license, m.coverage) == (name, 1.0)
+        words = text.split()
+        (part,) = scanner.scan(" ".join(words[len(words) // 7 :]))  # without its beginning
+        assert part.license == name and 0.8 < part.coverage < 0.9
+
+
+def test_alignment_matches_full_alignment():
+    rng = random.Random(12)
+
+    def common(a, b):  # longest common subsequence, all cells
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = last[j] + 1 if x == y else max(last[j + 1], row[j])
+        return row[-1]
+
+    for _ in range(60):
+        template = np.array([rng.randrange(30) for _ in range(rng.randrange(5, 60))])
+        words = template.tolist()
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(words))
+            words[at : at + rng.randrange(2)] = [rng.randrange(30) for _ in range(rng.randrange(2))]
+        lead = [40] * rng.randrange(9)
+        text = np.array([*lead, *words, *[41] * rng.randrange(9)])
+        n, first, last = licenses.aligned(template, text, len(lead), 30)
+        assert n == common(template.tolist(), text.tolist())
+        assert len(lead) <= first <= last < len(lead) + len(words) and common(template.tolist(), text[first : last + 1].tolist()) == n
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_winnowing_keeps_its_guarantee(seed):
     rng = random.Random(seed)
