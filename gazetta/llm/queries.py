@@ -97,23 +97,25 @@ OP10_SQL = rf"""
 WITH parsed AS (
     SELECT page_id, coalesce(url, '') AS url, {_HOST} AS host, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(url, ''), '://(.*)$', 1) AS rest FROM pages
 ), tokened AS (
-    SELECT *, list_filter([
-        's:' || regexp_extract(url, '^([a-zA-Z]+)://', 1), 't:' || regexp_extract(host, '([^.]+)$', 1), 'd:' || regexp_extract(host, '([^.]+[.][^.]+)$', 1), 'h:' || host,
-        'w:' || regexp_extract(host, '^([^.]+)[.][^.]+[.]', 1), 'p:' || regexp_replace(regexp_extract(path, '^/([^/]+)', 1), '[0-9]+', '#', 'g'), 'x:' || regexp_extract(path, '[.]([A-Za-z0-9]+)$', 1),
-        'q:' || regexp_replace(regexp_extract(rest, '[?]([^#]+)', 1), '=[^&]*', '', 'g'), 'f:' || CASE WHEN contains(rest, '#') THEN '#' ELSE '' END], lambda x: len(x) > 2) AS tokens
-    FROM parsed
-), subsets AS (
-    SELECT DISTINCT tokens, list_sort(list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1)) AS part
-    FROM (SELECT DISTINCT tokens, unnest(range(1, 1 << len(tokens))) AS mask FROM (SELECT DISTINCT tokens FROM tokened))
+    SELECT page_id, host, path, list_sort(list_distinct(list_filter(list_concat(
+        list_transform(range(1, len(l) + 1), lambda k: 'h:' || array_to_string(l[k:], '.')),
+        list_transform(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda x: 'p:' || x),
+        list_transform(string_split(regexp_extract(rest, '[?]([^#]+)', 1), '&'), lambda x: 'q:' || regexp_replace(x, '=.*', '')),
+        ['s:' || regexp_extract(url, '^([a-zA-Z]+)://', 1), 'x:' || regexp_extract(path, '[.]([A-Za-z0-9]+)$', 1), CASE WHEN contains(rest, '#') THEN 'f:#' ELSE '' END]), lambda x: len(x) > 2))) AS tokens
+    FROM (SELECT *, string_split(host, '.') AS l FROM parsed)
 ), marks AS (
     SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id
 ), labelled AS (
     SELECT tokens, bad FROM tokened JOIN marks ON try_cast(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT) = doc_id
+), parts AS (
+    SELECT list_filter(t, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part, bad FROM (SELECT tokens[1:16] AS t, bad, unnest(range(1, 1 << least(len(tokens), 16))) AS mask FROM labelled)
+), counted AS (
+    SELECT part, count(*)::DOUBLE AS n, count(*) FILTER (bad) AS k, count(*) FILTER (bad) / count(*) AS p FROM parts GROUP BY part
 ), rules AS (
-    SELECT part FROM labelled JOIN subsets USING (tokens)
-    GROUP BY part HAVING count(*) FILTER (bad) >= ceil(0.005 * (SELECT count(*) FROM labelled)) AND count(*) FILTER (bad) >= 0.6 * count(*)
+    SELECT part FROM counted WHERE k >= 10 AND k >= 0.005 * (SELECT count(*) FROM labelled)
+        AND (p + 3.8416 / (2 * n) - 1.96 * sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n) >= 0.6
 ), blocked AS (
-    SELECT DISTINCT tokens FROM subsets JOIN rules USING (part)
+    SELECT DISTINCT tokens FROM (SELECT DISTINCT tokens FROM tokened) t JOIN rules ON list_has_all(t.tokens, rules.part)
 ), listed AS (
     SELECT t.*, b.tokens IS NOT NULL AS hit, (SELECT arg_max((r.h || r.p, r.v), length(r.h || r.p)) FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) r(v, h, p)
         WHERE (t.host = r.h OR ends_with(t.host, '.' || r.h)) AND starts_with(t.path, r.p)) AS best

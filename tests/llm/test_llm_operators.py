@@ -640,25 +640,50 @@ def test_held_out_languages_are_never_learned(spark):
 # urls
 
 
-def test_mined_rules_match_brute_force(spark):
+@pytest.mark.parametrize("share", [0.02, 0.3])
+def test_mined_rules_match_brute_force(spark, share):
     rng = random.Random(1)
     rows = []
     for _ in range(600):
         tokens = sorted({f"t{rng.randrange(8)}" for _ in range(5)})
-        rows.append((tokens, ("t1" in tokens and "t2" in tokens and rng.random() < 0.9) or rng.random() < 0.05))
+        rows.append((tokens, ("t1" in tokens and "t2" in tokens and rng.random() < 0.9) or rng.random() < share))
     got = {r.tokens for r in urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.02, 0.6)}
     good = []
     for n in range(1, 6):
         for part in itertools.combinations([f"t{k}" for k in range(8)], n):
             have = [bad for tokens, bad in rows if set(part) <= set(tokens)]
-            if sum(have) >= 0.02 * 600 and sum(have) >= 0.6 * len(have):
+            if sum(have) >= max(0.02 * 600, 10) and urlrules.least_share(sum(have), len(have)) >= 0.6:
                 good.append(frozenset(part))
-    assert got == {g for g in good if not any(h < g for h in good)} and got
+    assert got == {g for g in good if not any(h < g for h in good)} and frozenset({"t1", "t2"}) in got
+    page = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    hits = page.select("tokens", urlrules.matched(F.col("tokens"), [urlrules.Rule(g, 1, 1) for g in got]).alias("hit")).collect()
+    assert all(r.hit == any(g <= set(r.tokens) for g in got) for r in hits)
+
+
+def test_chance_makes_no_rules(spark):
+    rng = random.Random(3)
+    rows = [(sorted({f"t{rng.randrange(40)}" for _ in range(6)}), rng.random() < 0.25) for _ in range(900)]
+    assert urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean")) == []
+
+
+def test_deep_tokens_are_mined_and_matched(spark):
+    rng = random.Random(9)
+    pages, labels = [], []
+    for k in range(400):
+        bad = rng.random() < 0.2
+        url = f"https://s{rng.randrange(9)}.news.example.net/en/{'ads/top' if bad else 'text/top'}/{k}?page=2{'&ref=z' if rng.random() < 0.5 else ''}"
+        pages.append((k, url))
+        labels.append((k, 1 - bad, 0))
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    mined = urlrules.mine(urlrules.labelled(frame.withColumn("url", F.regexp_replace("url", "[?].*", "")), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")))
+    assert frozenset({"p:ads"}) in {r.tokens for r in mined}
+    got = {r.page_id: r.verdict for r in urlrules.judge(frame, mined).collect()}
+    assert got == {k: "block" if "/ads/" in u else "allow" for k, u in pages}
 
 
 def test_listed_rules(spark):
     urls = ["https://a.example.org/es/1", "https://example.org/en/12?x", "http://www.x.com/fr/", "http://x.com/de/1", "http://xorg/", "http://ORG/", "http://x.com/en/"]
-    rows = urlrules.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), [urlrules.Rule(frozenset({"p:en", "t:com"}), 1.0, 1.0)]).orderBy("page_id").collect()
+    rows = urlrules.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), [urlrules.Rule(frozenset({"p:en", "h:com"}), 1.0, 1.0)]).orderBy("page_id").collect()
     assert [(r.rule, r.verdict) for r in rows] == [("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"), (None, "allow"), ("org/", "allow"), (None, "block")]
 
 
