@@ -3,7 +3,9 @@
 Categories are predicted in a fixed order. Each model sees which selected features a text has and the
 log-odds of the categories before it; in training these come from out-of-fold predictions, so a later
 model does not learn to trust what an earlier one remembers. The labels mark toxicity as a whole only:
-that is the last category, and those before it are weakly labelled as toxic texts with a word of a list.
+that is the last category. Those before it are two kinds of toxic texts found in the training sample itself, by
+a cut of the toxic texts along their rarer features: they have numbers, no names, and only the last
+probability has a meaning that labels vouch for.
 """
 
 from __future__ import annotations
@@ -15,14 +17,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.common import map_batches, written
+from gazetta.llm.common import map_batches, scratch
 
-#: Word lists of the weakly labelled categories, in the order of the chain; `toxic` follows them.
-LEXICON = {
-    "insult": ("clown", "dumb", "fool", "idiot", "imbecile", "jerk", "loser", "moron", "pig", "scum", "trash"),
-    "contempt": ("awful", "disgusting", "horrible", "pathetic", "ridiculous", "stupid", "ugly", "useless", "vile", "worthless"),
-}
-CATEGORIES = (*LEXICON, "toxic")
+CATEGORIES = ("kind1", "kind2", "toxic")
 STEMS = (4, 5)  #: word beginnings of these lengths are features too
 FOLDS = 4
 
@@ -114,33 +111,63 @@ def matrix(index: dict[str, int], features: list[set[str]]) -> np.ndarray:
     return x
 
 
+def kinds(x: np.ndarray) -> np.ndarray:
+    """Kind 0 or 1 of each row: the sides of a cut across the direction in which rows differ most, rare features weighing more.
+
+    Each kind gets a quarter of the rows at least, so that every fold has some of each.
+    """
+    w = x * np.log((len(x) + 1) / (x.sum(axis=0) + 1))
+    w = w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+    w = w - w.mean(axis=0)
+    along = np.linspace(1, 2, x.shape[1])  # leading direction by power iteration
+    for _ in range(50):
+        along = w.T @ (w @ along)
+        along = along / max(np.linalg.norm(along), 1e-12)
+    place = np.round(w @ along, 9)
+    low, high = np.quantile(place, [0.25, 0.75])
+    cut = place.mean()
+    for _ in range(20):  # two means on a line
+        above = place > cut
+        if above.all() or not above.any():
+            break
+        cut = float(np.clip((place[above].mean() + place[~above].mean()) / 2, low, high))
+    return (place > cut).astype(np.int64)
+
+
 def train(documents: DataFrame, labels: DataFrame, rows: int = 6_000, selected: int = 700) -> Chain | None:
-    """Fits on at most `rows` labelled documents and the `selected` features that tell toxic ones best. None without both classes."""
+    """Fits on at most `rows` labelled documents (of an id one text counts) and the `selected` features that tell toxic ones best. None without both classes.
+
+    Equal texts are in one fold, so a copy is never predicted from its original.
+    """
     ids = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    sample = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = sample.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int"))
 
     def split(batch: dict) -> dict:
-        return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "have": [sorted(features_of(t)) for t in batch["text"]]}
-
-    sample = written(map_batches(sample, split, "doc_id long, toxic int, have array<string>"), "toxic-sample")
-    n, bad = sample.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
-    if not n or not bad or bad == n:
-        return None
-    counts = sample.select("toxic", F.explode("have").alias("f")).groupBy("f").agg(F.count("*").alias("all"), F.sum((F.col("toxic") == 1).cast("long")).alias("bad"))
-    expected = F.col("all") * (bad / n)
-    chosen = counts.where("all >= 3").orderBy(F.desc(F.abs(F.col("bad") - expected) / F.sqrt(expected)), "f").limit(selected).collect()
-    index = {f: k for k, f in enumerate(sorted({r.f for r in chosen} | {w for words in LEXICON.values() for w in words}))}
-    got = sample.select("doc_id", "toxic", F.array_intersect("have", F.array(*map(F.lit, index))).alias("have")).collect()
-    got.sort(key=lambda r: (r.doc_id, r.toxic, sorted(r.have)))
+        return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "fold": batch["fold"], "have": [sorted(features_of(t)) for t in batch["text"]]}
+
+    with scratch() as keep:
+        sample = keep(map_batches(sample, split, "doc_id long, toxic int, fold int, have array<string>"), "toxic-sample")
+        n, bad = sample.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
+        if not n or not bad or bad == n:
+            return None
+        counts = sample.select("toxic", F.explode("have").alias("f")).groupBy("f").agg(F.count("*").alias("all"), F.sum((F.col("toxic") == 1).cast("long")).alias("bad"))
+        expected = F.col("all") * (bad / n)
+        chosen = counts.where("all >= 3").orderBy(F.desc(F.abs(F.col("bad") - expected) / F.sqrt(expected)), "f").limit(selected).collect()
+        index = {f: k for k, f in enumerate(sorted(r.f for r in chosen))}
+        got = sample.select("doc_id", "toxic", F.array_intersect("have", F.array(*map(F.lit, index)).cast("array<string>")).alias("have"), "fold").collect()
+    got.sort(key=lambda r: (r.doc_id, r.toxic))
     have = [set(r.have) for r in got]
-    toxic = np.array([r.toxic == 1 for r in got], float)
-    y = np.stack([toxic * [any(w in h for w in words) for h in have] for words in LEXICON.values()] + [toxic], axis=1)
-    return fit(matrix(index, have), y, np.array([r.doc_id % FOLDS for r in got]), CATEGORIES, index)
+    x, toxic = matrix(index, have), np.array([r.toxic == 1 for r in got])
+    kind = np.full(len(got), -1)
+    kind[toxic] = kinds(x[toxic])
+    y = np.stack([kind == 0, kind == 1, toxic], axis=1)
+    return fit(x, y, np.array([r.fold for r in got]), CATEGORIES, index)
 
 
 def score(documents: DataFrame, chain: Chain | None) -> DataFrame:
-    """doc_id, p_insult, p_contempt, p_toxic and toxic of every document, from its whole text.
+    """doc_id, p_kind1, p_kind2, p_toxic and toxic of every document, from its whole text.
 
     Null and empty texts, and all texts if nothing could be learned, have probabilities 0 and are not toxic.
     Rows that repeat or have no doc_id are judged each by its own text. Other columns don't matter.
@@ -155,4 +182,4 @@ def score(documents: DataFrame, chain: Chain | None) -> DataFrame:
         flags = p[:, -1] >= (chain.threshold if chain else 2)
         return {"doc_id": batch["doc_id"]} | {f"p_{c}": p[:, k] for k, c in enumerate(CATEGORIES)} | {"toxic": flags}
 
-    return map_batches(documents.select("doc_id", "text"), judge, "doc_id long, p_insult double, p_contempt double, p_toxic double, toxic boolean")
+    return map_batches(documents.select("doc_id", "text"), judge, "doc_id long, " + "".join(f"p_{c} double, " for c in CATEGORIES) + "toxic boolean")

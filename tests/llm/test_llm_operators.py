@@ -248,7 +248,27 @@ def test_chain_finds_toxic_texts_it_was_not_trained_on(spark):
     assert sum(got[k].toxic == (k % 6 == 0) for k in held) == len(held)
     seen = [k for k in range(1500) if k % 6 == 0]
     assert sum(got[k].toxic for k in seen) >= 0.98 * len(seen)
-    assert all(got[k].p_insult > got[k].p_contempt for k, t in rows if k % 6 == 0 and "moron" in t)
+
+
+def test_kinds_are_clusters_of_toxic_texts():
+    rng = np.random.default_rng(2)
+    x = (rng.random((200, 30)) < 0.02).astype(np.float32)
+    x[:100, :4] = 1
+    x[100:, 4:8] = 1
+    own = toxicity.kinds(x)
+    assert len(set(own[:100])) == len(set(own[100:])) == 1 and own[0] != own[150]
+    assert len(toxicity.kinds(x[:1])) == 1 and len(toxicity.kinds(np.zeros((3, 0), np.float32))) == 3
+
+
+def test_copies_are_in_one_fold(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda x, y, fold, names, index: seen.update(x=x, fold=fold))
+    rows = [(k, f"some words of text {k % 7} idiot" if k % 3 == 0 else f"other words {k % 5} of a text") for k in range(60)]
+    toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id long, toxic int"))
+    folds = {}
+    for (_, text), f in zip(rows, seen["fold"], strict=True):  # rows are sorted by id
+        folds.setdefault(text, set()).add(f)
+    assert all(len(v) == 1 for v in folds.values()) and len(set(seen["fold"])) > 1
 
 
 def test_later_models_see_out_of_fold_predictions():
