@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,19 +15,21 @@ def children_of(edges: DataFrame, parent: str, key: str = "parent_code", order:
 
 
 def descend(edges: DataFrame, root: str = "0", most: int = 100) -> DataFrame:
-    """(code, parent_code, depth, path) of all descendants of root, as one recursive query; a code already on its path is not entered again."""
-    spark = edges.sparkSession
-    edges.select("code", "parent_code").createOrReplaceTempView("_edges")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE walk(code, parent_code, depth, path) MAX RECURSION LEVEL {most} AS (
-            SELECT code, parent_code, 1, array(code) FROM _edges WHERE parent_code = :root
-            UNION ALL
-            SELECT e.code, e.parent_code, w.depth + 1, array_append(w.path, e.code) FROM _edges e JOIN walk w ON e.parent_code = w.code WHERE NOT array_contains(w.path, e.code) AND e.code <> :root
-        ) SELECT * FROM walk
-        """,
-        args={"root": root},
-    )
+    """(code, parent_code, depth, path) of all descendants of root; a code already on its path is not entered again.
+
+    One join of the last level with the edges for each level, however many rows it has; deeper than `most` levels is an error.
+    """
+    step = edges.select("code", "parent_code")
+    level = cut(step.where(F.col("parent_code") == root).select("code", "parent_code", F.lit(1).alias("depth"), F.array("code").alias("path")))
+    levels = [level]
+    for _ in range(most):
+        above = level.select(F.col("code").alias("_above"), F.col("depth").alias("_depth"), F.col("path").alias("_path"))
+        below = step.join(above, F.col("parent_code") == F.col("_above")).where(~F.array_contains("_path", F.col("code")) & (F.col("code") != root))
+        level = cut(below.select("code", "parent_code", (F.col("_depth") + 1).alias("depth"), F.array_append("_path", F.col("code")).alias("path")))
+        if level.isEmpty():
+            return reduce(DataFrame.union, levels)
+        levels.append(level)
+    raise RuntimeError(f"the hierarchy is deeper than {most} levels")
 
 
 def expand(edges: DataFrame, seeds: DataFrame, stop_levels: tuple[str, ...] = (), most: int = 100) -> DataFrame:
@@ -68,21 +72,26 @@ def pages_of(total: Column, size: int) -> Column:
     return F.sequence(F.lit(1).cast("long"), F.greatest(F.lit(1).cast("long"), F.ceil(total / size).cast("long")))
 
 
-def adaptive_partitions(counts: DataFrame, threshold: int = 3000, size: int = 100) -> DataFrame:
+def adaptive_partitions(counts: DataFrame, threshold: int = 3000, size: int = 100, completed: DataFrame | None = None, most: int = 100) -> DataFrame:
     """(keyword, code, total, page) of the partitions to read, from counts (keyword, code, parent_code, total).
 
     A node with more than `threshold` items and with children is split into them; every other node whose
-    ancestors are all split is read page by page. Roots have a null parent_code.
+    ancestors are all split is read page by page. Roots have a null parent_code. Nodes among the completed
+    (keyword, code) are left out at every level, with all that lies below them. A hierarchy deeper than
+    `most` levels, or a cycle, is an error.
     """
     # children of one node are listed per keyword, so a node has children if any row names it as a parent
     parents = counts.select("keyword", F.col("parent_code").alias("code")).where("code is not null").distinct().withColumn("_splits", F.lit(True))
     nodes = counts.join(parents, ["keyword", "code"], "left").withColumn("splits", F.coalesce("_splits", F.lit(False)) & (F.col("total") > threshold)).select("keyword", "code", "parent_code", "total", "splits")
+    if completed is not None:
+        nodes = nodes.join(completed.select("keyword", "code"), ["keyword", "code"], "left_anti")
+    nodes = cut(nodes)
     level = nodes.where("parent_code is null")
-    done = level.where("not splits")
-    for _ in range(10):  # administrative hierarchies are five levels deep
+    done = [level.where("not splits")]
+    for _ in range(most):
         above = level.where("splits").select("keyword", F.col("code").alias("parent_code"))
-        level = nodes.join(above, ["keyword", "parent_code"], "left_semi").select("keyword", "code", "parent_code", "total", "splits")
+        level = cut(nodes.join(above, ["keyword", "parent_code"], "left_semi").select("keyword", "code", "parent_code", "total", "splits"))
         if level.isEmpty():
-            break
-        done = done.unionByName(level.where("not splits"))
-    return done.select("keyword", "code", "total", F.explode(pages_of(F.col("total"), size)).alias("page"))
+            return reduce(DataFrame.unionByName, done).select("keyword", "code", "total", F.explode(pages_of(F.col("total"), size)).alias("page"))
+        done.append(level.where("not splits"))
+    raise RuntimeError(f"partitions are split more than {most} times")

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as it is now: checkpointed where the session has a shared folder for that, else cached."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.cache()
+    """df as it is now, checkpointed in the folder of spark.checkpoint.dir. Only a local master may leave it unset; it then gets a temporary one."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not where and context.master.split("[")[0] != "local":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {context.master} share")
+        context.setCheckpointDir(where or tempfile.mkdtemp(prefix="gazetta-"))
+    return df.checkpoint()

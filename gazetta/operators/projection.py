@@ -31,12 +31,16 @@ def place_rows(raw: DataFrame, now: Column, payload: str = "raw") -> DataFrame:
     return rows.select(*[made[f.name].alias(f.name) for f in schemas.PLACE])
 
 
+#: A geometry that is one of these counts as absent.
+EMPTY = ("null", "{}", "[]", '""', "0", "0.0", "-0.0", "false")
+
+
 def detail_rows(results: DataFrame, attempt: Column, worker: Column, now: Column) -> DataFrame:
     """Detail rows of fetch results. Without a geometry object coordinates_json is the text null, and gdm_json a null; error only where not ok."""
     v, gdm = F.col("_v"), F.col("_g")
     rows = results.withColumn("_v", variant.parsed(F.col("data")))
     rows = rows.withColumn("_g", F.try_variant_get(v, "$.gdm", "variant"))
-    there = F.coalesce(~F.is_variant_null(gdm) & F.schema_of_variant(gdm).isin("OBJECT<>", "VOID").eqNullSafe(False), F.lit(False))
+    there = F.coalesce(~F.to_json(gdm).isin(*EMPTY), F.lit(False))
     is_object = ~there | F.schema_of_variant(gdm).startswith("OBJECT")
     plain = "place_code standard_name old_name place_type place_type_code province_name city_name area_name province city area roman_alphabet_spelling ethnic_minorities_writing place_origin place_meaning place_history government_history".split()
     made = {"id": F.col("id")} | {n: F.try_variant_get(v, f"$.{n}", "string") for n in plain}

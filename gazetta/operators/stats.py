@@ -58,13 +58,14 @@ def latency_summary(calls: DataFrame, by: Sequence[str]) -> DataFrame:
     fail = ~F.col("ok")
     key = F.trim(F.split_part("error", F.lit(":"), F.lit(1)))
     rows = calls.groupBy(*by).agg(
-        F.count("*").alias("total"), F.count_if(F.col("ok")).alias("ok"), F.count_if(fail).alias("fail"), F.avg("elapsed_ms").alias("avg_ms"), F.median("elapsed_ms").alias("p50_ms"),
+        F.count("*").alias("total"), F.count_if(F.col("ok")).alias("ok"), F.count_if(fail).alias("fail"), F.avg("elapsed_ms").alias("avg_ms"),
         F.count_if(fail & (F.col("status_code") == 429)).alias("status_429"), F.count_if(fail & (F.col("status_code") == 403)).alias("status_403"), F.count_if(fail & (F.col("status_code") >= 500)).alias("status_5xx"),
         F.count_if(fail & (key == "请求超时")).alias("timeouts"), F.count_if(fail & F.col("error").contains("JSON")).alias("json_failures"),
     )
     rows = rows.withColumn("success_rate", percent(F.col("ok"), F.col("total")))
-    quantiles = exclusive_quantiles(calls, by, "elapsed_ms", {"p95_ms": (0.95, 20), "p99_ms": (0.99, 100)})
-    return rows.join(quantiles, list(by), "left").fillna(0.0, ["avg_ms", "p50_ms", "p95_ms", "p99_ms"])
+    quantiles = exclusive_quantiles(calls, by, "elapsed_ms", {"p50_ms": (0.5, 1), "p95_ms": (0.95, 20), "p99_ms": (0.99, 100)})
+    rows = rows.join(quantiles, list(by), "left").fillna(0.0, ["avg_ms", "p50_ms", "p95_ms", "p99_ms"])
+    return rows.select(*by, "total", "ok", "fail", "avg_ms", "p50_ms", "status_429", "status_403", "status_5xx", "timeouts", "json_failures", "success_rate", "p95_ms", "p99_ms")
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -52,16 +52,24 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[s
     return both.select(*[F.col(c) if c in keys else value(c) for c in old.columns])
 
 
-def upsert_regions(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(old, new, ["code", "version"], keep=["captured_at"])
+def _last(new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One new row a key, as if the rows had been put in one after another: the last in those columns of `order` that there are, ties and no order by the other columns."""
+    order = [c for c in order if c in new.columns]
+    rest = [c for c in new.columns if c not in keys and c not in order]
+    return last_wins(new, keys, [*order, *rest])
 
 
-def upsert_divisions(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(old, new, ["code"], keep=["captured_at"])
+def upsert_regions(old: DataFrame, new: DataFrame, order: Sequence[str] = ("updated_at",)) -> DataFrame:
+    """As the other named upserts: of new rows with one key the last in `order` counts."""
+    return upsert(old, _last(new, ["code", "version"], order), ["code", "version"], keep=["captured_at"])
 
 
-def upsert_places(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(old, new, ["source_id"], keep=["captured_at"])
+def upsert_divisions(old: DataFrame, new: DataFrame, order: Sequence[str] = ("updated_at",)) -> DataFrame:
+    return upsert(old, _last(new, ["code"], order), ["code"], keep=["captured_at"])
+
+
+def upsert_places(old: DataFrame, new: DataFrame, order: Sequence[str] = ("updated_at",)) -> DataFrame:
+    return upsert(old, _last(new, ["source_id"], order), ["source_id"], keep=["captured_at"])
 
 
 def upsert_totals(single: DataFrame, multi: DataFrame, routed: Routed) -> tuple[DataFrame, DataFrame]:
@@ -69,12 +77,12 @@ def upsert_totals(single: DataFrame, multi: DataFrame, routed: Routed) -> tuple[
     return upsert_places(single, single_rows(routed.single)), upsert_places(multi, multi_rows(routed.multi))
 
 
-def upsert_runs(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(old, new, ["run_id"], keep=["source_name", "started_at"])
+def upsert_runs(old: DataFrame, new: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    return upsert(old, _last(new, ["run_id"], order), ["run_id"], keep=["source_name", "started_at"])
 
 
-def upsert_marks(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(old, new, ["parent_code"])
+def upsert_marks(old: DataFrame, new: DataFrame, order: Sequence[str] = ("fetched_at",)) -> DataFrame:
+    return upsert(old, _last(new, ["parent_code"], order), ["parent_code"])
 
 
 def has_mark(marks: DataFrame, parent: str) -> bool:
@@ -82,8 +90,8 @@ def has_mark(marks: DataFrame, parent: str) -> bool:
     return not marks.where(F.col("parent_code") == parent).isEmpty()
 
 
-def upsert_details(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert(old, new, ["id"])
+def upsert_details(old: DataFrame, new: DataFrame, order: Sequence[str] = ("fetched_at", "attempt")) -> DataFrame:
+    return upsert(old, _last(new, ["id"], order), ["id"])
 
 
 def master_rows(details: DataFrame, run_id: Column, now: Column) -> DataFrame:
@@ -95,9 +103,9 @@ def upsert_master(old: DataFrame, details: DataFrame, run_id: Column, now: Colum
     return upsert(old, master_rows(details, run_id, now), ["id"], rules={"first_seen_at": lambda before, after: F.coalesce(before, after)})
 
 
-def upsert_page_divisions(old: DataFrame, new: DataFrame) -> DataFrame:
+def upsert_page_divisions(old: DataFrame, new: DataFrame, order: Sequence[str] = ("captured_at",)) -> DataFrame:
     """Unlike the other upserts, captured_at is replaced too."""
-    return upsert(old, new, ["code"])
+    return upsert(old, _last(new, ["code"], order), ["code"])
 
 
 class Added(NamedTuple):

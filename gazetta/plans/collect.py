@@ -27,19 +27,17 @@ def collect_places(answers: DataFrame, divisions: DataFrame, keywords: Sequence[
     """Searches keywords in the provinces (all if none are given) from answers (keyword, code, page, payload).
 
     The first page of a partition tells its total; beyond the threshold a partition with children is split into
-    them. Partitions that the progress names are left out, the others complete.
+    them. Partitions that the progress names are left out at every level, the others complete.
     """
     found = answers.withColumn("_v", variant.parsed(F.col("payload")))
     totals = found.where("page = 1").select("keyword", "code", variant.total_of(F.col("_v"), F.lit(0).cast("long")).alias("total"))
     tops = search.in_provinces(divisions.where(F.col("parent_code") == ROOT), provinces)
     starts = search.keyword_partitions(keywords, tops)
-    if progress is not None:
-        starts = search.not_completed(starts, progress)
     nodes = divisions.select("code", F.when(F.col("parent_code") != ROOT, F.col("parent_code")).alias("parent_code"))
     counts = totals.join(nodes, "code").select("keyword", "code", "parent_code", "total")
     below = counts.where("parent_code is not null")
     counts = counts.where("parent_code is null").join(starts, ["keyword", "code"], "left_semi").unionByName(below)
-    partitions = hierarchy.adaptive_partitions(counts.select("keyword", "code", "parent_code", "total"), threshold, size)
+    partitions = hierarchy.adaptive_partitions(counts.select("keyword", "code", "parent_code", "total"), threshold, size, progress)
     rows = found.join(partitions.select("keyword", "code", "page"), ["keyword", "code", "page"], "left_semi")
     rank = F.array_position(F.array(*[F.lit(k) for k in keywords]), F.col("keyword"))
     raw = rows.select(

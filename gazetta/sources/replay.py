@@ -83,9 +83,16 @@ def search_answers(answers: DataFrame) -> DataFrame:
     return rows.select("keyword", "code", "page", "total", variant.canonical(F.col("_r")).alias("raw"))
 
 
-def fetch_details(ids: DataFrame, fetch: Callable[[str], tuple[int, str]], qps: float = 0.0) -> DataFrame:
+def wait_before(attempt: int, status: int | None, base: float = 1.0, most: float = 60.0) -> float:
+    """Seconds before the next try, as scalar.backoff without jitter."""
+    known = {429: 5.0 * 2 ** (attempt - 1), 403: 30.0 * 2 ** (attempt - 1)}
+    return min(most, known.get(status, base * 2**attempt if (status or 0) >= 500 else base * attempt))
+
+
+def fetch_details(ids: DataFrame, fetch: Callable[[str], tuple[int, str]], qps: float = 0.0, attempts: int = 1, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """FetchResult rows for ids: fetch returns (status, body) or raises. No fault of it fails the job; all are folded into the row.
 
+    An id is tried up to `attempts` times where scalar.should_retry holds, with a pause before each new try.
     qps bounds the calls of each partition; divide a global rate by the number of partitions.
     """
     names = [f.name for f in schemas.FETCH_RESULT]
@@ -118,9 +125,15 @@ def fetch_details(ids: DataFrame, fetch: Callable[[str], tuple[int, str]], qps:
         for batch in batches:
             rows = []
             for key in batch.column(0).to_pylist():
-                if bucket:
-                    bucket.acquire()
-                rows.append(one(key))
+                for attempt in range(1, attempts + 1):
+                    if bucket:
+                        bucket.acquire()
+                    row = one(key)
+                    again = row[2] in (403, 429) or (row[2] or 0) >= 500 or any(x in (row[5] or "") for x in scalar.RETRY_TEXTS)
+                    if row[1] or not again or attempt == attempts:
+                        break
+                    sleep(wait_before(attempt, row[2]))
+                rows.append(row)
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=t) for k, t in enumerate((pa.string(), pa.bool_(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64()))], names=names)
 
     return ids.select("id").mapInArrow(run, schemas.FETCH_RESULT)

@@ -107,6 +107,36 @@ def test_adaptive_partitions(spark):
     assert got == {("尾", "3501", 1), ("尾", "3501", 2), ("尾", "3502", 1), *(("尾", "44", p) for p in range(1, 51)), ("村", "35", 1)}  # a leaf is paged however large
 
 
+def test_partitions_are_split_at_any_depth(spark):
+    chain = [("k", str(n), str(n - 1) if n else None, 5000) for n in range(16)]
+    counts = spark.createDataFrame(chain, "keyword string, code string, parent_code string, total long")
+    assert {(r.code, r.page) for r in hierarchy.adaptive_partitions(counts).collect()} == {("15", p) for p in range(1, 51)}
+    assert hierarchy.adaptive_partitions(counts, completed=spark.createDataFrame([("k", "9")], "keyword string, code string")).count() == 0
+    with pytest.raises(RuntimeError):
+        hierarchy.adaptive_partitions(counts, most=5)
+    with pytest.raises(RuntimeError):
+        hierarchy.descend(counts.select("code", F.coalesce("parent_code", F.lit("-")).alias("parent_code")), "-", most=5)
+
+
+def test_hierarchies_of_more_than_a_million_rows(spark):
+    edges = spark.range(1_100_000).select(F.concat(F.lit("c"), "id").alias("code"), F.lit("0").alias("parent_code"))
+    assert hierarchy.descend(edges).agg(F.count("*"), F.max("depth")).first()[:] == (1_100_000, 1)
+
+
+def test_repeated_keys_of_an_upsert(spark):
+    old = spark.createDataFrame([("a", "old", "t0", "t0")], "code string, name string, captured_at string, updated_at string")
+    new = spark.createDataFrame([("a", "x", "t1", "t1"), ("a", "y", "t2", "t3"), ("a", "z", "t3", "t2"), ("b", "p", "t1", "t1"), ("b", "q", "t1", "t1")], old.schema)
+    assert sorted(map(tuple, upsert.upsert_divisions(old, new).collect())) == [("a", "y", "t0", "t3"), ("b", "q", "t1", "t1")]
+    assert sorted(map(tuple, upsert.upsert_page_divisions(old, new, ["updated_at"]).collect())) == [("a", "y", "t2", "t3"), ("b", "q", "t1", "t1")]
+
+
+@pytest.mark.parametrize("gdm", ["null", "[]", '""', "0", "false", "{}"])
+def test_empty_geometries_count_as_absent(spark, gdm):
+    rows = spark.createDataFrame([("a", True, 200, '{"gdm": %s}' % gdm, "{}", None, 1.0)], schemas.FETCH_RESULT)
+    row = projection.detail_rows(rows, F.lit(1), F.lit("w"), F.lit("t")).first()
+    assert (row.geometry_type, row.coordinates_json, row.gdm_json) == (None, "null", None)
+
+
 def test_geocoding(spark):
     regions = files.sample_regions(spark, "t")
     got = {r.code: r.longitude for r in hierarchy.fill_coordinates(regions, files.sample_points(spark)).collect()}
