@@ -111,7 +111,7 @@ def placed(rows: DataFrame, capacity: int, block: int, base: int) -> DataFrame:
     return rows.mapInArrow(run, PLACED)
 
 
-def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
+def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, clusters: DataFrame | None = None) -> DataFrame:
     """doc_id, piece, n_tokens, bin_id, bin_offset, source and cluster of every piece of every document.
 
     Tokens are the words [^\\x20\\x09-\\x0D]+ of the whole text. A document longer than a bin is cut:
@@ -119,6 +119,8 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
     of one source or of one duplicate cluster (texts with the same words, A-Z lower-cased); pieces of one
     document have its source and so never meet. A null source conflicts with nothing. Null, empty and
     wordless texts are one piece of 0 tokens in bin -1. Rows that repeat are packed each on its own.
+    clusters (doc_id, cluster), such as the components of minhash.near_duplicates, widens clusters to near
+    copies: texts whose ids have one cluster there never share a bin; ids that it lacks keep their own.
     Blocks are dealt by a hash of the rows, so files and partitions don't decide what meets; pieces in
     poorly filled bins of all blocks are dealt and packed again. bin_id is unique: it is made of the
     block and the bin. Other columns are ignored.
@@ -127,6 +129,10 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) ->
     plain = F.trim(F.regexp_replace(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[ \\t\\n\\x0B\\f\\r]+", " "))
     words = F.when(plain == "", F.lit(0)).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1)
     rows = documents.select("doc_id", "source", words.cast("long").alias("n"), F.xxhash64(plain).alias("cluster"))
+    if clusters is not None:
+        given = clusters.where("doc_id is not null").groupBy("doc_id").agg(F.min("cluster").cast("long").alias("_given"))
+        own = F.when(F.col("_given").isNull(), F.col("cluster")).otherwise(F.xxhash64(F.lit("given"), "_given"))
+        rows = rows.join(given, "doc_id", "left").select("doc_id", "source", "n", own.alias("cluster"))
     cut = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / capacity), F.lit(1)).cast("long") - 1))
     rows = rows.select("doc_id", cut.alias("piece"), "n", "source", "cluster")
     rows = rows.withColumn("n_tokens", F.least(F.lit(capacity), F.col("n") - F.col("piece") * capacity).cast("long")).select(*COLUMNS)

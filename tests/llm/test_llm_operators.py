@@ -404,6 +404,16 @@ def test_references_and_spaces():
     assert text == "A & B\none two é three\nQuite a long paragraph, with text."
 
 
+def test_near_copies_can_be_kept_apart(spark):
+    rows = spark.createDataFrame([(k, f"w{k} " * 10, f"s{k}") for k in range(40)], "doc_id long, text string, source string")
+    clusters = spark.createDataFrame([(k, k % 2) for k in range(30)], "doc_id long, cluster long")
+    bins = {}
+    for r in packing.pack(rows, capacity=100, clusters=clusters).collect():
+        bins.setdefault(r.bin_id, []).append(r.doc_id)
+    assert all(sum(i < 30 and i % 2 == p for i in ids) <= 1 for ids in bins.values() for p in (0, 1))
+    assert len({r.bin_id for r in packing.pack(rows, capacity=100).collect()}) == 4 < len(bins)
+
+
 def test_packing_does_not_depend_on_the_layout(spark):
     rows = [(k, "w " * (1 + k * 37 % 900), f"s{k // 100}") for k in range(1200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
