@@ -270,7 +270,7 @@ def fold(key: Column) -> Column:
 
 
 #: A text fits its language if its log-likelihood a letter is not further below the sample's mean than this, or so many standard deviations.
-LEAST_MARGIN, DEVIATIONS = 1.2, 8
+LEAST_MARGIN, DEVIATIONS = 1.4, 8
 
 
 def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 300, languages: int = 100) -> Model:
