@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 from gazetta import schemas
 from gazetta.functions import html, scalar, variant
 from gazetta.operators import hierarchy, projection, search, upsert
+from gazetta.operators.lineage import cut
 from gazetta.sinks import exports
-from gazetta.sources import files
+from gazetta.sources import files, replay
 
 ROOT = "0"
 
@@ -49,6 +51,35 @@ def collect_places(answers: DataFrame, divisions: DataFrame, keywords: Sequence[
     return Collected(places, partitions, upsert.union_tokens(progress, tokens) if progress is not None else tokens)
 
 
+def search_live(
+    divisions: DataFrame, keywords: Sequence[str], fetch: Callable[[str, str, int], tuple[int, str]], progress: DataFrame | None = None, provinces: Sequence[str] | None = None,
+    threshold: int = 3000, size: int = 100, parallel: int = 8, qps: float = 0.0, attempts: int = 3, most: int = 100,
+) -> DataFrame:
+    """Answers (keyword, code, page, payload, error) that `collect_places` needs, fetched over a transport by `parallel` tasks.
+
+    Each level is two jobs: the first pages of its partitions, then the other pages of those that are not split
+    into their children. Partitions in `progress` are not asked for. Requests that fail stay as rows with an error.
+    """
+    ask = lambda rows: cut(replay.fetch_answers(rows.repartition(parallel), fetch, qps, attempts))
+    nodes = divisions.select("code", "parent_code")
+    level = search.keyword_partitions(keywords, search.in_provinces(nodes.where(F.col("parent_code") == ROOT), provinces))
+    inner = nodes.select(F.col("parent_code").alias("code")).distinct().withColumn("_inner", F.lit(True))
+    answers = []
+    for _ in range(most):
+        level = search.not_completed(level, progress) if progress is not None else level
+        first = ask(level.withColumn("page", F.lit(1)))
+        if first.isEmpty():
+            out = reduce(DataFrame.unionByName, answers) if answers else first
+            return out.drop("status")
+        answers.append(first)
+        told = first.where("payload is not null").join(inner, "code", "left").withColumn("total", variant.total_of(variant.parsed(F.col("payload")), F.lit(0).cast("long")))
+        told = cut(told.select("keyword", "code", "total", (F.coalesce("_inner", F.lit(False)) & (F.col("total") > threshold)).alias("splits")))
+        rest = told.where("not splits").select("keyword", "code", F.explode(hierarchy.pages_of(F.col("total"), size)).alias("page")).where("page > 1")
+        answers.append(ask(rest))
+        level = told.where("splits").select("keyword", F.col("code").alias("parent_code")).join(nodes, "parent_code").select("keyword", "code")
+    raise RuntimeError(f"partitions are split more than {most} times")
+
+
 def crawl_divisions(pages: DataFrame, seeds: DataFrame, base_url: str, most: int = 20) -> DataFrame:
     """Divisions reached from the seeds (code) over pages (code, url, html): provinces and cities are entered, the tables of the others give their towns."""
     own = html.divisions_of(pages.select("html", "url")).where("code <> ''")

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta import schemas
-from gazetta.operators import projection, tasks
+from gazetta.operators import projection, stats, tasks
 from gazetta.operators.lineage import cut
 from gazetta.sources import replay
 from gazetta.streaming import control
@@ -77,3 +78,31 @@ def run_details(
         state = store(tasks.mark_open(state, bad.where(last).select("id", "error"), "failed", now))
         batches, done, failed = batches + 1, done + good.count(), failed + bad.count()
     return DetailRun(state, control.read_master(spark, f"{folder}/master"), batches, done, failed)
+
+
+#: Calls a second that a calibration tries, one level after another.
+LADDER = (1, 2, 5, 10, 20, 30, 50)
+
+
+class Calibration(NamedTuple):
+    levels: DataFrame  #: latency_summary by qps, of the levels that were tried
+    calls: DataFrame  #: FetchResult rows with their qps
+    rate: DataFrame  #: one row, as stats.safe_rate
+
+
+def calibrate(ids: DataFrame, fetch: Callable[[str], tuple[int, str]], ladder: Sequence[float] = LADDER, seconds: float = 30.0, sample: int = 100) -> Calibration:
+    """Places calls for `sample` ids (by a hash of the id) at each rate of the ladder; the first level with a 429 or 403 is the last.
+
+    A level makes as many calls as its rate allows in `seconds`, at most one for each id of the sample, from one
+    task, so its token bucket holds the whole rate. No call is tried again.
+    """
+    chosen = cut(ids.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample))
+    tried: list[DataFrame] = []
+    for qps in ladder:
+        calls = chosen.limit(max(1, int(qps * seconds))).coalesce(1)
+        tried.append(cut(replay.fetch_details(calls, fetch, qps).withColumn("qps", F.lit(float(qps)))))
+        if not tried[-1].where("status_code in (403, 429)").isEmpty():
+            break
+    calls = reduce(DataFrame.unionByName, tried)
+    levels = cut(stats.latency_summary(calls, ["qps"]))
+    return Calibration(levels, calls, stats.safe_rate(levels))

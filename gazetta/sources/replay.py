@@ -83,6 +83,46 @@ def search_answers(answers: DataFrame) -> DataFrame:
     return rows.select("keyword", "code", "page", "total", variant.canonical(F.col("_r")).alias("raw"))
 
 
+def fetch_answers(requests: DataFrame, fetch: Callable[[str, str, int], tuple[int, str]], qps: float = 0.0, attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Answers (keyword, code, page, status, payload, error) to requests (keyword, code, page); fetch returns (status, body) or raises.
+
+    Each request is tried up to `attempts` times where its status or fault is worth it; one that fails gives a
+    row with an error and no payload. qps bounds the calls of each partition.
+    """
+    schema = pa.schema([("keyword", pa.string()), ("code", pa.string()), ("page", pa.int64()), ("status", pa.int32()), ("payload", pa.string()), ("error", pa.string())])
+
+    def one(keyword: str, code: str, page: int) -> tuple[int | None, str | None, str | None]:
+        try:
+            status, body = fetch(keyword, code, page)
+        except TimeoutError:
+            return None, None, "请求超时"
+        except ConnectionError as e:
+            return None, None, f"连接错误: {e}"
+        except Exception as e:
+            return None, None, f"{type(e).__name__}: {e}"
+        return (status, body, None) if status == 200 else (status, None, f"HTTP {status}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from gazetta.streaming.control import TokenBucket
+
+        bucket = TokenBucket(qps) if qps > 0 else None
+        for batch in batches:
+            rows = []
+            for request in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for attempt in range(1, attempts + 1):
+                    if bucket:
+                        bucket.acquire()
+                    status, body, error = one(*request)
+                    again = status in (403, 429) or (status or 0) >= 500 or any(x in (error or "") for x in scalar.RETRY_TEXTS)
+                    if error is None or not again or attempt == attempts:
+                        break
+                    sleep(wait_before(attempt, status))
+                rows.append((*request, status, body, error))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=f.type) for k, f in enumerate(schema)], schema=schema)
+
+    return requests.select("keyword", "code", F.col("page").cast("long").alias("page")).mapInArrow(run, "keyword string, code string, page long, status int, payload string, error string")
+
+
 def wait_before(attempt: int, status: int | None, base: float = 1.0, most: float = 60.0) -> float:
     """Seconds before the next try, as scalar.backoff without jitter."""
     known = {429: 5.0 * 2 ** (attempt - 1), 403: 30.0 * 2 ** (attempt - 1)}
