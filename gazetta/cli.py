@@ -13,13 +13,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.operators import stats, tasks, upsert
-from gazetta.operators.lineage import cut
 from gazetta.plans import collect, details
 from gazetta.sinks import exports
 from gazetta.sources import files
+from gazetta.streaming import control
 
 MODES = ("contain", "exact")
-SECTIONS = ("crawl", "storage", "runtime")
 
 
 def transport(name: str) -> Callable:
@@ -45,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
     add("search-live", "collect places over a transport, in --out; goes on from its progress with --resume", "transport", "divisions", "chars", "out", mode={"choices": MODES, "default": "contain"}, provinces={"nargs": "*"}, resume={"action": "store_true"}, threshold={"type": int, "default": 3000}, page_size={"type": int, "default": 100}, workers={"type": int, "default": 8}, qps={"type": float, "default": 0.0})
     add("details", "fetch the details of open tasks in --folder", "transport", "folder", "run-id", ids={"nargs": "*", "default": []}, batch={"type": int, "default": 5000}, attempts={"type": int, "default": 3}, qps={"type": float, "default": 0.0}, max_runtime_seconds={"type": float})
     add("ladder", "place calls at rising rates until one is refused", "transport", levels={"nargs": "+", "type": float, "default": list(details.LADDER)}, ids={"nargs": "+", "required": True}, seconds={"type": float, "default": 30.0}, sample={"type": int, "default": 100}, out={})
-    add("show-config", "the settings as they hold: YAML, then an env file, then the environment", config={"default": "config.yaml"}, env_file={"default": ".env"}, prefix={"default": "GAZETTA_"})
+    add("show-config", "the settings as they hold: YAML, then an env file, then the environment", config={"default": "config.yaml"}, sections={"nargs": "*", "default": []}, env_file={"default": ".env"}, prefix={"default": "GAZETTA_"})
     add("divisions", "crawl divisions from pages", "pages", "seed", "out", base_url={"default": ""})
     add("export", "export a table", "table", "out", formats=formats, name={"default": "places"}, keys={"nargs": "*", "default": []})
     add("sync-ids", "add the ids of files to a pool", "pool", "out", ids=many)
@@ -71,29 +70,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         got.progress.write.mode("overwrite").parquet(f"{args.out}/progress")
         shown = {r.keyword: r.n_places for r in collect.summary(read(f"{args.out}/places")).collect()}
     elif args.command == "search-live":
-        chars, before = files.characters(spark, args.chars).first().chars, None
-        if args.resume:
-            before = read(f"{args.out}/progress")
-        divisions = read(args.divisions)
+        chars, divisions, before = files.characters(spark, args.chars).first().chars, read(args.divisions), None
+        if args.resume and control.listed(spark, f"{args.out}/progress"):
+            before = read(f"{args.out}/progress").select("keyword", "code").distinct()
         answers = collect.search_live(divisions, chars, transport(args.transport), before, args.provinces, args.threshold, args.page_size, args.workers, args.qps)
         got = collect.collect_places(answers, divisions, chars, F.lit(now), before, args.provinces, args.mode, args.threshold, args.page_size)
+        run = "run=" + now.translate({ord(c): None for c in "-:+T"})
         failed = answers.where("error is not null")
-        run = now.translate({ord(c): None for c in "-:+T"})
-        got.places.write.parquet(f"{args.out}/places/run={run}")
-        lost = failed.select("keyword", "code").distinct()
-        cut(got.progress.join(lost, ["keyword", "code"], "left_anti")).write.mode("overwrite").parquet(f"{args.out}/progress")
-        shown = {"places": read(f"{args.out}/places/run={run}").count(), "failed_requests": failed.count()}
+        got.places.write.mode("overwrite").parquet(f"{args.out}/places/{run}")
+        collect.whole(got.progress, failed, divisions).write.mode("overwrite").parquet(f"{args.out}/progress/{run}")
+        shown = {"places": read(f"{args.out}/places/{run}").count(), "failed_requests": failed.count()}
     elif args.command == "details":
         ids = files.ids(spark, *args.ids) if args.ids else None
         done = details.run_details(spark, args.folder, transport(args.transport), getattr(args, "run_id"), ids, args.batch, args.attempts, qps=args.qps, seconds=args.max_runtime_seconds)
-        shown = {"batches": done.batches, "done": done.done, "failed": done.failed, "master": done.master.count()}
+        shown = {"batches": done.batches, "done": done.done, "failed": done.tasks.where("status = 'failed'").count(), "master": done.master.count()}
     elif args.command == "ladder":
         got = details.calibrate(files.ids(spark, *args.ids), transport(args.transport), args.levels, args.seconds, args.sample)
         if args.out:
             got.calls.write.mode("overwrite").parquet(args.out)
         shown = {"levels": [r.asDict() for r in got.levels.orderBy("qps").collect()], **got.rate.first().asDict()}
     elif args.command == "show-config":
-        shown = files.merged_settings(files.yaml_settings(args.config, SECTIONS), files.prefixed(files.env_file(args.env_file), args.prefix), files.prefixed(os.environ, args.prefix))
+        shown = files.merged_settings(files.yaml_settings(args.config, args.sections), files.prefixed(files.env_file(args.env_file), args.prefix), files.prefixed(os.environ, args.prefix))
     elif args.command == "divisions":
         rows = collect.crawl_divisions(read(args.pages), spark.createDataFrame([(args.seed,)], "code string"), args.base_url)
         rows.withColumn("captured_at", F.lit(now)).write.mode("overwrite").parquet(args.out)

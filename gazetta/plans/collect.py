@@ -80,6 +80,18 @@ def search_live(
     raise RuntimeError(f"partitions are split more than {most} times")
 
 
+def whole(progress: DataFrame, failed: DataFrame, divisions: DataFrame, most: int = 100) -> DataFrame:
+    """progress without the (keyword, code) of failed requests and those above them, so that a resumed run asks for them again."""
+    parents = divisions.select("code", "parent_code").where(F.col("parent_code") != ROOT)
+    level = cut(failed.select("keyword", "code").distinct())
+    for _ in range(most):
+        if level.isEmpty():
+            return progress
+        progress = progress.join(level, ["keyword", "code"], "left_anti")
+        level = cut(level.join(parents, "code").select("keyword", F.col("parent_code").alias("code")).distinct())
+    raise RuntimeError(f"the divisions are deeper than {most} levels")
+
+
 def crawl_divisions(pages: DataFrame, seeds: DataFrame, base_url: str, most: int = 20) -> DataFrame:
     """Divisions reached from the seeds (code) over pages (code, url, html): provinces and cities are entered, the tables of the others give their towns."""
     own = html.divisions_of(pages.select("html", "url")).where("code <> ''")

@@ -26,7 +26,7 @@ class DetailRun(NamedTuple):
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n[2:]) for n in control._listed(spark, root) if n.startswith("v=") and "_SUCCESS" in control._listed(spark, f"{root}/{n}"))
+    return sorted(int(n[2:]) for n in control.listed(spark, root) if n.startswith("v=") and "_SUCCESS" in control.listed(spark, f"{root}/{n}"))
 
 
 def read_tasks(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,7 +56,7 @@ def run_details(
         version += 1
         rows.select(*schemas.TASK.fieldNames()).write.mode("overwrite").parquet(f"{folder}/tasks/v={version}")
         for old in _versions(spark, f"{folder}/tasks")[:-2]:
-            control._delete(spark, f"{folder}/tasks/v={old}")
+            control.delete(spark, f"{folder}/tasks/v={old}")
         return read_tasks(spark, folder)
 
     state = tasks.release_claims(read_tasks(spark, folder), now)

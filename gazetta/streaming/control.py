@@ -52,14 +52,14 @@ def persist_step(n_chars: int) -> int:
 BUCKETS = 64
 
 
-def _listed(spark: SparkSession, path: str) -> list[str]:
+def listed(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, none if it is missing."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
     return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
@@ -67,8 +67,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 def bucket_paths(spark: SparkSession, root: str) -> dict[int, list[str]]:
     """Folders root/v=<n>/bucket=<b> of each bucket, newest first, from versions that were written to their end."""
     out: dict[int, list[str]] = {}
-    for version in sorted((int(n[2:]) for n in _listed(spark, root) if n.startswith("v=")), reverse=True):
-        names = _listed(spark, f"{root}/v={version}")
+    for version in sorted((int(n[2:]) for n in listed(spark, root) if n.startswith("v=")), reverse=True):
+        names = listed(spark, f"{root}/v={version}")
         if "_SUCCESS" in names:
             for n in names:
                 if n.startswith("bucket="):
@@ -88,7 +88,7 @@ def merge_version(batch: DataFrame, root: str, number: int, run_id: str, order:
     A version that is there is not written again; of each bucket the version before stays for readers, older ones go.
     """
     spark = batch.sparkSession
-    if "_SUCCESS" in _listed(spark, f"{root}/v={number}"):
+    if "_SUCCESS" in listed(spark, f"{root}/v={number}"):
         return
     bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
     new = cut(upsert.last_wins(batch.where("id is not null and raw_json is not null"), ["id"], order))
@@ -101,7 +101,7 @@ def merge_version(batch: DataFrame, root: str, number: int, run_id: str, order:
     out.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/v={number}")
     for b in touched:
         for path in paths.get(b, [])[1:]:
-            _delete(spark, path)
+            delete(spark, path)
 
 
 def merge_stream(details: DataFrame, root: str, checkpoint: str, run_id: str, every: str | None = None) -> StreamingQuery:

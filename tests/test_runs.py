@@ -76,3 +76,52 @@ def test_command_line(spark, tables, capsys):
     assert {r.id: r.status for r in spark.read.parquet(f"{folder}/tasks2").collect()} == {"a": "pending", "b": "done"}
     with pytest.raises(SystemExit):
         cli.main(["search", "--answers", "x", "--divisions", "x", "--chars", "x", "--out", "x", "--mode", "fuzzy"], spark)
+
+
+def live(broken=()):
+    import json  # the function travels to workers that do not know this module
+
+    def fetch(keyword, code, page):
+        """11 and 12 lie in the province 1, which has too much to read; 2 has three pages of two."""
+        if (code, page) in broken:
+            return 503, ""
+        total = {"1": 50, "11": 1, "12": 3, "2": 5}[code]
+        return 200, json.dumps({"total": total, "records": [{"id": f"{keyword}{code}.{k}", "standard_name": "x"} for k in range(2 * page - 2, min(2 * page, total))]})
+
+    return fetch
+
+
+def test_a_live_search_goes_on_where_requests_failed(spark):
+    divisions = spark.createDataFrame([("1", "0"), ("2", "0"), ("11", "1"), ("12", "1")], "code string, parent_code string")
+    run = lambda fetch, before: collect.search_live(divisions, ["a"], fetch, before, threshold=10, size=2, parallel=2, attempts=1)
+    got = run(live({("12", 2), ("2", 1)}), None)
+    assert {(r.code, r.page) for r in got.where("error is null").collect()} == {("1", 1), ("11", 1), ("12", 1)}
+    assert {(r.code, r.page, r.error) for r in got.where("error is not null").collect()} == {("12", 2, "HTTP 503"), ("2", 1, "HTTP 503")}
+    found = collect.collect_places(got, divisions, ["a"], F.lit("t"), threshold=10, size=2)
+    progress = collect.whole(found.progress, got.where("error is not null"), divisions)
+    assert {r.code for r in progress.collect()} == {"11"}
+    again = run(live(), progress)
+    assert {(r.code, r.page) for r in again.collect()} == {("1", 1), ("12", 1), ("12", 2), ("2", 1), ("2", 2), ("2", 3)}
+    rest = collect.collect_places(again, divisions, ["a"], F.lit("t"), progress, threshold=10, size=2)
+    ids = {r.source_id for r in found.places.unionByName(rest.places).collect()}
+    assert ids == {"a11.0", *(f"a12.{k}" for k in range(3)), *(f"a2.{k}" for k in range(5))}
+    assert {r.code for r in rest.progress.collect()} == {"1", "2", "11", "12"}
+    assert run(live(), rest.progress).isEmpty()
+
+
+def test_commands_over_a_transport(spark, tmp_path, capsys, monkeypatch):
+    show = lambda *argv: (cli.main(list(argv), spark), json.loads(capsys.readouterr().out))[1]
+    rows = [("r0", "0"), ("r1", "0"), ("n1", "r0"), ("n2", "r0")]
+    spark.createDataFrame(rows, "code string, parent_code string").write.parquet(f"{tmp_path}/divisions")
+    search = ["search-live", "--transport", "gazetta.plans.storage:_search", "--divisions", f"{tmp_path}/divisions", "--chars", "a", "--out", f"{tmp_path}/out", "--page-size", "10", "--workers", "2", "--resume"]
+    assert show(*search) == {"places": 25 + 7 + 14, "failed_requests": 0}
+    assert show(*search)["places"] == 0
+    (tmp_path / "ids").write_text("\n".join(str(k) for k in range(1, 13)), "utf-8")
+    ids = ["--ids", f"{tmp_path}/ids"]
+    got = show("details", "--transport", "gazetta.plans.storage:_detail", "--folder", f"{tmp_path}/run", "--run-id", "r", *ids, "--batch", "100", "--attempts", "1", "--max-runtime-seconds", "600")
+    assert got == {"batches": 5, "done": 8, "failed": 4, "master": 8}
+    got = show("ladder", "--transport", "gazetta.plans.storage:_limited", *ids, "--levels", "200", "400", "--seconds", "1", "--out", f"{tmp_path}/calls")
+    assert [(r["qps"], r["total"], r["ok"]) for r in got["levels"]] == [(200, 12, 9), (400, 12, 9)] and spark.read.parquet(f"{tmp_path}/calls").count() == 24
+    monkeypatch.setenv("GAZETTA_SIZE", "9")
+    (tmp_path / "c.yaml").write_text("crawl:\n  size: 5\nname: a\n", "utf-8")
+    assert show("show-config", "--config", f"{tmp_path}/c.yaml", "--sections", "crawl", "--env-file", f"{tmp_path}/none") == {"size": "9", "name": "a"}
