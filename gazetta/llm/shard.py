@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazetta.llm.common import written
+
 #: Slots are numbered in this many independent blocks per shard, so no task sorts a whole shard.
 BLOCKS = 1024
 #: Rows that one inner sequence expands; equal rows are carried as counts until the last step.
@@ -45,6 +47,7 @@ def assign(documents: DataFrame, weights: Sequence[float], grown_weight: float =
     groups = groups.withColumn("shard", pick(F.col("doc_id"), weights)).withColumn("_all", pick(F.col("doc_id"), [*weights, grown_weight]))
     whole = F.concat_ws("#", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size", "text_crc32")
     groups = groups.withColumn("_block", (F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("long") % BLOCKS).cast("int"))
+    groups = written(groups, "shards")  # counted and numbered below, without reading the texts again
     order = ["doc_id", "size", "text_crc32"]
     inside = Window.partitionBy("shard", "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
