@@ -12,12 +12,20 @@ from gazetta.llm.common import shared_dir, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the base rules or the trees reject."""
+    """Drops documents that the base rules or the trees reject.
+
+    Null, empty and very short texts fail the base rules and go. Each row is judged by its whole text alone, so rows
+    that repeat have one fate; labels of unknown documents teach nothing, and no documents give no rows.
+    """
     return quality.keep(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are in no language learned from the documents themselves."""
+    """Drops documents that are in no language learned from the documents themselves.
+
+    Null texts and those without letters go; a null lang teaches nothing, but its document is judged like any other.
+    Rows that repeat have one fate.
+    """
     return langid.keep(docs, langid.train(docs))
 
 
@@ -38,12 +46,20 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with a passage of the benchmark."""
+    """Drops documents with a passage of the benchmark, wherever in the text it stands.
+
+    Null and empty texts hold no passage and stay, null and empty items are found nowhere, and an empty benchmark
+    drops nothing. Rows that repeat have one fate.
+    """
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into bins; one row for each piece of a document."""
+    """Packs what is left into bins; one row for each piece of a document.
+
+    Null, empty and wordless texts are one piece of no tokens in bin -1, rows that repeat are packed each on its own,
+    and a document longer than a bin is cut into pieces. No documents give no rows.
+    """
     return packing.pack(docs)
 
 
