@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazetta.llm import decontam, html, langid, licenses, minhash, packing, quality, shard, toxicity, urlrules
+from gazetta.llm import decontam, html, langid, lexical, licenses, minhash, mixing, packing, quality, shard, toxicity, urlrules, whitening
 from gazetta.llm.common import table
 
 
@@ -55,6 +55,18 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(pages, urlrules.mine(urlrules.labelled(pages, table(spark, sf_dir, "labels"))))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decide(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_langid": op9_langid,
     "op10_urls": op10_urls,
+    "op11_mixing": op11_mixing,
+    "op12_whitening": op12_whitening,
+    "op13_search": op13_search,
 }
 
 _UNIT = "((('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '#{s}'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)"
@@ -124,8 +139,51 @@ WITH parsed AS (
 SELECT page_id, host, path, best[1] AS rule, coalesce(best[2], CASE WHEN hit THEN 'block' ELSE 'allow' END) AS verdict FROM listed
 """
 
+OP11_SQL = r"""
+WITH keyed AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        md5(concat_ws('#', coalesce(doc_id::VARCHAR, 'null'), md5('s' || source), md5(coalesce(text, '')))) AS key
+    FROM documents
+), sources AS (
+    SELECT source, source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight
+    FROM (SELECT source, sum(size)::BIGINT AS source_size FROM keyed GROUP BY source)
+), filled AS (
+    SELECT *, 3 * source_size * (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) < weight * (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0)) AS over
+    FROM sources WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), rest AS (
+    SELECT sum(source_size) - coalesce(sum(3 * source_size) FILTER (over), 0) AS words, coalesce(sum(weight) FILTER (NOT over), 1) AS weight FROM filled
+), rated AS (
+    SELECT source, source_size, CASE WHEN over THEN (3 * source_size)::DOUBLE ELSE (filled.weight * rest.words)::DOUBLE / rest.weight::DOUBLE END AS target FROM filled, rest
+), drawn AS (
+    SELECT *, ((('0x' || substr(md5(key || '#' || row_number() OVER (PARTITION BY key) - 1 || '#11'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0) AS u FROM keyed
+), rate AS (
+    SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THEN least(target / source_size::DOUBLE, 3.0) ELSE 0.0 END AS r FROM drawn JOIN rated ON drawn.source IS NOT DISTINCT FROM rated.source
+)
+SELECT doc_id, size, source_size, target, (size * (floor(r) + (u < r - floor(r))::BIGINT))::BIGINT AS taken FROM rate
+"""
+
+OP13_SQL = r"""
+WITH parsed AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), asked AS (
+    SELECT item, item_id, unnest(list_distinct(t)) AS term FROM (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark)
+), corpus AS (
+    SELECT count(*) AS docs, sum(len(t))::BIGINT AS words FROM parsed WHERE len(t) > 0
+), postings AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(t) AS n, unnest(t) AS term FROM parsed) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighed AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, corpus GROUP BY term
+), scored AS (
+    SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+    FROM asked JOIN postings USING (term) JOIN weighed USING (term), corpus GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op10_urls": OP10_SQL,
+    "op11_mixing": OP11_SQL,
+    "op13_search": OP13_SQL,
     "op2_sharding": OP2_SQL,
     "op3_minhash": r"""
 WITH RECURSIVE tokens AS (

@@ -1,7 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, for every operator and stage."""
 
 import pytest
-from gazetta.llm import decontam, html, langid, licenses, minhash, packing, quality, shard, toxicity, urlrules
+from gazetta.llm import decontam, html, langid, lexical, licenses, minhash, mixing, packing, quality, shard, toxicity, urlrules, whitening
 from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -117,6 +117,36 @@ def test_urls(spark, labels):
     assert urlrules.judge(pages.limit(0), []).count() == 0 and urlrules.mine(urlrules.labelled(pages.limit(0), labels)) == []
 
 
+def test_mixing(documents, empty):
+    rows = mixing.decide(documents).collect()
+    assert len(rows) == len(ROWS) and {r.size for r in rows if r.doc_id in (2, 3, 4)} == {0}
+    assert all(r.taken == r.copies * r.size <= 3 * r.size for r in rows)
+    assert mixing.decide(empty).count() == 0 and mixing.emit(empty).count() == 0
+    mixed = mixing.emit(documents)
+    assert sorted(mixed.columns) == sorted(documents.columns) and mixed.count() == sum(r.copies for r in rows)
+
+
+def test_whitening(spark):
+    good = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [3.0, -1.0]), (4, [0.5, 0.25]), (5, [1e300, 1.0])]
+    bad = [(6, None), (7, [1.0, None]), (8, [float("nan"), 1.0]), (9, [1.0, float("inf")]), (10, []), (11, [1.0])]
+    vectors = spark.createDataFrame(good + bad, "vec_id long, embedding array<double>").withColumn("n", F.lit("clash"))
+    rows = whitening.whiten(vectors).collect()
+    assert sorted((r.vec_id or 0, r.component) for r in rows) == sorted((v or 0, c) for v, _ in good for c in (1, 2))
+    assert {r.n for r in rows} == {5} and {r.deviation for r in rows if r.vec_id == 5} == {None}
+    same = whitening.whiten(vectors.where("vec_id = 1")).collect()
+    assert len(same) == 6 - 2 and all(r.whitened == r.explained == r.identity_error == r.deviation == 0 for r in same)
+    assert whitening.whiten(vectors.limit(0)).count() == 0 and whitening.whiten(vectors.where("vec_id in (6, 8, 10)")).count() == 0
+
+
+def test_search(spark, documents, empty):
+    items = spark.createDataFrame([(1, "Quick FOX, x"), (1, "alpha5"), (None, "\U0001f600 nothing"), (3, None), (4, " .,"), (5, "absent")], "item_id long, text string").withColumn("rank", F.lit("clash"))
+    rows = lexical.search(documents, items).collect()
+    assert sorted((r["rank"], r.doc_id or 0) for r in rows if r.item_id is None) == [(1, 8)]
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r["rank"]) if r.item_id == 1 and r.doc_id in (6, 7)] == [6, 7]
+    assert sorted((r.doc_id or 0) for r in rows if r.item_id == 1) == [0, 1, 1, 5, 6, 7] and not [r for r in rows if r.item_id in (3, 4, 5)]
+    assert lexical.search(empty, items).count() == 0 and lexical.search(documents, items.limit(0)).count() == 0
+
+
 def test_stages(spark, documents, empty, sf001):
     import corpus_pipeline
 
