@@ -10,11 +10,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta import schemas
-from gazetta.operators import projection, stats, tasks
+from gazetta.operators import projection, stats
 from gazetta.operators.lineage import cut
+from gazetta.sinks import master, tasklog
 from gazetta.sources import replay
-from gazetta.streaming import control
 
 
 class DetailRun(NamedTuple):
@@ -25,14 +24,9 @@ class DetailRun(NamedTuple):
     failed: int
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n[2:]) for n in control.listed(spark, root) if n.startswith("v=") and "_SUCCESS" in control.listed(spark, f"{root}/{n}"))
-
-
 def read_tasks(spark: SparkSession, folder: str) -> DataFrame:
-    """The newest version of the task table of a run."""
-    found = _versions(spark, f"{folder}/tasks")
-    return spark.read.schema(schemas.TASK).parquet(f"{folder}/tasks/v={found[-1]}") if found else spark.createDataFrame([], schemas.TASK)
+    """The tasks of a run as they are now."""
+    return tasklog.read(spark, f"{folder}/tasks")
 
 
 def run_details(
@@ -41,43 +35,33 @@ def run_details(
 ) -> DetailRun:
     """Fetches the details of all open tasks under folder, `batch` at a time, until none is left or the seconds are over.
 
-    folder/tasks holds versions of the task table, folder/master the bucketed master table. ids not yet among the
-    tasks are added. A run that was killed goes on where it stopped: a batch merges into the master before its tasks
-    are marked, so tasks that the master has are marked done first, and claims that a run left open are released.
+    folder/tasks holds the log of the tasks, folder/master the master table; a batch appends to both and rewrites
+    neither. ids not yet among the tasks are added. Several runs may share a folder under different worker names: each
+    task is claimed by one of them. A run that was killed goes on where it stopped: what its worker had claimed is
+    given back first, and tasks that the master has are marked done, as a batch goes into the master before its tasks are marked.
     Tasks that fail are marked retry, and failed after `most_attempts`; failed ones are not tried again in this run.
     """
     began = time.monotonic()
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-    found = _versions(spark, f"{folder}/tasks")
-    version = found[-1] if found else 0
-
-    def store(rows: DataFrame) -> DataFrame:
-        nonlocal version
-        version += 1
-        rows.select(*schemas.TASK.fieldNames()).write.mode("overwrite").parquet(f"{folder}/tasks/v={version}")
-        for old in _versions(spark, f"{folder}/tasks")[:-2]:
-            control.delete(spark, f"{folder}/tasks/v={old}")
-        return read_tasks(spark, folder)
-
-    state = tasks.release_claims(read_tasks(spark, folder), now)
+    log, details = f"{folder}/tasks", f"{folder}/master"
+    tasklog.release(spark, log, worker, now)
     if ids is not None:
-        new = ids.select("id").where("id is not null").distinct().join(state.select("id"), "id", "left_anti")
-        state = state.unionByName(new.select("id", F.lit("pending").alias("status"), F.lit(0).alias("attempts"), now.alias("updated_at")), allowMissingColumns=True)
-    state = store(tasks.sync_done(state, control.read_master(spark, f"{folder}/master"), now))
+        tasklog.add(ids, log, now)
+    tasklog.settle(spark, log, master.read(spark, details), now)
     batches = done = failed = 0
     while seconds is None or time.monotonic() - began < seconds:
-        chosen = cut(tasks.claim_batch(state.where("status <> 'failed'"), batch, F.current_timestamp()).select("id"))
+        chosen = tasklog.claim(spark, log, worker, batch, F.current_timestamp(), where=F.col("status") != "failed")
         if chosen.isEmpty():
             break
-        results = cut(replay.fetch_details(chosen, fetch, qps, attempts, sleep).join(state.select("id", F.coalesce("attempts", F.lit(0)).alias("_tried")), "id"))
-        good, bad = results.where("ok"), results.where("not ok")
-        control.merge_version(projection.detail_rows(good, F.col("_tried") + 1, F.lit(worker), now), f"{folder}/master", max([-1, *_versions(spark, f"{folder}/master")]) + 1, run_id)
-        state = tasks.mark_done(state, good, now)
-        last = F.col("_tried") + 1 >= most_attempts
-        state = tasks.mark_open(state, bad.where(~last).select("id", "error"), "retry", now)
-        state = store(tasks.mark_open(state, bad.where(last).select("id", "error"), "failed", now))
-        batches, done, failed = batches + 1, done + good.count(), failed + bad.count()
-    return DetailRun(state, control.read_master(spark, f"{folder}/master"), batches, done, failed)
+        tried = chosen.select("id", F.coalesce("attempts", F.lit(0)).alias("_tried"))
+        results = cut(replay.fetch_details(chosen.select("id"), fetch, qps, attempts, sleep).join(tried, "id"))
+        good = results.where("ok")
+        master.append(projection.detail_rows(good, F.col("_tried") + 1, F.lit(worker), now), details, run_id)
+        kind = F.when(F.col("ok"), "done").when(F.col("_tried") + 1 >= most_attempts, "failed").otherwise("retry")
+        tasklog.append(results.select("id", kind.alias("kind"), F.lit(worker).alias("worker"), now.alias("at"), "error"), log)
+        n = results.agg(F.count_if("ok").alias("good"), F.count_if(~F.col("ok")).alias("bad")).first()
+        batches, done, failed = batches + 1, done + n.good, failed + n.bad
+    return DetailRun(read_tasks(spark, folder), master.read(spark, details), batches, done, failed)
 
 
 #: Calls a second that a calibration tries, one level after another.

@@ -21,7 +21,7 @@ from gazetta.operators.lineage import scratch
 from gazetta.plans import collect, details
 from gazetta.plans.records import _division_pages
 from gazetta.plans.registry import query, table
-from gazetta.sinks import exports
+from gazetta.sinks import exports, master
 from gazetta.sources import files, replay, sqlite
 from gazetta.streaming import control
 
@@ -280,7 +280,7 @@ def merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     _detail_rows(spark, sf_dir).write.parquet(source)
     rows = spark.readStream.schema(schemas.DETAIL).option("maxFilesPerTrigger", 1000).parquet(source)
     control.await_within(control.merge_stream(rows, root, scratch(spark, "mark"), "r"), 600)
-    return control.read_master(spark, root).select("id", "place_code", "source_worker_id")
+    return master.read(spark, root).select("id", "place_code", "source_worker_id")
 
 
 @query("SELECT event_id, event_type, value FROM events")

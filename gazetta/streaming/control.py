@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from gazetta import schemas
-from gazetta.operators import upsert
-from gazetta.operators.lineage import cut
+from gazetta.sinks import master
 
 
 class TokenBucket:
@@ -48,68 +45,12 @@ def persist_step(n_chars: int) -> int:
     return 500 if n_chars > 100 else 1
 
 
-#: Parts of a master table by a hash of the id; a merge rewrites those that it touches.
-BUCKETS = 64
-
-
-def listed(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, none if it is missing."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
-def bucket_paths(spark: SparkSession, root: str) -> dict[int, list[str]]:
-    """Folders root/v=<n>/bucket=<b> of each bucket, newest first, from versions that were written to their end."""
-    out: dict[int, list[str]] = {}
-    for version in sorted((int(n[2:]) for n in listed(spark, root) if n.startswith("v=")), reverse=True):
-        names = listed(spark, f"{root}/v={version}")
-        if "_SUCCESS" in names:
-            for n in names:
-                if n.startswith("bucket="):
-                    out.setdefault(int(n[7:]), []).append(f"{root}/v={version}/{n}")
-    return out
-
-
-def read_master(spark: SparkSession, root: str) -> DataFrame:
-    """The master table under root: the newest part of each bucket."""
-    newest = [paths[0] for paths in bucket_paths(spark, root).values()]
-    return spark.read.schema(schemas.MASTER).parquet(*newest) if newest else spark.createDataFrame([], schemas.MASTER)
-
-
-def merge_version(batch: DataFrame, root: str, number: int, run_id: str, order: Sequence[str] = ("fetched_at", "worker_id", "attempt")) -> None:
-    """Puts detail rows into the master table under root, as version `number` of the buckets that they touch. Rows without id or raw_json are left out.
-
-    A version that is there is not written again; of each bucket the version before stays for readers, older ones go.
-    """
-    spark = batch.sparkSession
-    if "_SUCCESS" in listed(spark, f"{root}/v={number}"):
-        return
-    bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).cast("int")
-    new = cut(upsert.last_wins(batch.where("id is not null and raw_json is not null"), ["id"], order))
-    touched = {r.b for r in new.select(bucket.alias("b")).distinct().collect()}  # BUCKETS numbers at most
-    paths = bucket_paths(spark, root)
-    old = [paths[b][0] for b in touched if b in paths]
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-    before = spark.read.schema(schemas.MASTER).parquet(*old) if old else spark.createDataFrame([], schemas.MASTER)
-    out = upsert.upsert_master(before, new, F.lit(run_id), now)
-    out.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/v={number}")
-    for b in touched:
-        for path in paths.get(b, [])[1:]:
-            delete(spark, path)
-
-
 def merge_stream(details: DataFrame, root: str, checkpoint: str, run_id: str, every: str | None = None) -> StreamingQuery:
-    """Merges a stream of detail rows into the master table under root (see merge_version), one version for each micro-batch (our addition).
+    """Appends a stream of detail rows to the master table under root, one run for each micro-batch (our addition).
 
-    A batch that runs again after a failure finds its own version, so it counts once.
+    A batch that runs again after a failure finds that it was put in, so it counts once.
     """
-    writer = details.writeStream.foreachBatch(lambda batch, number: merge_version(batch, root, number, run_id)).option("checkpointLocation", checkpoint)
+    writer = details.writeStream.foreachBatch(lambda batch, number: master.append(batch, root, run_id, stream=checkpoint, number=number)).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 

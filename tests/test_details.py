@@ -2,7 +2,6 @@ import json
 
 import pytest
 from gazetta.plans import details
-from gazetta.streaming import control
 
 
 def transport():
@@ -43,17 +42,3 @@ def test_a_run_is_killed_and_resumed(spark, tmp_path):
     assert set(master) == set(state) - lost and all(json.loads(r.raw_json) for r in master.values())
     again = details.run_details(spark, folder, second, "r3", ids, sleep=lambda s: None)
     assert (again.batches, again.done) == (0, 0) and again.master.count() == len(master)
-
-
-def test_merges_rewrite_only_what_they_touch(spark, tmp_path):
-    from gazetta import schemas
-
-    root = str(tmp_path / "master")
-    row = lambda i, at: {"id": i, "raw_json": "{}", "worker_id": "w", "attempt": 1, "place_code": at, "fetched_at": at}
-    control.merge_version(spark.createDataFrame([row(str(k), "t0") for k in range(200)], schemas.DETAIL), root, 0, "r0")
-    for n in range(1, 4):
-        control.merge_version(spark.createDataFrame([row("5", f"t{n}"), row("5", "t0")], schemas.DETAIL), root, n, f"r{n}")
-    paths = control.bucket_paths(spark, root)
-    assert sum(len(p) > 1 for p in paths.values()) == 1 and max(len(p) for p in paths.values()) == 2
-    got = {r.id: r for r in control.read_master(spark, root).collect()}
-    assert len(got) == 200 and got["5"].place_code == "t3" and got["5"].source_run_id == "r3" and got["6"].place_code == "t0"

@@ -5,7 +5,7 @@ import zipfile
 
 import pytest
 from gazetta import schemas
-from gazetta.sinks import exports
+from gazetta.sinks import exports, master
 from gazetta.sources import files, replay, sqlite
 from gazetta.streaming import control
 from pyspark.sql import functions as F
@@ -153,7 +153,7 @@ def test_streaming_merge_restarts(spark, tmp_path):
         spark.createDataFrame(rows, schemas.DETAIL).write.mode("append").parquet(source)
         query = control.merge_stream(spark.readStream.schema(schemas.DETAIL).parquet(source), root, mark, f"r{turn}")
         control.await_within(query, 120)
-    got = {r.id: r for r in control.read_master(spark, root).collect()}
+    got = {r.id: r for r in master.read(spark, root).collect()}
     assert got["a"].place_code == "3" and got["b"].place_code == "1" and got["a"].first_seen_at <= got["a"].last_seen_at and len(got) == 2
 
 
