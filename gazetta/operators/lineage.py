@@ -42,3 +42,19 @@ def cut(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df as a table in the shared folder, and its path: for rounds that drop the table of the round before (see drop)."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    _drop(spark, path)
+
+
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """For the table of the last round, which the lazy result reads."""
+    atexit.register(_drop, spark, path)

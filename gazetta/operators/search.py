@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gazetta.functions import scalar
+from gazetta.operators.lineage import cut
 
-#: Keywords that are matched in one condition of the scan; more are paired as rows.
-INLINE = 64
+#: Characters of keywords that one automaton holds; more keywords take more passes over the names.
+AUTOMATON_CHARS = 4_000_000
+#: Hits that a task holds before it hands them on.
+HITS = 50_000
 
 
 def in_provinces(divisions: DataFrame, codes: Sequence[str] | None, column: str = "code") -> DataFrame:
@@ -30,5 +37,73 @@ def search(names: DataFrame, keywords: Sequence[str], mode: str = "contain", col
     return names.select("*", F.explode(hits).alias("keyword"))
 
 
+def _portions(keywords: DataFrame, most: int) -> Iterator[list[str]]:
+    """The keywords in portions of at most `most` characters (one keyword at least), one on the driver at a time."""
+    part, size = [], 0
+    for (keyword,) in keywords.toLocalIterator():
+        if part and size + len(keyword) > most:
+            yield part
+            part, size = [], 0
+        part.append(keyword)
+        size += len(keyword)
+    if part:
+        yield part
+
+
+def _by_automaton(names: DataFrame, keywords: list[str], column: str) -> DataFrame:
+    """Rows of names for each keyword they contain: all keywords are looked for in one walk over each text."""
+    schema = StructType([*names.schema.fields, StructField("keyword", StringType())])
+    arrow, at = to_arrow_schema(schema), names.columns.index(column)
+    shipped = names.sparkSession.sparkContext.broadcast(keywords)  # AUTOMATON_CHARS at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for k, keyword in enumerate(shipped.value):
+            automaton.add_word(keyword, k)
+        automaton.make_automaton()
+        words = pa.array(shipped.value, pa.string())
+        for batch in batches:
+            rows: list[int] = []
+            found: list[int] = []
+            for i, text in enumerate(batch.column(at)):
+                hits = {k for _, k in automaton.iter(text.as_py() or "")}
+                rows += [i] * len(hits)
+                found += hits
+                if len(rows) >= HITS or i == batch.num_rows - 1:
+                    got = batch.take(pa.array(rows, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*got.columns, words.take(pa.array(found, pa.int64()))], schema=arrow)
+                    rows, found = [], []
+
+    return names.mapInArrow(run, schema)
+
+
+def _by_character(names: DataFrame, keywords: DataFrame, column: str) -> DataFrame:
+    """As `_by_automaton` for keywords of one character: each text's distinct characters meet the keywords in a join."""
+    characters = names.select("*", F.explode(F.array_distinct(F.split(F.col(column), ""))).alias("keyword")).where("keyword <> ''")
+    return characters.join(keywords, "keyword", "left_semi")
+
+
+def search_many(names: DataFrame, keywords: DataFrame, mode: str = "contain", column: str = "name", most: int = AUTOMATON_CHARS) -> DataFrame:
+    """As `search`, for a table `keywords` (keyword) of any size: rows of names with each keyword that they contain or equal.
+
+    Exact names are a join. For parts of names, keywords of one character are joined with the distinct characters of
+    each name, longer ones make an Aho-Corasick automaton, one for each `most` characters of keywords. Repeated
+    keywords count once, null ones never, the empty one is in every name that is not null; a null name matches nothing.
+    """
+    known = cut(keywords.select("keyword").where("keyword is not null").distinct())
+    if mode == "exact":
+        return names.join(known, F.col(column) == F.col("keyword"))
+    if mode != "contain":
+        raise ValueError(f"unknown match mode: {mode}")
+    length = F.char_length("keyword")
+    parts = [_by_character(names, known.where(length == 1), column).select(*names.columns, "keyword")]
+    if not known.where(length == 0).isEmpty():
+        parts.append(names.where(F.col(column).isNotNull()).withColumn("keyword", F.lit("")))
+    parts += [_by_automaton(names, portion, column) for portion in _portions(known.where(length > 1), most)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def not_completed(partitions: DataFrame, progress: DataFrame) -> DataFrame:
     return partitions.join(progress.select("keyword", "code"), ["keyword", "code"], "left_anti")

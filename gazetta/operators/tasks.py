@@ -125,5 +125,6 @@ def first_of_each(rows: DataFrame, by: str, order: Sequence[str], n: int) -> Dat
 
 
 def exact_sample(rows: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n rows uniformly at random without replacement, all if there are fewer."""
-    return rows.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+    """n rows without replacement, all if there are fewer: those whose hash with the seed is least, so the same ones however the rows are partitioned."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in rows.columns])
+    return rows.withColumn("_r", F.md5(text)).orderBy("_r").limit(n).drop("_r")

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from gazetta.operators.lineage import cut
 from gazetta.operators.projection import Routed, multi_rows, single_rows
 
 Rule = Callable[[Column, Column], Column]
@@ -136,8 +137,17 @@ def merge_counts(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
 
 
 def merge_workers(master: DataFrame, details: DataFrame, run_id: Column, now: Column, order: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new master, counts, rejected): worker rows of all files in merge order, the last of an id wins; rows without an id or raw_json are rejected."""
+    """(new master, counts, rejected): worker rows of all files in merge order, the last of an id wins; rows without an id or raw_json are rejected.
+
+    The merge runs when this is called, once: the counts rows_read, inserted and updated are observed in the pass that writes the new master.
+    """
     bad = F.col("id").isNull() | F.col("raw_json").isNull()
-    good = details.where(~bad)
+    read, merged = Observation("read"), Observation("merged")
+    good = details.where(~bad).observe(read, F.count("*").alias("rows_read"))
     latest = last_wins(good, ["id"], order).select(*[c for c in details.columns if c not in order or c in master.columns])
-    return upsert_master(master, latest, run_id, now), merge_counts(master, good), details.where(bad)
+    known = master.withColumn("_known", F.lit(True))
+    rows = upsert(known, master_rows(latest, run_id, now).withColumn("_known", F.lit(False)), ["id"], keep=["_known"], rules={"first_seen_at": lambda before, after: F.coalesce(before, after)})
+    out = cut(rows.observe(merged, F.count_if(~F.col("_known")).alias("inserted")).drop("_known"))
+    n, inserted = read.get["rows_read"], merged.get["inserted"]
+    counts = master.sparkSession.createDataFrame([(n, inserted, n - inserted)], "rows_read long, inserted long, updated long")
+    return out, counts, details.where(bad)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.operators.lineage import scratch
-from gazetta.plans.registry import query, table
+from gazetta.plans.registry import ORACLE_SQL, query, table
 from gazetta.plans.storage import _detail_rows
-from gazetta.sinks import master, tasklog
+from gazetta.plans.updates import _half
+from gazetta.sinks import buckets, master, pool, tasklog
+from gazetta.streaming import claims, control
 
 _DAYS = ("2024-01-11", "2024-01-21")
 _TURN = f"CASE WHEN ts < TIMESTAMP '{_DAYS[0]}' THEN 0 WHEN ts < TIMESTAMP '{_DAYS[1]}' THEN 1 ELSE 2 END"
@@ -61,3 +65,47 @@ def task_log_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasklog.append(later.where(F.col("step") <= middle), root, share=1e9)
     tasklog.append(later.where(F.col("step") > middle), root, share=1e9)
     return tasklog.read(spark, root)
+
+
+@query("SELECT DISTINCT id FROM (SELECT o_custkey::VARCHAR AS id FROM orders UNION ALL SELECT c_custkey::VARCHAR FROM customer UNION ALL SELECT 'p' || l_partkey FROM lineitem)")
+def insert_ignore_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of orders, then all customers and the parts of line items put into a pool that has Bloom filters."""
+    root = scratch(spark, "pool")
+    pool.create(spark, root, buckets=8)
+    pool.insert_ignore(table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id")), root)
+    pool.insert_ignore(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id")), root)
+    pool.insert_ignore(table(spark, sf_dir, "lineitem").select(F.concat(F.lit("p"), "l_partkey").alias("id")), root)
+    return pool.read(spark, root)
+
+
+@query(ORACLE_SQL["upsert_keep_captured"])
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As upsert_keep_captured, with the old and the new table bucketed by id."""
+    name = f"divisions_{uuid.uuid4().hex}"
+    buckets.store(_half(spark, sf_dir, False), f"{name}_old", ["id"], 8)
+    return buckets.put_in(spark, f"{name}_old", f"{name}_new", _half(spark, sf_dir, True), ["id"], keep=["captured_at"])
+
+
+@query(f"""
+WITH e AS (SELECT user_id::VARCHAR || '-' || (event_id % 40) AS id, {_KINDS} AS kind, 'w' || length(props) AS worker, ts, event_id FROM events),
+n AS (SELECT *, lead(ts) OVER (PARTITION BY id ORDER BY ts, kind, event_id) AS following FROM e)
+SELECT id, worker, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS claimed_at FROM n
+WHERE kind = 'claimed' AND (following > ts + INTERVAL 2 DAY OR following IS NULL AND ts + INTERVAL 2 DAY < (SELECT max(ts) FROM events))
+""")
+def claims_timed_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims in a stream of the events that nothing followed within two days, by state and timers."""
+    kind = F.create_map(*[F.lit(x) for pair in _KIND.items() for x in pair])
+    source, out, mark = scratch(spark, "events"), scratch(spark, "released"), scratch(spark, "mark")
+    table(spark, sf_dir, "events").select(
+        F.concat_ws("-", F.col("user_id").cast("string"), F.col("event_id") % 40).alias("id"), F.element_at(kind, F.col("event_type")).alias("kind"), F.concat(F.lit("w"), F.length("props")).alias("worker"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    ).write.parquet(source)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, claims.PROVIDER)
+    try:
+        rows = claims.timed_out(spark.readStream.schema("id string, kind string, worker string, ts timestamp").parquet(source), 2 * 24 * 60)
+        control.await_within(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start(), 600)
+    finally:
+        spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)
+    return spark.read.schema(claims.RELEASED).parquet(out).select("id", "worker", F.date_format("claimed_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("claimed_at"))

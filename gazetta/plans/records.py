@@ -242,8 +242,3 @@ def list_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rehydrate_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("source_id"), F.col("o_orderstatus").alias("standard_name"), F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.col("o_orderpriority")).alias("city_name"), F.col("o_totalprice").alias("longitude"), F.lit(None).cast("double").alias("latitude"), F.lit("c").alias("captured_at"))
     return projection.place_from_store(rows).select("source_id", "standard_name", "city_name", "longitude", "match_mode", "fetched_at_utc", "coordinates_json")
-
-
-@query()
-def exact_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tasks.exact_sample(table(spark, sf_dir, "documents").select("doc_id"), 100, seed=11)
