@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazetta.llm.common import map_batches, map_parts, scratch
@@ -273,17 +273,39 @@ def fold(key: Column) -> Column:
 LEAST_MARGIN, DEVIATIONS = 1.4, 8
 
 
-def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 300, languages: int = 100) -> Model:
-    """Fits on about `a_language` documents of each language: those with the lowest hashes, outside the held-out fold, with a lang and an id.
+#: Languages of one model: it is broadcast, and has some 23,000 probabilities for each.
+MOST_LANGUAGES = 2000
 
-    Of an id one text counts. Learned are the `languages` values of lang with most documents, so that the model, which is broadcast, is bounded.
+
+def sampled(documents: DataFrame, a_language: int, languages: int | None) -> DataFrame:
+    """(lang, doc_id): of each language the `a_language` ids with the lowest hashes, outside the held-out fold, with a lang, an id and a text.
+
+    Ids are told apart before they are counted, so an id with many rows takes one place. Without `languages` all values of lang are learned.
+    """
+    ids = documents.where((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id").distinct()
+    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    if languages is not None:
+        largest = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+        ids = ids.join(largest.select("lang"), "lang", "left_semi")
+    return ids.withColumn("k", F.row_number().over(lowest)).where(F.col("k") <= a_language).select("lang", "doc_id")
+
+
+def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int = 300, languages: int | None = None, words: int = 1_000_000) -> Model:
+    """Fits on `a_language` documents of each language (see sampled); of an id one text counts.
+
+    All values of lang are learned. More than MOST_LANGUAGES of them are an error, since the model is broadcast; then
+    `languages` names how many of the largest to learn. At most `words` distinct words are learned from, an equal share for
+    each language, those with most occurrences.
     """
-    open_rows = documents.select("doc_id", "text", "lang").where((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    scale = 1 << 30
-    sample = open_rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.lit(float(scale)) * a_language / F.col("n"))
+    open_rows = documents.select("doc_id", "text", "lang").where(F.col("text").isNotNull())
     with scratch() as keep:
-        sample = keep(sample.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text"), "lang-sample")
+        chosen = keep(sampled(documents, a_language, languages), "lang-ids")
+        learned = chosen.select("lang").distinct().count()
+        if learned > MOST_LANGUAGES:
+            raise ValueError(f"{learned} languages are too many for one model; learn the largest with languages={MOST_LANGUAGES} or fewer")
+        sample = open_rows.join(F.broadcast(chosen), ["lang", "doc_id"])  # MOST_LANGUAGES * a_language rows at most
+        sample = sample.groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+        sample = keep(sample.select("lang", "text"), "lang-sample")
 
         def count(batch: dict) -> dict:
             lang, word, n = [], [], []
@@ -297,6 +319,8 @@ def train(documents: DataFrame, vocabulary: str = VOCABULARY, a_language: int =
             return {"lang": lang, "word": word, "n": n}
 
         counted = map_batches(sample, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        often = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+        counted = counted.withColumn("k", F.row_number().over(often)).where(F.col("k") <= words // max(learned, 1))
         model = fit(sorted((r.lang, r.word, r.n) for r in counted.collect()), Pieces.read(vocabulary))
         if not model.languages:
             return model

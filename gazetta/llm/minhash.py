@@ -30,7 +30,7 @@ from gazetta.llm.common import map_batches, scratch, small_batches, sorted_group
 
 MINIMA = 128
 BITS = 2  #: kept of each minimum
-ROWS = 4  #: minima in a band
+ROWS = 4  #: most minima in a band; low thresholds take fewer
 PER_LONG = 64 // BITS
 #: The chance that banding misses a pair at the threshold stays below this.
 MISS = 1e-6
@@ -70,8 +70,15 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return mixed(low)  # low bits of a minimum must not lean to small values
 
 
-def bands_for(threshold: float) -> int:
-    return min(MINIMA // ROWS, math.ceil(math.log(MISS) / math.log(1 - threshold**ROWS)))
+def bands_for(threshold: float) -> tuple[int, int]:
+    """(bands, minima in each): as many minima a band as leave the chance of a miss at the threshold under MISS."""
+    for rows in range(ROWS, 0, -1):
+        if threshold >= 1:
+            return 1, rows
+        bands = math.ceil(math.log(MISS) / math.log(1 - threshold**rows)) if threshold > 0 else MINIMA + 1
+        if bands * rows <= MINIMA:
+            return bands, rows
+    raise ValueError(f"{MINIMA} minima are too few for a threshold of {threshold}")
 
 
 def most_mismatches(threshold: float) -> int:
@@ -96,7 +103,7 @@ def similarity(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), (1 - mismatches(a, b) / MINIMA - chance) / (1 - chance))
 
 
-def sketches(documents: DataFrame, width: int, bands: int) -> DataFrame:
+def sketches(documents: DataFrame, width: int, bands: int, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, the 128-bit hash of the set (hi, lo), band keys and the packed signature; the last four null for an empty set."""
     shift = np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS)
 
@@ -111,7 +118,7 @@ def sketches(documents: DataFrame, width: int, bands: int) -> DataFrame:
                 continue
             hi, lo = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
             low = minima(s)
-            keys = [np.frombuffer(xxhash.xxh3_64_digest(low[k * ROWS : (k + 1) * ROWS].tobytes(), seed=k), np.int64)[0] for k in range(bands)]
+            keys = [np.frombuffer(xxhash.xxh3_64_digest(low[k * rows : (k + 1) * rows].tobytes(), seed=k), np.int64)[0] for k in range(bands)]
             fields = (low & np.uint64(2**BITS - 1)).reshape(-1, PER_LONG) << shift
             out["hi"].append(int(hi))
             out["lo"].append(int(lo))
@@ -244,7 +251,7 @@ def near_rows(rows: DataFrame, most: int, percent: int) -> DataFrame:
             key, own, ids, comp, n = (part.column(c).to_numpy() for c in ("key", "own", "id", "comp", "n"))
             block = part.column("i").to_numpy() + part.column("j").to_numpy()
             sig = part.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
-            short = part.column("short").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
+            bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
             tail = np.repeat(at[1:], np.diff(at)) - np.arange(len(key)) - 1  # rows of the group behind each row
             near = np.zeros(len(key), bool)
             ends = np.cumsum(tail)
@@ -261,8 +268,8 @@ def near_rows(rows: DataFrame, most: int, percent: int) -> DataFrame:
                 differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
                 good = np.bitwise_count(differ).sum(axis=1) <= most
                 x, y = x[good], y[good]
-                band = (short[x] == short[y]).argmax(axis=1)
-                good = short[x, band] == (key[x] & 0x7FFFFFFF)
+                band = (bands[x] == bands[y]).argmax(axis=1)
+                good = bands[x, band] == key[x]
                 near[x[good]] = near[y[good]] = True
                 lo = hi
             out = part.select(["key", "i", "j", "id", "comp"]).filter(pa.array(near))
@@ -270,7 +277,7 @@ def near_rows(rows: DataFrame, most: int, percent: int) -> DataFrame:
 
     small_batches(rows.sparkSession)
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.select("key", "i", "j", "own", "id", "comp", "n", "sig", "short").mapInArrow(run, "key long, i int, j int, id long, comp long")
+    return dealt.select("key", "i", "j", "own", "id", "comp", "n", "sig", "bands").mapInArrow(run, "key long, i int, j int, id long, comp long")
 
 
 def links_in_blocks(near: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -293,11 +300,11 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     shingles; component_id is the smallest doc_id that links reach, and kept marks it. A null, empty or
     wordless text has an empty set and links with nothing. A row with a null doc_id is not linked
     (component_id null, kept). Rows that repeat a doc_id are one node, linked by the least of their texts.
-    Other columns don't matter.
+    Other columns don't matter. A percentage so low that the minima cannot serve it is an error.
     """
     threshold = percent / 100
     most = most_mismatches(threshold)
-    sketch = written(sketches(documents, width, bands_for(threshold)), "sketch")
+    sketch = written(sketches(documents, width, *bands_for(threshold)), "sketch")
     filled = sketch.where("doc_id is not null and hi is not null")
     # equal sets are one class, whose rows are equal but for doc_id
     reps = written(filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "reps")
@@ -319,8 +326,7 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
         # members of a bucket that are still apart
         placed = members.select("key", "id").join(place, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
         split = keep(placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"), "split")
-        short = F.transform("bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short")
-        apart = keep(placed.join(split, "key").join(reps.select("id", "n", "sig", short), "id").select("key", "id", "comp", "n", "sig", "short"), "apart")
+        apart = keep(placed.join(split, "key").join(reps.select("id", "n", "sig", "bands"), "id").select("key", "id", "comp", "n", "sig", "bands"), "apart")
         sizes = apart.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
         sizes = sizes.groupBy("key").agg(F.max(F.struct("rows", "n", "comp")).alias("big"), F.sum("rows").alias("rows"), F.sum("n").alias("n"))
         blocks = lambda rows, n: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")

@@ -122,8 +122,16 @@ WITH parsed AS (
     SELECT doc_id, max(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad FROM labels WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id
 ), labelled AS (
     SELECT tokens, bad FROM tokened JOIN marks ON try_cast(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT) = doc_id
+), numbered AS (
+    SELECT row_number() OVER () AS row, tokens, bad FROM labelled
+), each AS (
+    SELECT row, bad, unnest(tokens) AS token FROM numbered
+), often AS (
+    SELECT token FROM each GROUP BY token HAVING count(*) FILTER (bad) >= 10 AND count(*) FILTER (bad) >= 0.005 * (SELECT count(*) FROM labelled)
+), thin AS (
+    SELECT row, bad, list_sort(list(token)) AS t FROM each JOIN often USING (token) GROUP BY row, bad
 ), parts AS (
-    SELECT list_filter(t, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part, bad FROM (SELECT tokens[1:16] AS t, bad, unnest(range(1, 1 << least(len(tokens), 16))) AS mask FROM labelled)
+    SELECT list_filter(t, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS part, bad FROM (SELECT t, bad, unnest(range(1, 1 << len(t))) AS mask FROM thin)
 ), counted AS (
     SELECT part, count(*)::DOUBLE AS n, count(*) FILTER (bad) AS k, count(*) FILTER (bad) / count(*) AS p FROM parts GROUP BY part
 ), rules AS (

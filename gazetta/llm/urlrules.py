@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import product
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from gazetta.llm.common import scratch
+
 #: (verdict, host, path) of the production list.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 BAD = "=bad"  #: the item that a labelled bad page carries besides its tokens
@@ -21,6 +24,14 @@ class Rule(NamedTuple):
     tokens: frozenset[str]
     confidence: float
     support: float
+    same: tuple[frozenset[str], ...] = ()  #: for each token those that were on the same labelled pages; each of them will do
+
+    @property
+    def parts(self) -> tuple[frozenset[str], ...]:
+        return self.same or tuple(frozenset({t}) for t in sorted(self.tokens))
+
+    def combinations(self) -> set[frozenset[str]]:
+        return {frozenset(x) for x in product(*self.parts)}
 
 
 def host_of(url: Column) -> Column:
@@ -69,41 +80,84 @@ def least_share(bad: float, all: float, z: float = Z) -> float:
     return (p + z * z / (2 * all) - z * math.sqrt(p * (1 - p) / all + z * z / (4 * all * all))) / (1 + z * z / all)
 
 
-def mine(rows: DataFrame, support: float = 0.005, confidence: float = 0.6, least: int = 10, tokens: int = 16) -> list[Rule]:
-    """FP-growth on the labelled rows: combinations that make a page bad, without those that a smaller combination covers.
+def _sure(bad: Column, all: Column, confidence: float, z: float = Z) -> Column:
+    """Whether least_share(bad, all) reaches the confidence."""
+    p = bad / all
+    return (p + z * z / (2 * all) - z * F.sqrt(p * (1 - p) / all + z * z / (4 * all * all))) / (1 + z * z / all) >= confidence
 
-    A rule must be seen on `least` bad pages and on a share of `support` of all, and the lower end of the 95 % interval of
-    its confidence must reach `confidence`, so that chance makes no rules. Of a labelled url the first `tokens` tokens in
-    order are mined (matching sees all), so at most 2**tokens / support combinations are frequent; few of them pass.
+
+def merged(rows: DataFrame, need: int) -> DataFrame:
+    """(token, stands): the tokens on `need` bad rows (row, tokens, bad) or more, and the least of those that are on the very same rows.
+
+    Sets of rows are told apart by their sizes and 128 bits of hashes.
     """
-    cut = F.slice("tokens", 1, tokens)
-    items = rows.select(F.when(F.col("bad"), F.concat(cut, F.array(F.lit(BAD)))).otherwise(cut).alias("items"), "bad")
-    n, bad = items.agg(F.count("*"), F.count_if("bad")).first()
-    if bad < least:
-        return []
-    share = max(support, least / n) * (1 - 1e-9)
-    found = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(items).associationRules
-    found = found.where(F.element_at("consequent", 1) == BAD).select("antecedent", "confidence", "support").collect()
-    sure = [r for r in found if round(r[2] * n) >= least and least_share(round(r[2] * n), round(r[2] * n / r[1])) >= confidence]
-    kept: list[Rule] = []
-    by_token: dict[str, list[Rule]] = {}
-    for r in sorted((Rule(frozenset(r[0]), r[1], r[2]) for r in sure), key=lambda r: (len(r.tokens), sorted(r.tokens))):
-        if not any(x.tokens <= r.tokens for t in r.tokens for x in by_token.get(t, ())):
-            kept.append(r)
-            for t in r.tokens:
-                by_token.setdefault(t, []).append(r)
+    each = rows.select("row", "bad", F.explode("tokens").alias("token"))
+    sets = each.groupBy("token").agg(F.count_if("bad").alias("k"), F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("row", F.lit(s))).alias(f"x{s}") for s in (1, 2)]).where(F.col("k") >= need)
+    same = Window.partitionBy("k", "n", "x1", "x2")
+    return sets.select("token", F.min("token").over(same).alias("stands"))
+
+
+def minimal(sure: DataFrame) -> list[Row]:
+    """The rows (antecedent, ...) whose tokens hold no other row's: size by size, so that what larger ones repeat never reaches the driver."""
+    spark, kept = sure.sparkSession, []
+    for size in sorted(r.n for r in sure.select(F.size("antecedent").alias("n")).distinct().collect()):
+        level = sure.where(F.size("antecedent") == size)
+        if kept:
+            known = spark.createDataFrame([(t, k, len(r.antecedent)) for k, r in enumerate(kept) for t in r.antecedent], "token string, rule int, parts int")
+            held = level.select("antecedent", F.explode("antecedent").alias("token")).join(known, "token").groupBy("antecedent", "rule", "parts").count().where("count = parts")
+            level = level.join(held.select("antecedent"), "antecedent", "left_anti")
+        kept += level.collect()
     return kept
 
 
-def matched(tokens: Column, mined: Sequence[Rule]) -> Column:
-    """Whether a mined rule's tokens are all among the tokens: rules are looked up under one token each."""
+def mine(rows: DataFrame, support: float = 0.005, confidence: float = 0.6, least: int = 10) -> list[Rule]:
+    """FP-growth on the labelled rows: combinations that make a page bad, without those that a smaller combination covers.
+
+    A rule must be seen on `least` bad pages and on a share of `support` of all, and the lower end of the 95 % interval of
+    its confidence must reach `confidence`, so that chance makes no rules. All tokens of all urls are mined. What bounds
+    the work: only tokens on that many bad pages are, of which a page has tokens / support at most, and tokens that always
+    occur together, as a host and its parents do, are mined as one and told apart again in the rule.
+    """
+    n, bad = rows.agg(F.count("*"), F.count_if("bad")).first()
+    need = max(least, math.ceil(support * n - 1e-9))
+    if bad < need:
+        return []
+    with scratch() as keep:
+        keyed = keep(rows.select(F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("tokens"), "bad"), "url-rows")
+        stands = keep(merged(keyed, need), "url-tokens")
+        each = keyed.select("row", F.explode("tokens").alias("token")).join(stands.where("token = stands").select("token"), "token")
+        items = each.groupBy("row").agg(F.collect_set("token").alias("found")).join(keyed.select("row", "bad"), "row", "right")
+        found = F.coalesce("found", F.array().cast("array<string>"))
+        items = keep(items.select(F.when(F.col("bad"), F.concat(found, F.array(F.lit(BAD)))).otherwise(found).alias("items")), "url-items")
+        rules = FPGrowth(itemsCol="items", minSupport=need / n * (1 - 1e-9), minConfidence=confidence).fit(items).associationRules
+        k = F.round(F.col("support") * n)
+        rules = rules.where((F.element_at("consequent", 1) == BAD) & (k >= need) & _sure(k, F.round(k / F.col("confidence")), confidence))
+        kept = minimal(keep(rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "url-rules"))
+        names = {t for r in kept for t in r.antecedent}
+        same: dict[str, set[str]] = {}
+        for r in stands.collect() if names else ():
+            same.setdefault(r.stands, set()).add(r.token)
+    return [Rule(frozenset(r.antecedent), r.confidence, r.support, tuple(frozenset(same[t]) for t in sorted(r.antecedent))) for r in sorted(kept, key=lambda r: (len(r.antecedent), r.antecedent))]
+
+
+#: Index rows (a token of a rule) up to this many are broadcast.
+FEW_TOKENS = 100_000
+
+
+def matched(rows: DataFrame, mined: Sequence[Rule]) -> DataFrame:
+    """rows (with tokens) and `hit`: whether they have a token of every part of some mined rule.
+
+    The rules are a table of tokens, which the rows' tokens meet in a join; what a page's tokens hit is counted once for
+    pages with the same tokens.
+    """
     if not mined:
-        return F.lit(False)
-    index: dict[str, list[list[str]]] = {}
-    for r in mined:
-        index.setdefault(max(r.tokens), []).append(sorted(r.tokens))
-    under = F.create_map(*[x for t, rules in index.items() for x in (F.lit(t), F.array(*[F.array(*map(F.lit, r)) for r in rules]))])
-    return F.exists(tokens, lambda t: F.coalesce(F.exists(F.try_element_at(under, t), lambda rule: F.size(F.array_except(rule, tokens)) == 0), F.lit(False)))
+        return rows.withColumn("hit", F.lit(False))
+    index = [(t, k, part, len(r.parts)) for k, r in enumerate(mined) for part, tokens in enumerate(r.parts) for t in sorted(tokens)]
+    table = rows.sparkSession.createDataFrame(index, "token string, rule int, part int, parts int")
+    keyed = rows.withColumn("_set", F.md5(F.to_json("tokens")))
+    met = keyed.select("_set", F.explode("tokens").alias("token")).join(F.broadcast(table) if len(index) <= FEW_TOKENS else table, "token")
+    met = met.select("_set", "rule", "part", "parts").distinct().groupBy("_set", "rule", "parts").count().where("count = parts")
+    return keyed.join(met.select("_set", F.lit(True).alias("hit")).distinct(), "_set", "left").withColumn("hit", F.coalesce("hit", F.lit(False))).drop("_set")
 
 
 def judge(pages: DataFrame, mined: Sequence[Rule], rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
@@ -116,5 +170,5 @@ def judge(pages: DataFrame, mined: Sequence[Rule], rules: Sequence[tuple[str, st
     url = F.col("url")
     name, verdict = listed(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens"))
-    fallback = F.when(matched(F.col("tokens"), mined), "block").otherwise("allow")
-    return rows.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, fallback).alias("verdict"))
+    fallback = F.when(F.col("hit"), "block").otherwise("allow")
+    return matched(rows, mined).select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, fallback).alias("verdict"))

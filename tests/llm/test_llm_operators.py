@@ -189,6 +189,30 @@ def test_components_of_long_chains(spark):
     assert got == {k: 1 for k in range(2, 301)} | {1001: 1000, 1002: 1000}
 
 
+@pytest.mark.parametrize("percent", [70, 50, 30])
+def test_low_thresholds_lose_no_link(spark, percent):
+    rng = random.Random(percent)
+    texts = {}
+    for k in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        texts[3 * k] = " ".join(words)
+        for d, share in ((1, 0.9), (2, 0.75)):
+            keep = int(60 * (percent / 100 * 2 / (1 + percent / 100)) * share / 0.75) if d == 2 else int(60 * share)
+            texts[3 * k + d] = " ".join(words[: min(60, keep)] + [f"v{rng.randrange(5000)}" for _ in range(max(0, 60 - keep))])
+    label = slow_components(slow_sets(texts.items(), 1), percent)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 1, percent).collect()}
+    assert got == label
+
+
+def test_bands_keep_the_promised_chance():
+    for percent in range(12, 100):
+        bands, rows = minhash.bands_for(percent / 100)
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISS and bands * rows <= minhash.MINIMA
+    assert minhash.bands_for(0.85)[1] == minhash.bands_for(0.8)[1] == 4
+    with pytest.raises(ValueError):
+        minhash.bands_for(0.05)
+
+
 # packing
 
 
@@ -667,6 +691,23 @@ def test_held_out_languages_are_never_learned(spark):
     assert langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["open"]
 
 
+def test_an_id_with_many_rows_takes_one_place(spark):
+    open_ids = [k for k in range(4000) if zlib.crc32(str(k).encode()) % 4 != 2]
+    for one in open_ids[3000:3004]:
+        rows = [(k, "the cat sat on that mat", "en") for k in open_ids[:400]] + [(one, f"zxq wvu {k}", "xx") for k in range(3000)]
+        assert langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["en", "xx"]
+
+
+def test_all_languages_are_learned_and_words_are_bounded(spark, monkeypatch):
+    rows = [(k, f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)} text", f"l{k % 130:03}") for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(langid.train(df).languages) == 130 and len(langid.train(df, languages=7).languages) == 7
+    assert len(langid.train(df, words=260).languages) == 130
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 100)
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(df)
+
+
 # urls
 
 
@@ -677,7 +718,7 @@ def test_mined_rules_match_brute_force(spark, share):
     for _ in range(600):
         tokens = sorted({f"t{rng.randrange(8)}" for _ in range(5)})
         rows.append((tokens, ("t1" in tokens and "t2" in tokens and rng.random() < 0.9) or rng.random() < share))
-    got = {r.tokens for r in urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.02, 0.6)}
+    got = {c for r in urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.02, 0.6) for c in r.combinations()}
     good = []
     for n in range(1, 6):
         for part in itertools.combinations([f"t{k}" for k in range(8)], n):
@@ -686,10 +727,49 @@ def test_mined_rules_match_brute_force(spark, share):
                 good.append(frozenset(part))
     assert got == {g for g in good if not any(h < g for h in good)} and frozenset({"t1", "t2"}) in got
     page = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
-    hits = page.select("tokens", urlrules.matched(F.col("tokens"), [urlrules.Rule(g, 1, 1) for g in got]).alias("hit")).collect()
+    hits = urlrules.matched(page.select("tokens"), [urlrules.Rule(g, 1, 1) for g in got]).collect()
     assert all(r.hit == any(g <= set(r.tokens) for g in got) for r in hits)
 
 
+def test_tokens_that_always_meet_are_mined_as_one(spark):
+    rng, rows = random.Random(8), []
+    for _ in range(500):
+        tokens = {f"t{rng.randrange(6)}" for _ in range(3)}
+        tokens |= {"a1", "a2", "a3"} if "t1" in tokens else set()
+        tokens |= {"b1", "b2"} if "t2" in tokens else set()
+        rows.append((sorted(tokens), {"t1", "t2"} <= tokens and rng.random() < 0.95))
+    mined = urlrules.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 0.02, 0.6)
+    assert {c for r in mined for c in r.combinations()} >= {frozenset({a, b}) for a in ("t1", "a1", "a2", "a3") for b in ("t2", "b1", "b2")}
+    assert len(mined) == 1 and mined[0].tokens == frozenset({"a1", "b1"})
+    seen = [["a3", "b2"], ["a1", "a2"], ["b1", "t2"], ["t1", "x", "b1"], []]
+    hits = urlrules.matched(spark.createDataFrame([(t,) for t in seen], "tokens array<string>"), mined).collect()
+    assert {tuple(r.tokens): r.hit for r in hits} == {("a3", "b2"): True, ("a1", "a2"): False, ("b1", "t2"): False, ("t1", "x", "b1"): True, (): False}
+
+
+def test_a_url_of_thirty_tokens_is_mined_to_its_query_keys(spark):
+    rng, pages, labels = random.Random(10), [], []
+    for k in range(400):
+        bad = rng.random() < 0.2
+        path = "/".join(f"{c}{rng.randrange(4)}x" for c in "abcdefghijklmnop")
+        pages.append((k, f"https://s{rng.randrange(9)}.x.news.example.net/{path}/{k}.html?page=2&{'zref' if bad else 'ref'}=1&q=2&r=3#top"))
+        labels.append((k, 1 - bad, 0))
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    rows = urlrules.labelled(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert rows.agg(F.min(F.size("tokens"))).first()[0] >= 29
+    mined = urlrules.mine(rows, support=0.15)
+    assert frozenset({"q:zref"}) in {r.tokens for r in mined}
+    assert {r.page_id for r in urlrules.judge(frame, mined).where("verdict = 'block'").collect()} == {k for k, u in pages if "zref" in u}
+
+
+def test_thousands_of_rules_match_by_a_join(spark):
+    mined = [urlrules.Rule(frozenset({f"p:a{k}", f"p:b{k % 7}"}), 1.0, 1.0) for k in range(3000)]
+    rng = random.Random(11)
+    pages = [(k, f"http://e.net/a{rng.randrange(4000)}/b{rng.randrange(7)}") for k in range(300)]
+    rows = spark.createDataFrame([(k, [f"p:{x}" for x in u.split("/")[3:]]) for k, u in pages], "page_id long, tokens array<string>")
+    have = {r.tokens for r in mined}
+    assert {r.page_id: r.hit for r in urlrules.matched(rows, mined).collect()} == {r.page_id: frozenset(r.tokens) in have for r in rows.collect()}
+
+
 def test_chance_makes_no_rules(spark):
     rng = random.Random(3)
     rows = [(sorted({f"t{rng.randrange(40)}" for _ in range(6)}), rng.random() < 0.25) for _ in range(900)]
