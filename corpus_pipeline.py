@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from gazetta.llm import decontam, langid, minhash, packing, quality
 from gazetta.llm.common import shared_dir, table, written
+from gazetta.operators.lineage import drop_at_end
+from gazetta.sinks import commits
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,11 +71,22 @@ STAGES = [("quality_rules", quality_rules), ("language", language), ("near_dedup
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of sf_dir; what each returns is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """All stages on the documents of sf_dir; what each returns is written to a shared folder and read again.
+
+    With a `folder` of its own a run that was killed goes on after the last stage that it wrote to its end, and all stages
+    stay. Without one, what a stage returned is dropped when the next is written, and the last when the interpreter ends.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    root = folder or f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        path = f"{root}/{name}"
+        if "_SUCCESS" not in commits.listed(spark, path):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if before and not folder:
+            commits.delete(spark, before)
+        before = path
+    if not folder:
+        drop_at_end(spark, root)
     return docs
