@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gazetta.operators import stats, tasks, upsert
 from gazetta.plans import collect, details
-from gazetta.sinks import commits
+from gazetta.sinks import commits, totals
 from gazetta.sinks import exports
 from gazetta.sources import files
 
@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     many, formats = {"nargs": "+", "required": True}, {"nargs": "*", "default": ["all"]}
     add("sample", "run the sample regions", "out", formats=formats)
     add("search", "collect places from recorded answers", "answers", "divisions", "chars", "out", mode={"choices": MODES, "default": "contain"}, provinces={"nargs": "*"}, progress={}, threshold={"type": int, "default": 3000}, page_size={"type": int, "default": 100})
-    add("search-live", "collect places over a transport, in --out; goes on from its progress with --resume", "transport", "divisions", "chars", "out", mode={"choices": MODES, "default": "contain"}, provinces={"nargs": "*"}, resume={"action": "store_true"}, threshold={"type": int, "default": 3000}, page_size={"type": int, "default": 100}, workers={"type": int, "default": 8}, qps={"type": float, "default": 0.0})
+    add("search-live", "collect places over a transport, in --out; goes on from its progress with --resume", "transport", "divisions", "chars", "out", mode={"choices": MODES, "default": "contain"}, provinces={"nargs": "*"}, resume={"action": "store_true"}, threshold={"type": int, "default": 3000}, page_size={"type": int, "default": 100}, workers={"type": int, "default": 8}, qps={"type": float, "default": 0.0}, flush={"type": int, "default": 5000}, max_runtime_seconds={"type": float}, total_path={})
     add("details", "fetch the details of open tasks in --folder", "transport", "folder", "run-id", ids={"nargs": "*", "default": []}, batch={"type": int, "default": 5000}, attempts={"type": int, "default": 3}, qps={"type": float, "default": 0.0}, max_runtime_seconds={"type": float}, worker={"default": "w0"})
     add("ladder", "place calls at rising rates until one is refused", "transport", levels={"nargs": "+", "type": float, "default": list(details.LADDER)}, ids={"nargs": "+", "required": True}, seconds={"type": float, "default": 30.0}, sample={"type": int, "default": 100}, out={})
     add("show-config", "the settings as they hold: YAML, then an env file, then the environment", config={"default": "config.yaml"}, sections={"nargs": "*", "default": []}, env_file={"default": ".env"}, prefix={"default": "GAZETTA_"})
@@ -73,13 +73,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         chars, divisions, before = files.characters(spark, args.chars).first().chars, read(args.divisions), None
         if args.resume and commits.listed(spark, f"{args.out}/progress"):
             before = read(f"{args.out}/progress").select("keyword", "code").distinct()
-        answers = collect.search_live(divisions, chars, transport(args.transport), before, args.provinces, args.threshold, args.page_size, args.workers, args.qps)
+        if not args.resume:
+            commits.delete(spark, f"{args.out}/asked")
+        answers = collect.search_live(divisions, chars, transport(args.transport), before, args.provinces, args.threshold, args.page_size, args.workers, args.qps, folder=f"{args.out}/asked", flush=args.flush, seconds=args.max_runtime_seconds)
         got = collect.collect_places(answers, divisions, chars, F.lit(now), before, args.provinces, args.mode, args.threshold, args.page_size)
         run = "run=" + now.translate({ord(c): None for c in "-:+T"})
         failed = answers.where("error is not null")
         got.places.write.mode("overwrite").parquet(f"{args.out}/places/{run}")
+        if args.total_path:
+            totals.put(read(f"{args.out}/places/{run}"), args.total_path)
         collect.whole(got.progress, failed, divisions).write.mode("overwrite").parquet(f"{args.out}/progress/{run}")
         shown = {"places": read(f"{args.out}/places/{run}").count(), "failed_requests": failed.count()}
+        commits.delete(spark, f"{args.out}/asked")  # what is complete is in progress now, and the rest is to be asked again
     elif args.command == "details":
         ids = files.ids(spark, *args.ids) if args.ids else None
         done = details.run_details(spark, args.folder, transport(args.transport), getattr(args, "run_id"), ids, args.batch, args.attempts, qps=args.qps, seconds=args.max_runtime_seconds, worker=args.worker)

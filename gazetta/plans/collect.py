@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
@@ -13,7 +14,7 @@ from gazetta import schemas
 from gazetta.functions import html, scalar, variant
 from gazetta.operators import hierarchy, projection, search, upsert
 from gazetta.operators.lineage import cut
-from gazetta.sinks import exports
+from gazetta.sinks import commits, exports
 from gazetta.sources import files, replay
 
 ROOT = "0"
@@ -51,16 +52,57 @@ def collect_places(answers: DataFrame, divisions: DataFrame, keywords: Sequence[
     return Collected(places, partitions, upsert.union_tokens(progress, tokens) if progress is not None else tokens)
 
 
+#: The error of a request that a run had no time for.
+NO_TIME = "out of time"
+
+
+class _Asker:
+    """Asks for pages in lots of `flush`; with a folder each lot is kept there, and what is there is not asked for again."""
+
+    def __init__(self, spark: SparkSession, fetch: Callable[[str, str, int], tuple[int, str]], folder: str | None, flush: int, parallel: int, qps: float, attempts: int, until: float | None) -> None:
+        self.spark, self.fetch, self.folder, self.flush, self.parallel, self.qps, self.attempts, self.until = spark, fetch, folder, flush, parallel, qps, attempts, until
+
+    def known(self) -> DataFrame | None:
+        path = f"{self.folder}/answers"
+        names = commits.listed(self.spark, path) if self.folder else []
+        return self.spark.read.parquet(path) if any(n.endswith(".parquet") for n in names) else None
+
+    def ask(self, rows: DataFrame) -> DataFrame:
+        rows, key = cut(rows.select("keyword", "code", "page")), ["keyword", "code", "page"]
+        parts, before = [], self.known()
+        open_rows = rows if before is None else cut(rows.join(before.select(*key), key, "left_anti"))
+        lots = -(-open_rows.count() // self.flush)
+        for lot in range(lots):
+            place = F.pmod(F.xxhash64(*key), F.lit(lots))
+            if self.until is not None and time.monotonic() >= self.until:
+                nothing = [F.lit(None).cast("string").alias("payload"), F.lit(None).cast("int").alias("status"), F.lit(NO_TIME).alias("error")]
+                parts.append(open_rows.where(place >= lot).select(*key, *nothing))
+                break
+            part = open_rows.where(place == lot)
+            got = cut(replay.fetch_answers(part.repartition(self.parallel), self.fetch, self.qps, self.attempts))
+            if self.folder:
+                got.where("payload is not null").write.mode("append").parquet(f"{self.folder}/answers")
+                got = got.where("payload is null")
+            parts.append(got)
+        kept = self.known()
+        if kept is not None:
+            parts.append(cut(kept.join(rows, key, "left_semi").select(*key, *[c for c in kept.columns if c not in key])))
+        return reduce(DataFrame.unionByName, parts) if parts else cut(replay.fetch_answers(rows, self.fetch))
+
+
 def search_live(
     divisions: DataFrame, keywords: Sequence[str], fetch: Callable[[str, str, int], tuple[int, str]], progress: DataFrame | None = None, provinces: Sequence[str] | None = None,
-    threshold: int = 3000, size: int = 100, parallel: int = 8, qps: float = 0.0, attempts: int = 3, most: int = 100,
+    threshold: int = 3000, size: int = 100, parallel: int = 8, qps: float = 0.0, attempts: int = 3, most: int = 100, folder: str | None = None, flush: int = 5000, seconds: float | None = None,
 ) -> DataFrame:
     """Answers (keyword, code, page, payload, error) that `collect_places` needs, fetched over a transport by `parallel` tasks.
 
-    Each level is two jobs: the first pages of its partitions, then the other pages of those that are not split
+    Each level is two steps: the first pages of its partitions, then the other pages of those that are not split
     into their children. Partitions in `progress` are not asked for. Requests that fail stay as rows with an error.
+    With a folder, answers are kept in it in lots of `flush` requests; a run that was killed asks only for what is not there.
+    When the `seconds` are over, no further lot is begun, and requests that are left have the error NO_TIME.
     """
-    ask = lambda rows: cut(replay.fetch_answers(rows.repartition(parallel), fetch, qps, attempts))
+    until = None if seconds is None else time.monotonic() + seconds
+    ask = _Asker(divisions.sparkSession, fetch, folder, flush, parallel, qps, attempts, until).ask
     nodes = divisions.select("code", "parent_code")
     level = search.keyword_partitions(keywords, search.in_provinces(nodes.where(F.col("parent_code") == ROOT), provinces))
     inner = nodes.select(F.col("parent_code").alias("code")).distinct().withColumn("_inner", F.lit(True))

@@ -3,6 +3,7 @@ import json
 import pytest
 from gazetta import cli, schemas
 from gazetta.plans import collect
+from gazetta.sinks import commits, totals
 from pyspark.sql import functions as F
 
 
@@ -109,6 +110,55 @@ def test_a_live_search_goes_on_where_requests_failed(spark):
     assert run(live(), rest.progress).isEmpty()
 
 
+def counted(calls, stop=None):
+    """As live(), noting each call in a file; a call for `stop` ends the worker."""
+
+    def fetch(keyword, code, page):
+        import json
+
+        if code == stop:
+            raise SystemExit("killed")
+        with open(calls, "a") as f:
+            f.write(f"{code}.{page}\n")
+        total = {"1": 50, "11": 1, "12": 3, "2": 5}[code]
+        return 200, json.dumps({"total": total, "records": [{"id": f"{keyword}{code}.{k}", "standard_name": "x", "gdm": {"type": "point", "coordinates": [[k, 1], [k, 2]][: 1 + k % 2]}} for k in range(2 * page - 2, min(2 * page, total))]})
+
+    return fetch
+
+
+def test_a_killed_search_asks_only_for_what_it_lacks_and_totals_agree(spark, tmp_path):
+    divisions = spark.createDataFrame([("1", "0"), ("2", "0"), ("11", "1"), ("12", "1")], "code string, parent_code string")
+    calls, folder = str(tmp_path / "calls"), str(tmp_path / "asked")
+    run = lambda fetch, folder, **more: collect.search_live(divisions, ["a"], fetch, None, threshold=10, size=2, parallel=1, attempts=1, folder=folder, flush=1, **more)
+    with pytest.raises(Exception):  # noqa: B017
+        run(counted(calls, stop="12"), folder)
+    before = (tmp_path / "calls").read_text().split()
+    assert {"1.1", "2.1", "2.2", "2.3"} <= set(before) and "12.1" not in before
+    answers = run(counted(calls), folder)
+    every = (tmp_path / "calls").read_text().split()
+    assert sorted(every) == sorted(set(every)) == ["1.1", "11.1", "12.1", "12.2", "2.1", "2.2", "2.3"]
+    whole = run(counted(str(tmp_path / "others")), None)
+    places = lambda rows: collect.collect_places(rows, divisions, ["a"], F.lit("t"), threshold=10, size=2).places
+    ids = lambda df: sorted(r.source_id for r in df.collect())
+    assert ids(places(answers)) == ids(places(whole)) and len(ids(places(whole))) == 9
+
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    totals.put(places(whole), one)
+    for part in ("partition_code = '2'", "partition_code <> '2'", "partition_code = '2'"):
+        totals.put(places(whole).where(part), two)
+    for a, b in zip(totals.read(spark, one), totals.read(spark, two), strict=True):
+        assert ids(a) == ids(b) and a.columns == b.columns
+    assert sum(df.count() for df in totals.read(spark, one)) == 9 and len([n for n in commits.listed(spark, two) if n.startswith("data-")]) == 2
+
+
+def test_a_search_out_of_time_leaves_the_rest_open(spark):
+    divisions = spark.createDataFrame([("1", "0"), ("2", "0"), ("11", "1")], "code string, parent_code string")
+    got = collect.search_live(divisions, ["a"], live(), None, threshold=10, size=2, parallel=1, attempts=1, seconds=0)
+    assert {(r.code, r.page, r.error) for r in got.collect()} == {("1", 1, collect.NO_TIME), ("2", 1, collect.NO_TIME)}
+    found = collect.collect_places(got, divisions, ["a"], F.lit("t"), threshold=10, size=2)
+    assert collect.whole(found.progress, got.where("error is not null"), divisions).isEmpty()
+
+
 def test_commands_over_a_transport(spark, tmp_path, capsys, monkeypatch):
     show = lambda *argv: (cli.main(list(argv), spark), json.loads(capsys.readouterr().out))[1]
     rows = [("r0", "0"), ("r1", "0"), ("n1", "r0"), ("n2", "r0")]
