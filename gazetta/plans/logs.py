@@ -83,7 +83,9 @@ def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As upsert_keep_captured, with the old and the new table bucketed by id."""
     name = f"divisions_{uuid.uuid4().hex}"
     buckets.store(_half(spark, sf_dir, False), f"{name}_old", ["id"], 8)
-    return buckets.put_in(spark, f"{name}_old", f"{name}_new", _half(spark, sf_dir, True), ["id"], keep=["captured_at"])
+    out = buckets.put_in(spark, f"{name}_old", f"{name}_new", _half(spark, sf_dir, True), ["id"], keep=["captured_at"])
+    spark.sql(f"DROP TABLE {name}_old")
+    return out
 
 
 @query(f"""
