@@ -46,14 +46,15 @@ TAGS = {
     "p": "p pre blockquote", "heading": "h1 h2 h3 h4 h5 h6", "list": "ul ol dl dir", "item": "li dt dd", "table": "table tbody thead tfoot tr td th caption", "figure": "figure figcaption", "text": "#text",
 }
 _group = {w: k for k, words in enumerate(WORDS.values()) for w in words.split()}
+_BODY = list(WORDS).index("body")
 _kind = {t: k for k, tags in enumerate(TAGS.values()) for t in tags.split()}
-_split = re.compile(r"[a-z]+(?:-[a-z]+)*")
-#: First or last parts that turn a hyphenated word into another one ("ad-free" is no advert, "no-sidebar" no sidebar).
-_TURNS = frozenset("free no non not without less has with".split())
-_own = [*TAGS, *(f"has_{w}" for w in WORDS)]
+_split = re.compile(r"[a-z]+(?:[-_]+[a-z]+)*")
+#: Parts of a compound that only say where or how a block is laid out ("site-footer", "ad-slot").
+LAYOUT = frozenset("area bar bottom box block card center col column container content fixed global group header holder inline inner item items left list main mobile outer page panel primary right row secondary section site slot sticky the top unit wrap wrapper".split())
+_own = [*TAGS, *(f"has_{w}" for w in WORDS), *(f"has_compound_{w}" for w in WORDS)]
 _BOILER_TAGS = frozenset("nav footer aside form dialog menu".split())
-_BOILER = sum(1 << k for k, name in enumerate(WORDS) if name != "body")
-_upper = [*(f"in_{t}" for t in ("nav", "header", "footer", "aside", "form", "article", "p", "heading", "list", "table")), *(f"within_{w}" for w in WORDS)]
+_BOILER = sum(1 << k for k, name in enumerate(WORDS) if name != "body")  # plain words only
+_upper = [*(f"in_{t}" for t in ("nav", "header", "footer", "aside", "form", "article", "p", "heading", "list", "table")), *(f"within_{w}" for w in WORDS), *(f"within_compound_{w}" for w in WORDS)]
 FEATURES = [*_own, *_upper, "depth", "log_chars", "link_share", "chars_a_node", "stops", "paragraphs", "siblings", "place_among_siblings", "like_siblings", "place_in_page", "share_of_page", "hidden", "boiler_tags", "boiler_words"]
 #: More link text never makes a node main text, nor does a hidden mark, nor one more boilerplate tag or word on it or above it.
 MONOTONE = [-1 if f in ("link_share", "hidden", "boiler_tags", "boiler_words") else 0 for f in FEATURES]
@@ -61,6 +62,24 @@ _bits = {t: 1 << k for k, t in enumerate(("nav", "header", "footer", "aside", "f
 _above = {t: _bits[k] for k, tags in TAGS.items() if k in _bits for t in tags.split()}
 
 
+def named(value: str) -> int:
+    """Bits of the groups that an attribute's words belong to; those of compounds stand len(WORDS) higher.
+
+    A compound names what its parts name if each of them is a word of a group or of the layout ("cookie-notice",
+    "site-footer"). Otherwise it is a word of its own ("related-work", "ad-free", "popular-science"), which only its
+    own features know; a part that speaks for main text counts in either case.
+    """
+    bits = 0
+    for whole in _split.findall(value.lower()):
+        parts = re.split("[-_]+", whole)
+        plain = len(parts) == 1 or all(w in _group or w in LAYOUT for w in parts)
+        for w in parts:
+            if w in _group:
+                k = _group[w]
+                bits |= 1 << (k if plain or k == _BODY else k + len(WORDS))
+    return bits
+
+
 class Page(HTMLParser):
     """Block tree of a page as parallel lists; node 0 is the root. Tolerates unclosed, misnested and unknown tags."""
 
@@ -86,12 +105,7 @@ class Page(HTMLParser):
         mark = None
         for name, value in attrs:
             if name in ("class", "id", "role", "itemprop") and value:
-                for whole in _split.findall(value.lower()):
-                    parts = whole.split("-")
-                    if len(parts) == 1 or not (parts[0] in _TURNS or parts[-1] in _TURNS):
-                        for w in parts:
-                            if w in _group:
-                                words |= 1 << _group[w]
+                words |= named(value)
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and "display:none" in value.replace(" ", "")):
                 hidden = 1
             elif name == "data-y":
@@ -193,7 +207,7 @@ class Page(HTMLParser):
         x = np.zeros((n, len(FEATURES)))
         x[np.arange(n), [_kind.get(t, 6) for t in self.tag]] = 1
         at = len(TAGS)
-        for bits, width in ((self.words, len(WORDS)), (upper, len(_bits)), (within, len(WORDS))):
+        for bits, width in ((self.words, 2 * len(WORDS)), (upper, len(_bits)), (within, 2 * len(WORDS))):
             x[:, at : at + width] = (np.array(bits)[:, None] >> np.arange(width)) & 1
             at += width
         c, parent = np.array(chars, float), np.array(self.parent)
@@ -246,10 +260,14 @@ def sample_page(rng: random.Random) -> str:
             out += [*(word() for _ in range(rng.randint(2, 14))), word() + rng.choice([".", ".", ",", "?"])]
         return escape(" ".join(out))
 
-    def el(tag: str, inside: str, names: str = "", y: int | None = None) -> str:
+    layout, boiler = sorted(LAYOUT), [w for k, words in WORDS.items() if k != "body" for w in words.split()]
+
+    def el(tag: str, inside: str, names: str = "", y: int | None = None, plain: bool = False) -> str:
+        """An element; a plain one has no compound but with words of the layout."""
         name = rng.choice(names.split()) if names and rng.random() < 0.85 else ""
         if name and rng.random() < 0.4:
-            name = rng.choice([f"{name}-{word()}", f"{word()}-{name}", f"{name} {word()}"])
+            other = rng.choice(layout) if plain or rng.random() < 0.5 else word()
+            name = rng.choice([f"{name}-{other}", f"{other}-{name}", f"{name} {word()}"])
         attr = f' {rng.choice(["class", "class", "id"])}="{name}"' if name else ""
         return f"<{tag}{attr}{'' if y is None else f' data-y={y}'}>{inside}" + ("" if tag == "p" and rng.random() < 0.1 else f"</{tag}>")
 
@@ -267,6 +285,14 @@ def sample_page(rng: random.Random) -> str:
             out.append(el("p", text))
         return out
 
+    def compound() -> str:
+        """Main text whose class only sounds like boilerplate."""
+        name = rng.choice([f"{rng.choice(boiler)}-{word()}", f"{word()}-{rng.choice(boiler)}", f"{rng.choice(boiler)}-{word()}-{word()}", f"{word()}_{rng.choice(boiler)}"])
+        name = rng.choice([name, name, f"{word()} {name}", f"text-{name}"])
+        tag = rng.choice(["p", "div", "section"])
+        inside = prose(*rng.choice([(2, 12), (10, 60)])) if tag == "p" else (el("h2", prose(1, 5)) if rng.random() < 0.5 else "") + "".join(paragraphs(1, 3))
+        return f'<{tag} class="{name}">{inside}</{tag}>'
+
     def article() -> str:
         body = paragraphs(1, 9) if rng.random() < 0.75 else [el("p", prose(1, 12)) for _ in range(rng.randint(1, 2))]
         for _ in range(rng.randint(0, 3)):
@@ -277,8 +303,15 @@ def sample_page(rng: random.Random) -> str:
                 ]
             )()
             body.insert(rng.randint(0, len(body)), extra)
+        for _ in range(rng.randint(1, 2) if rng.random() < 0.35 else 0):
+            body.insert(rng.randint(0, len(body)), compound())
         for _ in range(rng.randint(0, 2) if rng.random() < 0.5 else 0):
-            junk = rng.choice([lambda: el("div", prose(2, 20), "ad advert promo sponsored", 0), lambda: el("aside", links(3), "related", 0), lambda: el("div", links(4), "share social", 0), lambda: el("aside", el("p", prose(5, 30)), "promo", 0), lambda: el("form", "<input>" + prose(2, 8), "newsletter subscribe", 0)])()
+            junk = rng.choice(
+                [
+                    lambda: el("div", prose(2, 20), "ad advert promo sponsored", 0, True), lambda: el("aside", links(3), "related", 0), lambda: el("div", links(4), "share social related", 0),
+                    lambda: el("aside", el("p", prose(5, 30)), "promo", 0), lambda: el("form", "<input>" + prose(2, 8), "newsletter subscribe", 0),
+                ]
+            )()
             body.insert(rng.randint(0, len(body)), junk)
         head = el("h1", prose(3, 12)) if rng.random() < 0.9 else ""
         if head and rng.random() < 0.25:

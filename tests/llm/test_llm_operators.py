@@ -552,8 +552,34 @@ def test_a_large_benchmark_is_taken_in_blocks(spark, monkeypatch):
 PROSE = "A long sentence of the story, with commas, follows here and goes on for a while. " * 4
 
 
-def extracted(inside):
-    return html.extract_all(html.train(), [f"<html><body><nav><ul><li><a href='/'>Home</a></ul></nav><article><h1>A title</h1><p>{PROSE}</p>{inside}<p>{PROSE}</p></article></body></html>"])[0]
+def extracted(inside, tag="article"):
+    return html.extract_all(html.train(), [f"<html><body><nav><ul><li><a href='/'>Home</a></ul></nav><{tag}><h1>A title</h1><p>{PROSE}</p>{inside}<p>{PROSE}</p></{tag}></body></html>"])[0]
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+@pytest.mark.parametrize(
+    "block",
+    [
+        '<section class="related-work"><h2>Related work</h2><p>{}</p></section>', '<div class="post-comments-intro"><p>{}</p></div>', '<div class="popular-science"><p>{}</p></div>',
+        '<p class="lead search-result">{}</p>', '<div class="social_history"><p>{}</p></div>', '<div class="ad-free"><p>{}</p></div>',
+    ],
+)
+def test_compound_class_words_are_words_of_their_own(tag, block):
+    said = "Search teams found the boat near the northern shore, where it had been for months."
+    text = extracted(block.format(said), tag).split("\n")
+    assert said in text and text[0] == "A title" and text.count(PROSE.strip()) == 2 and "Home" not in text
+
+
+@pytest.mark.parametrize(
+    "block",
+    [
+        '<div class="cookie-notice"><p>{}</p></div>', '<div class="ad-banner">{}</div>', '<div class="sidebar_left"><p>{}</p></div>', '<div class="newsletter-signup"><p>{}</p></div>',
+        '<div class="related-posts"><ul><li><a href="/x">{}</a></li></ul></div>', '<section class="comments-area"><h3>Two</h3><div class="comment"><p>{}</p></div></section>',
+    ],
+)
+def test_compounds_of_boilerplate_and_layout_words_are_boilerplate(block):
+    said = "Search teams found the boat near the northern shore."
+    assert said not in extracted(block.format(said))
 
 
 @pytest.mark.parametrize("tag", ["template", "noscript", "button", "iframe", "select"])
