@@ -1,7 +1,8 @@
-"""Public license texts and notices that the scan looks for; longer texts are read from a folder."""
+"""Public license texts and notices that the scan looks for; longer texts can be read from a folder."""
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 # Public license texts, without title and copyright line.
@@ -70,7 +71,7 @@ THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLI
 # Versions and short names of well-known licenses, from which notices are made.
 GNU = {"GPL": ("General", ("1", "2", "3")), "LGPL": ("Lesser General", ("2.1", "3")), "AGPL": ("Affero General", ("3",))}
 CREATIVE = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
-NAMED = {"MIT": "MIT License", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License", "Apache-1.1": "Apache License, Version 1.1", "Apache-2.0": "Apache License, Version 2.0", "MPL-1.1": "Mozilla Public License, Version 1.1", "MPL-2.0": "Mozilla Public License, Version 2.0", "EPL-1.0": "Eclipse Public License, Version 1.0", "EPL-2.0": "Eclipse Public License, Version 2.0"}
+NAMED = {"MIT": "MIT License", "ISC": "ISC License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License", "Apache-1.1": "Apache License, Version 1.1", "Apache-2.0": "Apache License, Version 2.0", "MPL-1.1": "Mozilla Public License, Version 1.1", "MPL-2.0": "Mozilla Public License, Version 2.0", "EPL-1.0": "Eclipse Public License, Version 1.0", "EPL-2.0": "Eclipse Public License, Version 2.0", "BSL-1.0": "Boost Software License, Version 1.0", "Zlib": "zlib License"}
 OTHER = (
     ("GPL-2.0-or-later", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version"),
     ("GPL-3.0-or-later", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
@@ -80,27 +81,55 @@ OTHER = (
     ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this work to the public domain worldwide"),
 )
 #: Words that tell one notice from another; numbers do too.
-TELLING = frozenset("by sa nc nd attribution sharealike noncommercial noderivatives general lesser library affero mit isc bsd apache mozilla eclipse clause later".split())
+TELLING = frozenset(
+    "by sa nc nd attribution sharealike noncommercial noderivatives general lesser library affero mit isc bsd apache mozilla eclipse boost clause later gpl lgpl agpl cc cc0 mpl epl bsl zlib unlicense".split()
+)
+#: Numbers, with the marks of versions that notices write to them ("v2", "gplv3").
+NUMBER = re.compile(r"(?:[al]?gpl)?v?\d+")
 
-FOLDER = "/usr/share/common-licenses"
 #: Names of the folder's files as license names; files that are links to others are left out.
 FILES = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
 
 
+def gnu_notices(name: str, kind: str, v: str) -> list[tuple[str, str]]:
+    """Notices of one version of a GNU license: spelled out, by initials, with "version 2", "v2", "v2.0" or "GPLv2", and with later versions allowed."""
+    spdx = f"{name}-{v if '.' in v else v + '.0'}"
+    long = (f"GNU {kind} Public License", f"GNU {kind} Public License ({name})", f"GNU {name}", name)
+    out = [f"{start} under the {long[0]}, version {v}." for start in ("This work is licensed", "Released")]
+    for x in dict.fromkeys((v, spdx.rpartition("-")[2])):
+        out += [f"{who} {how}{x}" for who in long for how in ("version ", "v")] + [f"{long[0]} {x}"]
+        out += [f"{start} {name} v{x}" for start in ("under", "under the", "Licensed under", "Released under", "Distributed under")]
+        out += [f"{start} {name}v{x}" for start in ("under the", "Licensed under", "Released under", "Distributed under", "terms of the")] + [f"the {name}v{x} license"]
+    later = [f"{who} {how}{v} {end}" for who in long for how in ("version ", "v") for end in ("or later", "or any later version", "or (at your option) any later version")]
+    return [(spdx, t) for t in out] + [(f"{spdx}-or-later", t) for t in later]
+
+
+def spdx_notices(ids: list[str]) -> list[tuple[str, str]]:
+    """The tag that source files carry, and an identifier after "under"."""
+    return [(x, f"{start} {x}") for x in ids for start in ("SPDX-License-Identifier:", "under", "under the", "Licensed under", "Released under")]
+
+
 def notices() -> list[tuple[str, str]]:
-    """Short notices by license, in the usual wordings."""
-    out = [(name, f"{start} under the {x}.") for name, x in NAMED.items() for start in ("Released", "Licensed")]
+    """Short notices by license, in the usual wordings; those of fewer than three words, which no fingerprint has, are left out."""
+    out = []
+    for name, x in NAMED.items():
+        for said in dict.fromkeys((x, x.replace(", Version", ""))):
+            out += [(name, f"{start} {said}") for start in ("Released under the", "Licensed under the", "under the", "under", "the", "under the terms of the", "")]
+    ids = [*NAMED, "Unlicense", "CC0-1.0"]
     for name, (kind, versions) in GNU.items():
         for v in versions:
-            spdx = f"{name}-{v if '.' in v else v + '.0'}"
-            out += [(spdx, f"{start} under the GNU {kind} Public License, version {v}.") for start in ("This work is licensed", "Released")]
+            out += gnu_notices(name, kind, v)
+            plain = f"{name}-{v if '.' in v else v + '.0'}"
+            ids += [plain, f"{plain}-only", f"{plain}-or-later"]
     for kind, long in CREATIVE.items():
         for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
-            out += [(f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}."), (f"CC-{kind}-{v}", f"This work is licensed under a Creative Commons {long} {v} {'International' if v == '4.0' else 'Unported'} License.")]
-    return [*out, *OTHER]
+            spdx = f"CC-{kind}-{v}"
+            ids.append(spdx)
+            out += [(spdx, f"Licensed under CC {kind} {v}."), (spdx, f"This work is licensed under a Creative Commons {long} {v} {'International' if v == '4.0' else 'Unported'} License.")]
+    return [n for n in (*out, *spdx_notices(ids), *OTHER) if len(re.findall(r"\w+", n[1])) >= 3]
 
 
-def templates(folder: str = FOLDER) -> tuple[tuple[str, str], ...]:
-    """(license, text) of all notices, of the texts above and of the files that the driver finds in a folder of public license texts."""
-    files = [(name, Path(folder, f)) for f, name in FILES.items()]
+def templates(folder: str | None = None) -> tuple[tuple[str, str], ...]:
+    """(license, text) of all notices and of the texts above; with a folder of public license texts on the driver, of its files too."""
+    files = [(name, Path(folder, f)) for f, name in FILES.items()] if folder else []
     return (*notices(), *TEXTS, *((name, p.read_text(errors="replace")) for name, p in files if p.is_file()))

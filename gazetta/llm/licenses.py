@@ -46,6 +46,10 @@ def winnowed(h: np.ndarray) -> np.ndarray:
     return np.unique(np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1))
 
 
+def is_number(word: str) -> bool:
+    return word.isdigit() or license_texts.NUMBER.fullmatch(word) is not None
+
+
 class Match(NamedTuple):
     license: str
     template: int
@@ -94,10 +98,12 @@ class Scanner:
         self.cache: dict[tuple, tuple[int, int, int]] = {}
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for words in cut for w in words}))}
         self.words = [np.array([self.vocabulary[w] for w in words], np.int64) for words in cut]
-        self.telling = np.array([w in license_texts.TELLING or w.isdigit() for w in sorted(self.vocabulary)], bool)
+        self.telling = np.array([w in license_texts.TELLING or is_number(w) for w in sorted(self.vocabulary)], bool)
         hashed = [hashes(words) for words in cut]
         places = [winnowed(h) for h in hashed]
         h = np.concatenate([np.empty(0, np.uint64), *(x[p] for x, p in zip(hashed, places, strict=True))])
+        #: Hashes of templates of GRAM words, whose only run of words winnowing can pass over in a text.
+        self.tiny = np.unique(np.concatenate([np.empty(0, np.uint64), *(x for x in hashed if len(x) == 1)]))
         order = np.argsort(h, kind="stable")
         self.known, self.first = np.unique(h[order], return_index=True)
         self.first = np.append(self.first, len(h))
@@ -110,6 +116,10 @@ class Scanner:
     def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
         """(template, diagonal) where enough fingerprints meet: each diagonal of a notice, one for each band of a longer template."""
         prints = winnowed(h)
+        if len(self.tiny):
+            tiny = np.flatnonzero(self.tiny[np.minimum(np.searchsorted(self.tiny, h), len(self.tiny) - 1)] == h)
+            if len(tiny):
+                prints = np.union1d(prints, tiny)
         at = np.minimum(np.searchsorted(self.known, h[prints]), len(self.known) - 1)
         good = self.known[at] == h[prints]
         prints, at = prints[good], at[good]
@@ -146,7 +156,7 @@ class Scanner:
         chosen = self.candidates(hashes(words))
         if not chosen:
             return []
-        ids = np.fromiter((self.vocabulary.get(w, -2 - w.isdigit()) for w in words), np.int64, len(words))
+        ids = np.fromiter((self.vocabulary[w] if w in self.vocabulary else -2 - is_number(w) for w in words), np.int64, len(words))
         matches = set()
         for k, diagonal in chosen:
             n, first, last = self.match(k, ids, diagonal)

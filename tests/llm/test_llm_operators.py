@@ -1,5 +1,6 @@
 """Operators against brute force, exact round trips, held-out accuracy and SQL."""
 
+import functools
 import itertools
 import random
 import re
@@ -334,6 +335,41 @@ def test_versions_and_variants_of_notices():
         assert len(scanner.scan("Licensed under the MIT License. " * n)) == n
 
 
+notice_scanner = functools.cache(licenses.Scanner)
+
+
+@pytest.mark.parametrize("lead", ["", "a ", "some of the words ", "x y z q "])
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Released under GPLv3", "GPL-3.0"), ("the GPLv2 license", "GPL-2.0"), ("Licensed under the GNU General Public License v2.0", "GPL-2.0"), ("GNU General Public License (GPL) version 3", "GPL-3.0"),
+        ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only"), ("SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"), ("SPDX-License-Identifier: Zlib", "Zlib"), ("SPDX-License-Identifier: CC-BY-SA-4.0", "CC-BY-SA-4.0"),
+        ("Apache License, Version 2.0", "Apache-2.0"), ("under the Apache License 2.0", "Apache-2.0"), ("This program is licensed under the terms of the MIT license", "MIT"), ("The MIT License", "MIT"),
+        ("GNU GPL v3 or later", "GPL-3.0-or-later"), ("GNU General Public License version 2, or any later version", "GPL-2.0-or-later"), ("LGPL version 2.1", "LGPL-2.1"),
+        ("SPDX-License-Identifier: Foo-9", None), ("Released under GPLv9", None), ("GNU GPL v7", None), ("SPDX-License-Identifier: GPL-5.0-only", None), ("under the bridge of version 2 of the general plan", None),
+    ],
+)
+def test_usual_wordings_of_notices(lead, text, want):
+    found = [m.license for m in notice_scanner().scan(f"{lead}{text} {lead}and more of it")]
+    assert found == ([want] if want else [])
+
+
+def test_recall_of_edited_license_texts():
+    rng, scanner = random.Random(3), licenses.Scanner()
+    for share, least in ((0.1, 1.0), (0.2, 1.0), (0.3, 0.85)):
+        found = 0
+        for name, text in license_texts.TEXTS * 5:
+            edited = [y for x in text.split() for y in (rng.choice([[], ["zzz"], [x, "zzz"]]) if rng.random() < share else [x])]
+            found += any(m.license == name for m in scanner.scan("lead words here " * 20 + " ".join(edited) + " tail words here" * 20))
+        assert found >= least * 5 * len(license_texts.TEXTS), share
+
+
+def test_templates_do_not_depend_on_the_machine(tmp_path):
+    assert license_texts.templates() == (*license_texts.notices(), *license_texts.TEXTS)
+    (tmp_path / "GPL-3").write_text("a text of the folder " * 20)
+    assert license_texts.templates(str(tmp_path))[-1] == ("GPL-3.0", "a text of the folder " * 20)
+
+
 def test_whole_license_texts():
     scanner = licenses.Scanner()
     for name, text in license_texts.TEXTS:
