@@ -134,6 +134,48 @@ def whole(progress: DataFrame, failed: DataFrame, divisions: DataFrame, most: in
     raise RuntimeError(f"the divisions are deeper than {most} levels")
 
 
+class Synced(NamedTuple):
+    divisions: DataFrame  #: all that are known now
+    marks: DataFrame  #: parents whose children were asked for, even if there were none
+    asked: DataFrame  #: (code) of this run's requests
+    failed: DataFrame  #: (code) whose request failed; they carry no mark, so the next run asks again
+
+
+def sync_divisions(cached: DataFrame, marks: DataFrame, ask: Callable[[DataFrame], DataFrame], now: Column, root: str = ROOT, most: int = 20) -> Synced:
+    """Completes a division table from its root down, asking only for the children of parents that it doesn't know.
+
+    A parent with children in the table, or with a mark, is not asked for: its children are those in the table.
+    ask takes rows (code) and returns answers (code, payload), one or more rows a code; a null payload or no row is a failed request.
+    Each level is one call of ask. Codes are visited once, so cycles end; codes deeper than `most` levels raise an error.
+    Rows of answers are put into the table by code, keeping captured_at.
+    """
+    spark = cached.sparkSession
+    held = [cached.where("parent_code is not null").select("code", "parent_code")]
+    frontier = spark.createDataFrame([(root,)], "code string")
+    levels, news, asked, failed = [], [], [], []
+    for _ in range(most + 1):
+        levels.append(frontier)
+        known = reduce(DataFrame.unionByName, held)
+        told = known.select(F.col("parent_code").alias("code")).unionByName(marks.select(F.col("parent_code").alias("code")))
+        open_codes = cut(frontier.join(told, "code", "left_anti"))
+        answers = cut(ask(open_codes).where("payload is not null").select("code", "payload").join(open_codes, "code", "left_semi"))
+        rows = cut(replay.divisions(answers, now))
+        asked.append(open_codes)
+        failed.append(open_codes.join(answers, "code", "left_anti"))
+        news.append(rows)
+        below = known.join(frontier.select(F.col("code").alias("parent_code")), "parent_code", "left_semi").select("code").unionByName(rows.select("code"))
+        held.append(rows.select("code", "parent_code"))
+        frontier = cut(below.distinct().join(reduce(DataFrame.unionByName, levels), "code", "left_anti"))
+        if frontier.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"divisions are deeper than {most} levels")
+    every = reduce(DataFrame.unionByName, asked)
+    lost = reduce(DataFrame.unionByName, failed)
+    done = every.join(lost, "code", "left_anti").select(F.col("code").alias("parent_code"), now.alias("fetched_at"))
+    return Synced(upsert.upsert_divisions(cached, reduce(DataFrame.unionByName, news)), upsert.upsert_marks(marks, done), every, lost)
+
+
 def crawl_divisions(pages: DataFrame, seeds: DataFrame, base_url: str, most: int = 20) -> DataFrame:
     """Divisions reached from the seeds (code) over pages (code, url, html): provinces and cities are entered, the tables of the others give their towns."""
     own = html.divisions_of(pages.select("html", "url")).where("code <> ''")

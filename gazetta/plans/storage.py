@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -183,6 +184,31 @@ def division_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay.divisions(answers.select("code", payload.alias("payload")), F.lit(NOW)).select("code", "name", "parent_code", "level")
 
 
+@query(
+    """SELECT 'R' || r_regionkey AS code, r_name AS name, '0' AS parent_code, 'province' AS level FROM region
+    UNION ALL SELECT 'N' || n_nationkey, CASE WHEN n_regionkey % 2 = 0 THEN 'kept ' ELSE '' END || n_name, 'R' || n_regionkey, 'city' FROM nation
+    UNION ALL SELECT 'C' || c_custkey, c_name, 'N' || c_nationkey, 'district' FROM customer WHERE c_nationkey % 5 <> 0"""
+)
+def division_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations, customers = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    name = lambda letter, column: F.concat(F.lit(letter), F.col(column))
+    row = lambda code, called, level: F.struct(code.alias("code"), F.col(called).alias("name"), F.lit(level).alias("level"))
+    parts = [
+        table(spark, sf_dir, "region").select(F.lit("0").alias("code"), row(name("R", "r_regionkey"), "r_name", "province").alias("row"), F.lit(0).alias("part")),
+        nations.select(name("R", "n_regionkey").alias("code"), row(name("N", "n_nationkey"), "n_name", "city").alias("row"), F.lit(0).alias("part")),
+        customers.select(name("N", "c_nationkey").alias("code"), row(name("C", "c_custkey"), "c_name", "district").alias("row"), F.floor(F.col("c_custkey") / 100).cast("int").alias("part")),
+    ]
+    # answers of at most 100 rows; a code has as many as it needs
+    answers = reduce(DataFrame.unionByName, parts).groupBy("code", "part").agg(F.collect_list("row").alias("rows"))
+    answers = answers.select("code", F.to_json(F.struct(F.struct("rows").alias("data"))).alias("payload"))
+    # the nations of every other region are in the table, and every fifth nation is marked as one without parts
+    kept = nations.where("n_regionkey % 2 = 0").select(name("N", "n_nationkey").alias("code"), F.concat(F.lit("kept "), "n_name").alias("name"), name("R", "n_regionkey").alias("parent_code"), F.lit("city").alias("level"))
+    cached = kept.select("*", F.lit("places").alias("source_name"), F.lit(NOW).alias("captured_at"), F.lit(NOW).alias("updated_at"))
+    marks = nations.where("n_nationkey % 5 = 0").select(name("N", "n_nationkey").alias("parent_code"), F.lit(NOW).alias("fetched_at"))
+    # customers without parts of their own have no answer: their requests fail and stay open
+    return collect.sync_divisions(cached, marks, lambda codes: answers.join(codes, "code", "left_semi"), F.lit(NOW)).divisions.select("code", "name", "parent_code", "level")
+
+
 def _detail(key: str) -> tuple[int, str]:
     """A transport: by the number of the id a fault, a refusal, a broken body or a record."""
     n = int(key)

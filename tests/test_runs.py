@@ -175,3 +175,43 @@ def test_commands_over_a_transport(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setenv("GAZETTA_SIZE", "9")
     (tmp_path / "c.yaml").write_text("crawl:\n  size: 5\nname: a\n", "utf-8")
     assert show("show-config", "--config", f"{tmp_path}/c.yaml", "--sections", "crawl", "--env-file", f"{tmp_path}/none") == {"size": "9", "name": "a"}
+
+
+def _children(tree, calls):
+    """Answers from a dict of children; codes that map to None fail. What is asked for is noted in calls."""
+
+    def ask(codes):
+        asked = sorted(r.code for r in codes.collect())
+        calls.append(asked)
+        rows = [(c, None if tree.get(c, []) is None else json.dumps({"data": [{"code": k, "name": k.upper()} for k in tree.get(c, [])]})) for c in asked]
+        return codes.sparkSession.createDataFrame(rows, "code string, payload string")
+
+    return ask
+
+
+def test_a_division_sync_asks_for_unknown_parents_only(spark):
+    tree = {"0": ["a", "b"], "a": ["a1", "a2"], "b": ["b1"], "b1": None, "a2": ["0", "a2"]}
+    none, now, calls = spark.createDataFrame([], schemas.DIVISION), F.lit("t1"), []
+    marks = spark.createDataFrame([], schemas.FETCH_MARK)
+    got = collect.sync_divisions(none, marks, _children(tree, calls), now)
+    assert calls == [["0"], ["a", "b"], ["a1", "a2", "b1"]]  # the cycle below a2 ends
+    first = {r.code: r for r in got.divisions.collect()}
+    assert {"a", "b", "a1", "a2", "b1"} <= set(first) and first["a1"].parent_code == "a" and first["b"].name == "B"
+    assert {r.code for r in got.failed.collect()} == {"b1"}
+    assert {r.parent_code for r in got.marks.collect()} == {"0", "a", "b", "a1", "a2"}
+
+    tree["b1"], calls[:] = ["c"], []
+    again = collect.sync_divisions(got.divisions, got.marks, _children(tree, calls), F.lit("t2"))
+    assert [c for c in calls if c] == [["b1"], ["c"]]  # neither parents with children nor marked ones
+    second = {r.code: r for r in again.divisions.collect()}
+    assert set(second) == {*first, "c"} and second["c"].parent_code == "b1"
+    assert all(second[k].captured_at == "t1" for k in first) and second["c"].captured_at == "t2"
+    assert again.failed.count() == 0
+
+
+def test_a_division_sync_that_is_too_deep_is_an_error(spark):
+    none, marks = spark.createDataFrame([], schemas.DIVISION), spark.createDataFrame([], schemas.FETCH_MARK)
+    chain = {str(k): [str(k + 1)] for k in range(9)}
+    with pytest.raises(RuntimeError, match="deeper"):
+        collect.sync_divisions(none, marks, _children(chain, []), F.lit("t"), most=4)
+    assert collect.sync_divisions(none, marks, _children({"0": []}, []), F.lit("t")).divisions.count() == 0
