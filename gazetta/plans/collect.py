@@ -157,11 +157,12 @@ def sync_divisions(cached: DataFrame, marks: DataFrame, ask: Callable[[DataFrame
         levels.append(frontier)
         known = reduce(DataFrame.unionByName, held)
         told = known.select(F.col("parent_code").alias("code")).unionByName(marks.select(F.col("parent_code").alias("code")))
-        open_codes = cut(frontier.join(told, "code", "left_anti"))
-        answers = cut(ask(open_codes).where("payload is not null").select("code", "payload").join(open_codes, "code", "left_semi"))
-        rows = cut(replay.divisions(answers, now))
-        asked.append(open_codes)
-        failed.append(open_codes.join(answers, "code", "left_anti"))
+        open_codes = frontier.join(told, "code", "left_anti")
+        got = cut(open_codes.join(ask(open_codes).select("code", "payload"), "code", "left"))  # asked once, and kept
+        rows = replay.divisions(got.where("payload is not null"), now)
+        answered = got.groupBy("code").agg(F.max(F.col("payload").isNotNull()).alias("ok"))
+        asked.append(answered.select("code"))
+        failed.append(answered.where("not ok").select("code"))
         news.append(rows)
         below = known.join(frontier.select(F.col("code").alias("parent_code")), "parent_code", "left_semi").select("code").unionByName(rows.select("code"))
         held.append(rows.select("code", "parent_code"))
