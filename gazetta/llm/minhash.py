@@ -81,6 +81,11 @@ def bands_for(threshold: float) -> tuple[int, int]:
     raise ValueError(f"{MINIMA} minima are too few for a threshold of {threshold}")
 
 
+def may_split(threshold: float, bands: int, rows: int) -> bool:
+    """Whether the chance that a pair shares one of the bands and no other of all that the minima make is under MISS too (else no bucket is split)."""
+    return bands * threshold**rows * (1 - threshold**rows) ** (MINIMA // rows - 1) <= MISS
+
+
 def most_mismatches(threshold: float) -> int:
     """Unequal fields at which a pair of the threshold's similarity lies five standard deviations out."""
     chance = 2.0**-BITS
@@ -221,34 +226,68 @@ def block_links(rows: pa.Table, width: int, percent: int) -> pa.Table:
 BLOCK_SHINGLES, BLOCK_ROWS = 500_000, 1024
 #: Pairs of signatures that are compared at once.
 PAIRS = 1 << 18
+#: A bucket whose rows outside its largest component fill more blocks than this is split by further minima first.
+HOT_BLOCKS = 8
+
+
+def cells_of(apart: DataFrame) -> DataFrame:
+    """(key, cell, big, n_big, n_rest) of rows (key, cell, id, comp, n): the largest component of each cell of a bucket, and how many blocks it and the rest fill.
+
+    n_rest is 0 where all rows fit in one block. A cell that holds one component only is left out.
+    """
+    sizes = apart.groupBy("key", "cell", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    sizes = sizes.groupBy("key", "cell").agg(F.max(F.struct("rows", "n", "comp")).alias("big"), F.sum("rows").alias("rows"), F.sum("n").alias("n"))
+    sizes = sizes.where(F.col("rows") > F.col("big.rows"))
+    blocks = lambda rows, n: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    rest = F.when(blocks(F.col("rows"), F.col("n")) > 1, blocks(F.col("rows") - F.col("big.rows"), F.col("n") - F.col("big.n"))).otherwise(0)
+    return sizes.select("key", "cell", F.col("big.comp").alias("big"), blocks(F.col("big.rows"), F.col("big.n")).alias("n_big"), rest.alias("n_rest"))
+
+
+def further_bands(hot: DataFrame, texts: DataFrame, width: int, rows: int) -> DataFrame:
+    """(id, sig, bands, more) of the ids of hot rows: more holds the keys of all bands that the minima make, from the texts."""
+    ids = hot.groupBy("id").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    wanted = texts.join(ids.select("id"), "id").select(F.col("id").alias("doc_id"), "text")
+    more = sketches(wanted, width, MINIMA // rows, rows).select(F.col("doc_id").alias("id"), F.col("bands").alias("more"))
+    return ids.join(more, "id")
+
+
+def further_cells(hot: DataFrame, wide: DataFrame) -> DataFrame:
+    """(key, cell, id, comp, n) of hot rows, once for each band behind the one of the key: a cell is the key of that band.
+
+    The key is that of the first band that a pair shares; a pair at the threshold shares one behind it too, but for a
+    chance under MISS (may_split).
+    """
+    behind = F.slice("more", F.array_position("bands", F.col("key")).cast("int") + 1, F.size("more"))
+    return hot.select("key", "id", "comp", "n").join(wide, "id").select("key", F.explode(behind).alias("cell"), "id", "comp", "n")
 
 
 def in_blocks(apart: DataFrame, cells: DataFrame) -> DataFrame:
-    """Rows (key, id, comp, ...) with the pairs of blocks (i, j) in which they are compared, and their own block.
+    """Rows (key, cell, id, comp, ...) with the pairs of blocks (i, j) in which they are compared, and their own block.
 
-    Blocks 0 to n_big - 1 hold the bucket's largest component, whose rows need not be compared with one another;
-    n_rest blocks hold all other rows. cells: (key, big, n_big, n_rest), with n_rest 0 if all fit in one block.
+    Blocks 0 to n_big - 1 hold the cell's largest component, whose rows need not be compared with one another;
+    n_rest blocks hold all other rows. cells: those of cells_of.
     """
-    rows = apart.join(cells, "key")
+    rows = apart.join(cells, ["key", "cell"])
     big = F.col("comp") == F.col("big")
     own = F.when(F.col("n_rest") == 0, F.lit(0)).when(big, F.pmod(F.xxhash64("id"), F.col("n_big"))).otherwise(F.col("n_big") + F.pmod(F.xxhash64("id"), F.greatest("n_rest", F.lit(1))))
     rows = rows.withColumn("own", own.cast("int"))
     first = F.when(big, F.col("n_big")).otherwise(F.lit(0))  # rows of the largest component meet the others only
     others = F.when(F.col("n_rest") == 0, F.array(F.lit(0))).otherwise(F.sequence(first, F.col("n_big") + F.col("n_rest") - 1))
     rows = rows.withColumn("other", F.explode(others)).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    return rows.select("key", "i", "j", "own", *[c for c in apart.columns if c != "key"])
+    return rows.select("key", "cell", "i", "j", "own", *[c for c in apart.columns if c not in ("key", "cell")])
 
 
-def near_rows(rows: DataFrame, most: int, percent: int) -> DataFrame:
-    """(key, i, j, id, comp) of those rows of in_blocks that have a candidate in their pair of blocks.
+def near_rows(rows: DataFrame, most: int, percent: int, bands_each: int) -> DataFrame:
+    """(key, cell, i, j, id, comp) of those rows of in_blocks that have a candidate in their pair of blocks.
 
     A candidate is in another component, of a size that the threshold allows, and unlike in at most `most` fields
-    of the signature. A pair that shares several buckets is a candidate only in the first band that it shares.
+    of the signature. A pair that shares several buckets is a candidate only in the first band that it shares, and
+    in a bucket split by further minima (more than bands_each keys) only in the next one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, at in sorted_groups(batches, 3):
-            key, own, ids, comp, n = (part.column(c).to_numpy() for c in ("key", "own", "id", "comp", "n"))
+        for part, at in sorted_groups(batches, 4):
+            key, cell, own, comp, n = (part.column(c).to_numpy() for c in ("key", "cell", "own", "comp", "n"))
             block = part.column("i").to_numpy() + part.column("j").to_numpy()
             sig = part.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
             bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
@@ -268,29 +307,33 @@ def near_rows(rows: DataFrame, most: int, percent: int) -> DataFrame:
                 differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
                 good = np.bitwise_count(differ).sum(axis=1) <= most
                 x, y = x[good], y[good]
-                band = (bands[x] == bands[y]).argmax(axis=1)
+                same = bands[x] == bands[y]
+                band = same[:, :bands_each].argmax(axis=1)
                 good = bands[x, band] == key[x]
+                if bands.shape[1] > bands_each:
+                    behind = same[:, bands_each:] & (np.arange(bands.shape[1] - bands_each) > band[:, None])
+                    good &= bands[x, bands_each + behind.argmax(axis=1)] == cell[x]
                 near[x[good]] = near[y[good]] = True
                 lo = hi
-            out = part.select(["key", "i", "j", "id", "comp"]).filter(pa.array(near))
+            out = part.select(["key", "cell", "i", "j", "id", "comp"]).filter(pa.array(near))
             yield from out.to_batches()
 
     small_batches(rows.sparkSession)
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.select("key", "i", "j", "own", "id", "comp", "n", "sig", "bands").mapInArrow(run, "key long, i int, j int, id long, comp long")
+    dealt = rows.repartition("key", "cell", "i", "j").sortWithinPartitions("key", "cell", "i", "j")
+    return dealt.select("key", "cell", "i", "j", "own", "id", "comp", "n", "sig", "bands").mapInArrow(run, "key long, cell long, i int, j int, id long, comp long")
 
 
 def links_in_blocks(near: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links between components, by the full sets of the rows that near_rows leaves in each pair of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, at in sorted_groups(batches, 3):
+        for part, at in sorted_groups(batches, 4):
             for lo, hi in zip(at[:-1], at[1:], strict=True):
                 yield from block_links(part.slice(lo, hi - lo), width, percent).to_batches()
 
     small_batches(near.sparkSession)
-    rows = near.join(texts, "id").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.select("key", "i", "j", "comp", "text").mapInArrow(run, "a long, b long").distinct()
+    rows = near.join(texts, "id").repartition("key", "cell", "i", "j").sortWithinPartitions("key", "cell", "i", "j")
+    return rows.select("key", "cell", "i", "j", "comp", "text").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -303,8 +346,8 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
     Other columns don't matter. A percentage so low that the minima cannot serve it is an error.
     """
     threshold = percent / 100
-    most = most_mismatches(threshold)
-    sketch = written(sketches(documents, width, *bands_for(threshold)), "sketch")
+    most, (bands, rows) = most_mismatches(threshold), bands_for(threshold)
+    sketch = written(sketches(documents, width, bands, rows), "sketch")
     filled = sketch.where("doc_id is not null and hi is not null")
     # equal sets are one class, whose rows are equal but for doc_id
     reps = written(filled.groupBy("hi", "lo").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "reps")
@@ -327,12 +370,17 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
         placed = members.select("key", "id").join(place, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
         split = keep(placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"), "split")
         apart = keep(placed.join(split, "key").join(reps.select("id", "n", "sig", "bands"), "id").select("key", "id", "comp", "n", "sig", "bands"), "apart")
-        sizes = apart.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
-        sizes = sizes.groupBy("key").agg(F.max(F.struct("rows", "n", "comp")).alias("big"), F.sum("rows").alias("rows"), F.sum("n").alias("n"))
-        blocks = lambda rows, n: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
-        rest = F.when(blocks(F.col("rows"), F.col("n")) > 1, blocks(F.col("rows") - F.col("big.rows"), F.col("n") - F.col("big.n"))).otherwise(0)
-        cells = keep(sizes.select("key", F.col("big.comp").alias("big"), blocks(F.col("big.rows"), F.col("big.n")).alias("n_big"), rest.alias("n_rest")), "cells")
-        near = near_rows(in_blocks(apart, cells), most, percent)
+        apart = apart.withColumn("cell", F.lit(0).cast("long"))
+        cells = keep(cells_of(apart), "cells")
+        is_hot = (F.col("n_rest") > HOT_BLOCKS) & F.lit(may_split(threshold, bands, rows))
+        near = near_rows(in_blocks(apart, cells.where(~is_hot)), most, percent, bands)
+        hot = cells.where(is_hot).select("key")
+        if not hot.isEmpty():
+            hot = apart.drop("cell").join(hot, "key")
+            wide = keep(further_bands(hot, texts, width, rows), "wide")
+            parts = keep(further_cells(hot, wide), "parts")
+            pairs = in_blocks(parts, cells_of(parts)).join(wide.select("id", "sig", F.concat("bands", "more").alias("bands")), "id")
+            near = near.unionByName(near_rows(pairs, most, percent, bands))
         joined = components(links_in_blocks(near, texts, width, percent))  # (component, its new component)
 
     joined = joined.select(F.col("id").alias("component"), F.col("component").alias("whole"))

@@ -118,8 +118,13 @@ def slow_components(sets, percent):
     return label
 
 
-@pytest.mark.parametrize(("width", "percent", "block"), [(3, 85, None), (5, 80, None), (3, 85, 8)])
-def test_near_duplicates_match_brute_force(spark, width, percent, block, monkeypatch):
+@pytest.mark.parametrize(("width", "percent", "block", "hot"), [(3, 85, None, 8), (5, 80, None, 8), (3, 85, 8, 8), (3, 85, 4, 1)])
+def test_near_duplicates_match_brute_force(spark, width, percent, block, hot, monkeypatch):
+    split = []
+    if hot == 1:  # buckets split by further minima
+        monkeypatch.setattr(minhash, "HOT_BLOCKS", hot)
+        own = minhash.further_cells
+        monkeypatch.setattr(minhash, "further_cells", lambda rows, wide: split.append(rows.count()) or own(rows, wide))
     if block:  # large buckets: several cells a leader, several blocks a bucket
         monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
         monkeypatch.setattr(minhash, "STAR_ROWS", block)
@@ -137,6 +142,24 @@ def test_near_duplicates_match_brute_force(spark, width, percent, block, monkeyp
     want = slow_components(sets, percent)
     assert {i: r.component_id for i, r in got.items()} == want
     assert all(r.n_shingles == len(sets[i]) and r.kept == (i == want[i]) for i, r in got.items())
+    assert hot > 1 or split[0] > 100
+
+
+def test_unlike_rows_of_one_bucket_meet_in_few_pairs(spark):
+    rng, n = random.Random(8), 2000
+    shared = sentence(rng, 40)
+    texts = [(k, f"{shared} {sentence(rng, 60)}") for k in range(n)] + [(n, f"{shared} {sentence(random.Random(1), 60)}"), (n + 1, f"{shared} {sentence(random.Random(1), 60)} end")]
+    texts = spark.createDataFrame(texts, "id long, text string")
+    bands, rows = minhash.bands_for(0.85)
+    sketch = minhash.sketches(texts.withColumnRenamed("id", "doc_id"), 3, bands, rows)
+    # all rows are put into the bucket of the first band, as if they agreed in it
+    hot = sketch.select(F.element_at("bands", 1).alias("_"), F.lit(7).cast("long").alias("key"), F.col("doc_id").alias("id"), F.col("doc_id").alias("comp"), F.col("n_shingles").alias("n"), "sig",
+                        F.concat(F.array(F.lit(7).cast("long")), F.slice("bands", 2, bands)).alias("bands")).drop("_")
+    wide = minhash.further_bands(hot, texts, 3, rows)
+    sizes = [r["count"] for r in minhash.further_cells(hot, wide).groupBy("key", "cell").count().collect()]
+    assert sum(k * (k - 1) // 2 for k in sizes) < n * (n - 1) // 2 / 10
+    together = minhash.further_cells(hot, wide).where(F.col("id") >= n).groupBy("key", "cell").count()
+    assert together.where("count = 2").count() > 5
 
 
 def test_estimates_are_corrected_for_collisions(spark):
@@ -210,6 +233,7 @@ def test_bands_keep_the_promised_chance():
         bands, rows = minhash.bands_for(percent / 100)
         assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISS and bands * rows <= minhash.MINIMA
     assert minhash.bands_for(0.85)[1] == minhash.bands_for(0.8)[1] == 4
+    assert all(minhash.may_split(t, *minhash.bands_for(t)) for t in (0.3, 0.5, 0.8, 0.85, 1.0)) and not minhash.may_split(0.12, *minhash.bands_for(0.12))
     with pytest.raises(ValueError):
         minhash.bands_for(0.05)
 
