@@ -177,6 +177,16 @@ def sync_divisions(cached: DataFrame, marks: DataFrame, ask: Callable[[DataFrame
     return Synced(upsert.upsert_divisions(cached, reduce(DataFrame.unionByName, news)), upsert.upsert_marks(marks, done), every, lost)
 
 
+def children_by(fetch: Callable[[str, str, int], tuple[int, str]], parallel: int = 8, qps: float = 0.0, attempts: int = 3) -> Callable[[DataFrame], DataFrame]:
+    """What sync_divisions asks with, over a transport: it gets an empty keyword, the code and page 1."""
+
+    def ask(codes: DataFrame) -> DataFrame:
+        rows = codes.select(F.lit("").alias("keyword"), "code", F.lit(1).alias("page")).repartition(parallel)
+        return replay.fetch_answers(rows, fetch, qps, attempts).select("code", "payload")
+
+    return ask
+
+
 def crawl_divisions(pages: DataFrame, seeds: DataFrame, base_url: str, most: int = 20) -> DataFrame:
     """Divisions reached from the seeds (code) over pages (code, url, html): provinces and cities are entered, the tables of the others give their towns."""
     own = html.divisions_of(pages.select("html", "url")).where("code <> ''")
@@ -203,8 +213,57 @@ def sample_run(spark: SparkSession, folder: str, now: str, formats: Sequence[str
     return stored, upsert.upsert_runs(spark.createDataFrame([], schemas.RUN), run), out
 
 
-def task_partitions(tasks: DataFrame) -> DataFrame:
-    """(task, keyword) of task rows (task, chars, total_path, formats): Spark schedules them all as one table. Tasks must agree on the total table and the formats."""
+def agreeing(tasks: DataFrame) -> DataFrame:
+    """tasks, or an error where they differ in the total table or the formats: tasks that run together share both."""
     if tasks.select("total_path", F.array_join("formats", ",")).distinct().limit(2).count() > 1:
         raise ValueError("parallel tasks must share the total table and the formats")
-    return tasks.select("task", F.explode(scalar.distinct_chars(F.col("chars"))).alias("keyword"))
+    return tasks
+
+
+def task_partitions(tasks: DataFrame) -> DataFrame:
+    """(task, keyword) of task rows (task, chars, total_path, formats): Spark schedules them all as one table."""
+    return agreeing(tasks).select("task", F.explode(scalar.distinct_chars(F.col("chars"))).alias("keyword"))
+
+
+class CollectedTasks(NamedTuple):
+    places: DataFrame  #: task and the columns of a place: one row a task and source_id, the last found wins
+    partitions: DataFrame  #: (task, keyword, code, total, page) that were read
+    progress: DataFrame  #: (task, keyword, code) tokens that are complete now, those of before included
+
+
+def collect_tasks(
+    answers: DataFrame, divisions: DataFrame, tasks: DataFrame, now: Column, progress: DataFrame | None = None, mode: str = "contain", threshold: int = 3000, size: int = 100,
+) -> CollectedTasks:
+    """Several searches over the same answers as one job: tasks (task, chars, provinces, total_path, formats), no provinces meaning all.
+
+    Each task is what `collect_places` does with its keywords and provinces, and has progress of its own. An answer that
+    several tasks need is parsed and projected once. A top division without an answer is not complete.
+    Tasks must agree on the total table and the formats; a task without keywords finds nothing.
+    """
+    words = agreeing(tasks).select("task", "provinces", F.posexplode(scalar.distinct_chars(F.col("chars"))).alias("_rank", "keyword"))
+    found = answers.withColumn("_v", variant.parsed(F.col("payload")))
+    told = found.where("page = 1").select("keyword", "code", variant.total_of(F.col("_v"), F.lit(0).cast("long")).alias("total"))
+    nodes = divisions.select("code", F.when(F.col("parent_code") != ROOT, F.col("parent_code")).alias("parent_code"))
+    wanted = F.col("parent_code").isNotNull() | (F.coalesce(F.size("provinces"), F.lit(0)) < 1) | F.array_contains("provinces", F.col("code"))
+    counts = told.join(nodes, "code").join(words, "keyword").where(wanted)
+    token = F.struct("task", "keyword").alias("keyword")  # keywords of different tasks are different keywords
+    done = progress.select(token, "code") if progress is not None else None
+    split = hierarchy.adaptive_partitions(counts.select(token, "code", "parent_code", "total"), threshold, size, done)
+    partitions = cut(split.select("keyword.task", "keyword.keyword", "code", "total", "page"))
+    pages = partitions.select("keyword", "code", "page").distinct()
+    raw = found.join(pages, ["keyword", "code", "page"]).select("keyword", F.col("code").alias("partition_code"), "page", F.posexplode(variant.records_of(F.col("_v"))).alias("_at", "_r"))
+    raw = raw.select("keyword", "partition_code", F.format_string("%09d|%09d", "page", "_at").alias("source_url"), variant.canonical(F.col("_r")).alias("raw"))
+    rows = projection.place_rows(raw.withColumns({"match_mode": F.lit(mode), "fetched_at_utc": now}), now)
+    rows = rows.withColumn("page", F.substring_index("source_url", "|", 1).cast("long"))
+    read_by = partitions.join(words.select("task", "keyword", "_rank"), ["task", "keyword"]).select("task", "keyword", "_rank", F.col("code").alias("partition_code"), "page")
+    rows = rows.join(read_by, ["keyword", "partition_code", "page"])
+    last = upsert.last_wins(rows, ["task", "source_id"], ["_rank", "partition_code", "source_url"])
+    places = last.withColumn("source_url", F.lit("")).select("task", *schemas.PLACE.fieldNames())
+    tops = counts.where("parent_code is null").select("task", "keyword", "code")
+    tokens = tops.unionByName(partitions.select("task", "keyword", "code")).distinct()
+    return CollectedTasks(places, partitions, tokens.unionByName(progress.select(*tokens.columns)).distinct() if progress is not None else tokens)
+
+
+def task_summary(places: DataFrame) -> DataFrame:
+    """(task, n_places, n_partitions) of the places of several tasks."""
+    return places.groupBy("task").agg(F.count("*").alias("n_places"), F.count_distinct("keyword", "partition_code").alias("n_partitions"))

@@ -209,6 +209,37 @@ def division_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collect.sync_divisions(cached, marks, lambda codes: answers.join(codes, "code", "left_semi"), F.lit(NOW)).divisions.select("code", "name", "parent_code", "level")
 
 
+@query(
+    """WITH c AS (
+        SELECT left(c_mktsegment, 1) AS keyword, n_regionkey, 'N' || n_nationkey AS code, c_custkey // 1000 + 2 AS page, (c_custkey // 4)::VARCHAR AS source_id FROM customer JOIN nation ON c_nationkey = n_nationkey
+    ), t AS (SELECT r_name AS task, r_regionkey AS own, unnest(string_split(r_name, '')) AS keyword, unnest(range(length(r_name))) AS p FROM region),
+    w AS (SELECT task, own, keyword, min(p) AS rank FROM t WHERE keyword <> ' ' GROUP BY ALL),
+    split AS (SELECT keyword, n_regionkey FROM c GROUP BY ALL HAVING count(*) > 10), leaf AS (SELECT keyword, code, count(*) AS total FROM c GROUP BY ALL)
+    SELECT task, source_id, arg_max(keyword, (rank, code)) AS keyword, arg_max(code, (rank, code)) AS partition_code
+    FROM c JOIN w USING (keyword) JOIN split USING (keyword, n_regionkey) JOIN leaf USING (keyword, code)
+    WHERE (own = 0 OR own = n_regionkey) AND page <= total GROUP BY task, source_id"""
+)
+def search_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = F.concat(F.lit("R"), "n_regionkey")
+    nation = F.concat(F.lit("N"), "n_nationkey")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", region.alias("region"), nation.alias("nation"))
+    rows = table(spark, sf_dir, "customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.select(F.substring("c_mktsegment", 1, 1).alias("keyword"), "region", "nation", "c_custkey")
+    # first pages tell the totals, the pages behind them hold at most 1,000 records of a nation
+    record = F.struct(F.floor(F.col("c_custkey") / 4).cast("string").alias("id"))
+    page = (F.floor(F.col("c_custkey") / 1000) + 2).cast("long")
+    pages = rows.groupBy("keyword", F.col("nation").alias("code"), page.alias("page")).agg(F.to_json(F.struct(F.collect_list(record).alias("records"))).alias("payload"))
+    total = F.to_json(F.struct(F.count("*").alias("total"))).alias("payload")
+    firsts = [rows.groupBy("keyword", F.col(c).alias("code")).agg(total).withColumn("page", F.lit(1).cast("long")) for c in ("region", "nation")]
+    answers = reduce(DataFrame.unionByName, firsts, pages)
+    divisions = nations.select(F.col("nation").alias("code"), F.col("region").alias("parent_code")).unionByName(nations.select(F.col("region").alias("code"), F.lit("0").alias("parent_code")).distinct())
+    # a task for each region: the letters of its name, in the region itself (the first one: in all)
+    key = F.col("r_regionkey")
+    own = F.when(key != 0, F.array(F.concat(F.lit("R"), key)))
+    tasks = table(spark, sf_dir, "region").select(F.col("r_name").alias("task"), F.col("r_name").alias("chars"), own.alias("provinces"), F.lit("total").alias("total_path"), F.array(F.lit("csv")).alias("formats"))
+    return collect.collect_tasks(answers, divisions, tasks, F.lit(NOW), threshold=10, size=1).places.select("task", "source_id", "keyword", "partition_code")
+
+
 def _detail(key: str) -> tuple[int, str]:
     """A transport: by the number of the id a fault, a refusal, a broken body or a record."""
     n = int(key)

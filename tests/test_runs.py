@@ -66,6 +66,60 @@ def test_parallel_tasks_must_agree(spark):
         collect.task_partitions(spark.createDataFrame([*rows, ("c", "x", "other", ["csv"])], schema))
 
 
+TASKS = "task string, chars string, provinces array<string>, total_path string, formats array<string>"
+
+
+def test_several_tasks_give_what_each_gives_alone(spark, tables):
+    answers, divisions, _ = tables
+    asked = {"both": ("尾村", None), "turned": ("村尾尾", []), "south": ("尾", ["44"]), "none": ("山", None), "empty": ("", None), "null": (None, ["35"])}
+    tasks = spark.createDataFrame([(t, chars, provinces, "t", ["csv"]) for t, (chars, provinces) in asked.items()], TASKS)
+    got = collect.collect_tasks(answers, divisions, tasks, F.lit("t"))
+    places, progress = got.places.collect(), got.progress.collect()
+    assert len({(r.task, r.source_id) for r in places}) == len(places)
+    for task, (chars, provinces) in asked.items():
+        alone = collect.collect_places(answers, divisions, list(dict.fromkeys(chars or "")), F.lit("t"), provinces=provinces)
+        own = {(r.source_id, r.keyword, r.partition_code, r.standard_name) for r in places if r.task == task}
+        assert own == {(r.source_id, r.keyword, r.partition_code, r.standard_name) for r in alone.places.collect()}, task
+    assert {(r.keyword, r.code) for r in progress if r.task == "both"} == {("尾", "35"), ("尾", "3501"), ("尾", "3502"), ("尾", "44"), ("村", "35"), ("村", "44")}
+    assert not any(r.task in ("none", "empty", "null") for r in progress)
+
+    # progress belongs to its task
+    before = got.progress.where("task = 'both'")
+    again = collect.collect_tasks(answers, divisions, tasks, F.lit("t"), progress=before)
+    assert {r.task for r in again.places.collect()} == {"turned", "south"} and again.progress.count() == got.progress.count()
+    assert {r.task: (r.n_places, r.n_partitions) for r in collect.task_summary(got.places).collect()} == {"both": (4, 4), "turned": (4, 4), "south": (1, 1)}
+
+
+def test_task_files_on_the_command_line(spark, tables, tmp_path, capsys):
+    for name, task in {"a": {"chars": "尾村", "export": ["json"], "total_db_path": f"{tmp_path}/total"}, "b": {"chars": "尾", "province_codes": [44], "export": "json", "total_db_path": f"{tmp_path}/total"}}.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(task), "utf-8")
+    line = ["search-tasks", "--answers", f"{tmp_path}/answers", "--divisions", f"{tmp_path}/divisions", "--out", f"{tmp_path}/out"]
+    assert cli.main([*line, "--json", f"{tmp_path}/a.json", "--json", f"{tmp_path}/b.json"], spark) == 0
+    assert json.loads(capsys.readouterr().out) == {"a": 4, "b": 1}
+    single, multi = totals.read(spark, f"{tmp_path}/total")
+    assert {r.source_id for r in single.collect()} == {"p1", "p2", "p3", "shared"} and multi.count() == 0
+    assert len(json.load(open(tmp_path / "out" / "places.json", encoding="utf-8"))) == 4
+    with pytest.raises(ValueError, match="names"):
+        cli.main([*line, "--json", f"{tmp_path}/a.json", "--json", f"{tmp_path}/a.json"], spark)
+    (tmp_path / "c.json").write_text(json.dumps({"chars": "尾"}), "utf-8")
+    with pytest.raises(ValueError, match="share"):
+        cli.main([*line, "--json", f"{tmp_path}/a.json", "--json", f"{tmp_path}/c.json"], spark)
+
+
+def test_division_sync_on_the_command_line(spark, tmp_path, capsys, monkeypatch):
+    children = {"0": ["35", "44"], "44": ["4401"]}
+
+    def fetch(keyword, code, page):  # local, so that it travels to the tasks by value
+        return (404, "") if code == "35" else (200, json.dumps({"data": [{"code": c, "name": c} for c in children.get(code, [])]}))
+
+    monkeypatch.setattr(cli, "transport", lambda name: {"m:f": fetch}[name])
+    assert cli.main(["sync-divisions", "--transport", "m:f", "--out", f"{tmp_path}/one"], spark) == 0
+    assert json.loads(capsys.readouterr().out) == {"divisions": 3, "asked": 4, "failed": 1}
+    again = ["--divisions", f"{tmp_path}/one/divisions", "--marks", f"{tmp_path}/one/marks"]
+    assert cli.main(["sync-divisions", "--transport", "m:f", "--out", f"{tmp_path}/two", *again], spark) == 0
+    assert json.loads(capsys.readouterr().out) == {"divisions": 3, "asked": 1, "failed": 1}  # only the failed one is asked again
+
+
 def test_command_line(spark, tables, capsys):
     _, _, folder = tables
     assert cli.main(["search", "--answers", f"{folder}/answers", "--divisions", f"{folder}/divisions", "--chars", "尾,村", "--out", f"{folder}/out"], spark) == 0
