@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions import scalar
-from gazetta.operators import hierarchy, search, stats, tasks
+from gazetta.operators import hierarchy, scan, search, stats, tasks
 from gazetta.plans.registry import query, table
 from gazetta.sources import files
 
@@ -136,8 +136,10 @@ def page_enumeration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 + 1 AS page FROM conversations WHERE turn >= 0")
 def turn_pagination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a turn's place in its conversation is its number, so no window gathers a conversation
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.floor(F.col("turn") / 3) + 1).cast("long").alias("page"))
+    # running counts by ranges, so that a conversation of any length is in many tasks and turns may have gaps
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn").where("turn >= 0")
+    numbered = scan.sum_before(turns, ["conv_id"], ["turn"], F.lit(1).cast("long"), "before")
+    return numbered.select("conv_id", "turn", (F.floor(F.col("before") / 3) + 1).cast("long").alias("page"))
 
 
 @query("SELECT n_nationkey::VARCHAR AS code, n_name, CASE WHEN n_nationkey % 4 = 0 THEN n_regionkey * 10.0 WHEN n_nationkey IN (1, 6, 11) THEN 116.25 END::DOUBLE AS longitude, CASE WHEN n_nationkey % 4 = 0 THEN n_nationkey * 1.5 WHEN n_nationkey IN (1, 6, 11) THEN 39.5 END::DOUBLE AS latitude FROM nation")

@@ -1,4 +1,4 @@
-"""Python data sources: paged searches, division children and detail lookups, replayed from recorded answers or fetched by a given function.
+"""Paged searches, division children and detail lookups, replayed from recorded answers or fetched by a given function.
 
 A transport is a picklable function; network access, proxies and user agents are its own matter.
 """
@@ -13,56 +13,21 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gazetta import schemas
 from gazetta.functions import scalar, variant
 
 
-class _Pages(InputPartition):
-    def __init__(self, keyword: str, code: str, pages: list[int]):
-        super().__init__((keyword, code, tuple(pages)))
-
-
-class ReplayReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.requests = json.loads(options["requests"])
-        self.path, self.size = options["path"], int(options.get("size", "100"))
-
-    def partitions(self) -> list[InputPartition]:
-        return [_Pages(r["keyword"], r["code"], r["pages"]) for r in self.requests]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        keyword, code, pages = partition.value
-        with open(self.path, encoding="utf-8") as lines:
-            for line in lines:
-                answer = json.loads(line)
-                if answer["keyword"] == keyword and answer["code"] == code and answer["page"] in pages:
-                    payload = answer["payload"]
-                    total = payload.get("total", 0) if isinstance(payload, dict) else 0
-                    for record in payload.get("records", []) if isinstance(payload, dict) else []:
-                        if isinstance(record, dict):
-                            yield keyword, code, answer["page"], int(total), json.dumps(record, ensure_ascii=False, sort_keys=True)
-
-
-class ReplaySearch(DataSource):
-    """format("replay_search"): records of a file of recorded answers {keyword, code, page, payload}, one partition for each request."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "replay_search"
-
-    def schema(self) -> str:
-        return "keyword string, partition_code string, page int, total long, raw string"
-
-    def reader(self, schema: Any) -> DataSourceReader:
-        return ReplayReader(self.options)
-
-
 def search_places(spark: SparkSession, path: str, requests: list[dict]) -> DataFrame:
-    """Records for requests (keyword, code, pages) from recorded answers in a file that all executors can read."""
-    spark.dataSource.register(ReplaySearch)
-    return spark.read.format("replay_search").option("path", path).option("requests", json.dumps(requests)).load()
+    """Records (keyword, partition_code, page, total, raw) for requests (keyword, code, pages) from files of recorded answers {keyword, code, page, payload}.
+
+    Files are read once for all requests, and a payload may be an object or the text of one.
+    """
+    answers = spark.read.schema("keyword string, code string, page long, payload string").json(path)
+    rows = [(r["keyword"], r["code"], int(p)) for r in requests for p in r["pages"]]
+    wanted = spark.createDataFrame(rows, "keyword string, code string, page long").distinct()
+    found = search_answers(answers.join(wanted, ["keyword", "code", "page"], "left_semi"))
+    return found.withColumnRenamed("code", "partition_code")
 
 
 def divisions(answers: DataFrame, now: Any, source: str = "places") -> DataFrame:

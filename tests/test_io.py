@@ -45,7 +45,7 @@ def test_replayed_search(spark, tmp_path):
     path = tmp_path / "answers.jsonl"
     path.write_text("\n".join(json.dumps(a, ensure_ascii=False) for a in answers), "utf-8")
     got = replay.search_places(spark, str(path), [{"keyword": "尾", "code": "35", "pages": [1, 2]}])
-    assert {(r.page, r.total, r.raw) for r in got.collect()} == {(1, 2, '{"id": "a"}'), (2, 2, '{"id": "b"}')}
+    assert {(r.page, r.total, r.raw) for r in got.collect()} == {(1, 2, '{"id":"a"}'), (2, 2, '{"id":"b"}')}  # canonical JSON, as everywhere
     rows = spark.createDataFrame([(a["keyword"], a["code"], a["page"], json.dumps(a["payload"])) for a in answers], "keyword string, code string, page int, payload string")
     assert replay.search_answers(rows).count() == 3
 
