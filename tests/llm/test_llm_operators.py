@@ -2,6 +2,7 @@
 
 import functools
 import itertools
+import math
 import random
 import re
 import zlib
@@ -299,6 +300,50 @@ def test_chain_finds_toxic_texts_it_was_not_trained_on(spark):
     assert sum(got[k].toxic for k in seen) >= 0.98 * len(seen)
 
 
+def slow_linear(rows, y, l2=0.02):
+    """Newton steps in double precision on the penalised log-likelihood; weights, then the bias."""
+    x = np.hstack([np.asarray(rows, float), np.ones((len(rows), 1))])
+    w, penalty = np.zeros(x.shape[1]), np.append(np.full(x.shape[1] - 1, l2), 1e-3)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+    return w
+
+
+def slow_p(row, w):
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(row, w, strict=False)) + w[-1])))
+
+
+def test_chain_matches_brute_force(spark):
+    rng = random.Random(6)
+    names = ("apple", "brick", "cloud", "delta", "ember", "flint")
+    texts = [" ".join([*[w for w in names if rng.random() < 0.4], f"x{'yz'[k % 2]}"]) for k in range(600)]
+    x = [[float(w in t.split()) for w in names] for t in texts]
+    y = [[rng.random() < (0.6 if r[0] else 0.2), rng.random() < (0.7 if r[1] else 0.3), rng.random() < (0.8 if r[0] or r[2] else 0.1)] for r in x]
+    fold = [rng.randrange(toxicity.FOLDS) for _ in texts]
+    chain = toxicity.fit(np.array(x, np.float32), np.array(y), np.array(fold), names, {w: k for k, w in enumerate(names)})
+
+    logit = lambda p: math.log(min(max(p, 1e-4), 1 - 1e-4) / (1 - min(max(p, 1e-4), 1 - 1e-4)))
+    given, models = [list(r) for r in x], []
+    for k in range(3):
+        models.append(slow_linear(given, [r[k] for r in y]))
+        out = {}
+        for f in range(toxicity.FOLDS):  # a text is predicted by a model that has not seen it
+            w = slow_linear([r for r, g in zip(given, fold, strict=True) if g != f], [r[k] for r, g in zip(y, fold, strict=True) if g != f])
+            out |= {i: slow_p(r, w) for i, (r, g) in enumerate(zip(given, fold, strict=True)) if g == f}
+        given = [[*r, logit(out[i])] for i, r in enumerate(given)]
+
+    rows = [*enumerate(texts), (1000, ""), (1001, None), (1002, "APPLE, apple! brick " * 30_000)]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), chain).collect()}
+    for i, text in rows:
+        row, want = [float(w in (text or "").lower().replace(",", " ").replace("!", " ").split()) for w in names], []
+        for w in models:
+            want.append(slow_p(row, w) if text else 0.0)
+            row = [*row, logit(want[-1])]
+        assert [got[i].p_kind1, got[i].p_kind2, got[i].p_toxic] == pytest.approx(want, abs=0.01)
+        assert got[i].toxic == (got[i].p_toxic >= chain.threshold and bool(text))
+
+
 def test_kinds_are_clusters_of_toxic_texts():
     rng = np.random.default_rng(2)
     x = (rng.random((200, 30)) < 0.02).astype(np.float32)
