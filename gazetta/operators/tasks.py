@@ -49,10 +49,15 @@ def mark_done(tasks: DataFrame, ids: DataFrame, now: Column) -> DataFrame:
 
 
 def mark_open(tasks: DataFrame, errors: DataFrame, status: str, now: Column) -> DataFrame:
-    """Tasks of errors (id, error) marked retry or failed: one more attempt, the error cut to 500 characters."""
-    rows = tasks.join(errors.groupBy("id").agg(F.max("error").alias("_error"), F.lit(True).alias("_hit")), "id", "left")
+    """Tasks of errors (id, error) marked retry or failed: one more attempt, the error cut to 500 characters.
+
+    Errors are cut before they are grouped (the greatest, cut, is the greatest of the cut ones) and merged, never
+    broadcast: Spark takes a computed text for 20 bytes, so whole ones would pass through the driver unseen.
+    """
+    short = errors.select("id", F.substring("error", 1, 500).alias("error"))
+    rows = tasks.join(short.groupBy("id").agg(F.max("error").alias("_error"), F.lit(True).alias("_hit")).hint("merge"), "id", "left")
     hit = F.coalesce("_hit", F.lit(False))
-    values = {"status": F.lit(status), "last_error": F.substring("_error", 1, 500), "attempts": F.coalesce("attempts", F.lit(0)) + 1, "updated_at": now}
+    values = {"status": F.lit(status), "last_error": F.col("_error"), "attempts": F.coalesce("attempts", F.lit(0)) + 1, "updated_at": now}
     return rows.select(*[F.when(hit, values[c]).otherwise(F.col(c)).cast(tasks.schema[c].dataType).alias(c) if c in values else F.col(c) for c in tasks.columns])
 
 

@@ -169,6 +169,14 @@ def test_transitions(spark):
     assert tasks.mark_done(rows, errors, now()).where("id = 'a'").first().done_at == "now"
 
 
+def test_long_errors_stay_off_the_driver(spark):
+    rows = spark.range(40).select(F.col("id").cast("string").alias("id"), F.lit("claimed").alias("status"), F.lit(0).alias("attempts"), F.lit(None).cast("string").alias("last_error"), F.lit("t").alias("updated_at"))
+    errors = spark.range(60).select((F.col("id") % 30).cast("string").alias("id"), F.concat(F.lit("x" * 499), F.when(F.col("id") < 30, "a").otherwise("b"), F.repeat(F.lit("e"), 50_000)).alias("error"))
+    got = tasks.mark_open(rows, errors, "retry", now())
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {int(r.id): r.last_error for r in got.collect()} == {k: "x" * 499 + "b" if k < 30 else None for k in range(40)}
+
+
 def test_statuses_are_zero_filled(spark):
     rows = spark.createDataFrame([("done",), ("odd",), ("done",)], "status string")
     got = {r.status: r.n for r in tasks.status_counts(rows).collect()}
