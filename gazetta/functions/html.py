@@ -49,8 +49,8 @@ class _Text(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.pieces.append((data, self.stack[-1]))
 
-    def text(self, element: int) -> str:
-        return "".join(t.strip() for t, _ in self.pieces[self.elements[element][3] : self.ends[element]])
+    def text(self, element: int, strip: bool = True) -> str:
+        return "".join(t.strip() if strip else t for t, _ in self.pieces[self.elements[element][3] : self.ends[element]])
 
     def after(self, label: str) -> str:
         """The text that follows a label: in its own piece, else in the element around it."""
@@ -106,24 +106,33 @@ def _siblings(html: pd.Series) -> pd.Series:
     return html.map(lambda h: [dict(zip(("href", "name", "status"), r, strict=True)) for r in _Text(h).table(SIBLING_HEADING)])
 
 
-def _outline(html: pd.Series) -> pd.DataFrame:
+def _outlines(html: pd.Series, as_written: bool) -> pd.DataFrame:
     rows = []
     for page in map(_Text, html):
         first = {}
         for k, e in enumerate(page.elements):
             first.setdefault(e[0], k)
-        rows.append({"title": page.text(first["title"]) if "title" in first else "", "h1": page.text(first["h1"]) if "h1" in first else "", "links": [e[2]["href"] for e in page.elements if e[0] == "a" and e[2].get("href")]})
+        title, h1 = (page.text(first[tag], not as_written) if tag in first else "" for tag in ("title", "h1"))
+        rows.append({"title": title, "h1": h1, "links": [e[2]["href"] for e in page.elements if e[0] == "a" and e[2].get("href")]})
     return pd.DataFrame(rows, columns=["title", "h1", "links"])
 
 
+def _outline(html: pd.Series) -> pd.DataFrame:
+    return _outlines(html, as_written=False)
+
+
+def _outline_as_written(html: pd.Series) -> pd.DataFrame:
+    return _outlines(html.map(lambda h: (h or "").replace("&", "&amp;")), as_written=True)  # decoding gives back what the page says
+
+
 # Made when used, since their types need a session.
 def _links_udf(rows: Callable) -> Callable:
     return F.pandas_udf(rows, "array<struct<href:string,name:string,status:string>>")
 
 
-def page_outline(html: str) -> Column:
-    """Title, first heading and link targets of any page."""
-    return F.pandas_udf(_outline, "struct<title:string,h1:string,links:array<string>>")(F.col(html))
+def page_outline(html: str, as_written: bool = False) -> Column:
+    """Title, first heading and link targets of any page; as_written leaves their character references and white space as they stand in it."""
+    return F.pandas_udf(_outline_as_written if as_written else _outline, "struct<title:string,h1:string,links:array<string>>")(F.col(html))
 
 
 def divisions_of(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:

@@ -83,6 +83,21 @@ PAGE = """<ul><li>地区名称：东城区</li><li>区划代码：110101</li><li
 <h3>【下辖行政区划】</h3><table><tr><th>a</th></tr><tr><td><a href="/x/110101001.html">东华门街道</a></td><td>1</td><td>正常</td></tr><tr><td><a href="/x/no.html">no</a></td><td>1</td></tr></table>"""
 
 
+def test_titles_as_written(spark, tmp_path):
+    from gazetta.plans.queries import QUERIES
+
+    titles = ["and&amp;amp; so&amp", "token = &quot;0b", "\u3000\ta&nbsp;&lt; ", ""]
+    pages = [(k, f'<head><title>{t}</title></head><h1> A &amp; B</h1><a href="x?a&amp;b">x</a><a name="n">') for k, t in enumerate(titles)] + [(4, "<p>no title"), (5, None)]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.title, r.n_links) for r in QUERIES["html_links"](spark, str(tmp_path)).collect()}
+    assert got == {0: ("and&amp; so&amp", 1), 1: ("token = &quot;0b", 1), 2: ("\ta&nbsp;&lt;", 1), 3: ("", 1), 4: ("", 0), 5: (None, None)}
+    decoded = df.select(html.page_outline("html").alias("o")).where("o.title like 'token%'").first().o
+    assert (decoded.title, decoded.h1, decoded.links) == ('token = "0b', "A & B", ["x?a&b"])
+    written = df.where("page_id = 0").select(html.page_outline("html", as_written=True).alias("o")).first().o
+    assert (written.title, written.h1, written.links) == (titles[0], " A &amp; B", ["x?a&amp;b"])
+
+
 def test_division_pages(spark):
     pages = spark.createDataFrame([(PAGE, "u"), (None, "v"), ("<p>unclosed", "w")], "html string, url string")
     rows = {r.source_url: r for r in html.divisions_of(pages).collect()}
