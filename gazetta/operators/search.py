@@ -50,58 +50,57 @@ def _portions(keywords: DataFrame, most: int) -> Iterator[list[str]]:
         yield part
 
 
-def _by_automaton(names: DataFrame, keywords: list[str], column: str) -> DataFrame:
-    """Rows of names for each keyword they contain: all keywords are looked for in one walk over each text."""
-    schema = StructType([*names.schema.fields, StructField("keyword", StringType())])
-    arrow, at = to_arrow_schema(schema), names.columns.index(column)
+def _by_automaton(names: DataFrame, keywords: list[str], column: str, keep: Sequence[str]) -> DataFrame:
+    """The kept columns of names for each keyword they contain: one walk over each text finds all keywords, its set of characters those of one character."""
+    schema = StructType([*names.select(*keep).schema.fields, StructField("keyword", StringType())])
+    arrow, n = to_arrow_schema(schema), len(keep)
     shipped = names.sparkSession.sparkContext.broadcast(keywords)  # AUTOMATON_CHARS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
+        single = {keyword: k for k, keyword in enumerate(shipped.value) if len(keyword) == 1}
         for k, keyword in enumerate(shipped.value):
-            automaton.add_word(keyword, k)
+            if len(keyword) > 1:
+                automaton.add_word(keyword, k)
         automaton.make_automaton()
         words = pa.array(shipped.value, pa.string())
         for batch in batches:
             rows: list[int] = []
             found: list[int] = []
-            for i, text in enumerate(batch.column(at)):
-                hits = {k for _, k in automaton.iter(text.as_py() or "")}
+            for i, value in enumerate(batch.column(n)):
+                text = value.as_py() or ""
+                hits = {k for _, k in automaton.iter(text)} if len(automaton) else set()
+                hits.update(single[c] for c in single.keys() & set(text))
                 rows += [i] * len(hits)
                 found += hits
                 if len(rows) >= HITS or i == batch.num_rows - 1:
-                    got = batch.take(pa.array(rows, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([*got.columns, words.take(pa.array(found, pa.int64()))], schema=arrow)
+                    at = pa.array(rows, pa.int64())
+                    yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns[:n]), words.take(pa.array(found, pa.int64()))], schema=arrow)
                     rows, found = [], []
 
-    return names.mapInArrow(run, schema)
+    return names.select(*keep, F.col(column).alias("_text")).mapInArrow(run, schema)
 
 
-def _by_character(names: DataFrame, keywords: DataFrame, column: str) -> DataFrame:
-    """As `_by_automaton` for keywords of one character: each text's distinct characters meet the keywords in a join."""
-    characters = names.select("*", F.explode(F.array_distinct(F.split(F.col(column), ""))).alias("keyword")).where("keyword <> ''")
-    return characters.join(keywords, "keyword", "left_semi")
-
-
-def search_many(names: DataFrame, keywords: DataFrame, mode: str = "contain", column: str = "name", most: int = AUTOMATON_CHARS) -> DataFrame:
+def search_many(names: DataFrame, keywords: DataFrame, mode: str = "contain", column: str = "name", most: int = AUTOMATON_CHARS, keep: Sequence[str] | None = None) -> DataFrame:
     """As `search`, for a table `keywords` (keyword) of any size: rows of names with each keyword that they contain or equal.
 
-    Exact names are a join. For parts of names, keywords of one character are joined with the distinct characters of
-    each name, longer ones make an Aho-Corasick automaton, one for each `most` characters of keywords. Repeated
-    keywords count once, null ones never, the empty one is in every name that is not null; a null name matches nothing.
+    Exact names are a join. For parts of names, keywords make an Aho-Corasick automaton, one for each `most` characters
+    of keywords; those of one character are looked up in the set of a name's characters. Repeated keywords count once,
+    null ones never, the empty one is in every name that is not null; a null name matches nothing. `keep` names the
+    columns of names to return (all by default): leave long texts out, since each hit has a copy of what is kept.
     """
+    keep = names.columns if keep is None else list(keep)
     known = cut(keywords.select("keyword").where("keyword is not null").distinct())
     if mode == "exact":
-        return names.join(known, F.col(column) == F.col("keyword"))
+        return names.join(known, F.col(column) == F.col("keyword")).select(*keep, "keyword")
     if mode != "contain":
         raise ValueError(f"unknown match mode: {mode}")
-    length = F.char_length("keyword")
-    parts = [_by_character(names, known.where(length == 1), column).select(*names.columns, "keyword")]
-    if not known.where(length == 0).isEmpty():
-        parts.append(names.where(F.col(column).isNotNull()).withColumn("keyword", F.lit("")))
-    parts += [_by_automaton(names, portion, column) for portion in _portions(known.where(length > 1), most)]
+    parts = [_by_automaton(names, portion, column, keep) for portion in _portions(known.where("keyword <> ''"), most)]
+    empty = not known.where("keyword = ''").isEmpty()
+    if empty or not parts:
+        parts.append(names.where(F.col(column).isNotNull() & F.lit(empty)).select(*keep, F.lit("").alias("keyword")))
     return reduce(DataFrame.unionByName, parts)
 
 

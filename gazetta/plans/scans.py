@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.operators import hierarchy, scan, search, tasks, upsert
+from gazetta.operators.lineage import cut
 from gazetta.plans.logs import _DAYS
 from gazetta.plans.registry import query, table
 from gazetta.plans.storage import _detail_rows
@@ -73,8 +74,8 @@ def keyword_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In how many part names and texts each of the 5,000 most frequent words stands, as a part of words too."""
     documents, part = table(spark, sf_dir, "documents"), table(spark, sf_dir, "part")
     words = documents.select(F.explode(F.split("text", " ")).alias("keyword")).where("keyword <> ''")
-    keywords = words.groupBy("keyword").count().orderBy(F.desc("count"), "keyword").limit(5000)
-    found = [search.search_many(names.withColumn("table", F.lit(name)), keywords, column="name").groupBy("table", "keyword").agg(F.count("*").alias("n")) for name, names in (("part", part.select(F.col("p_name").alias("name"))), ("documents", documents.select(F.col("text").alias("name"))))]
+    keywords = cut(words.groupBy("keyword").count().orderBy(F.desc("count"), "keyword").limit(5000).select("keyword"))  # both tables are searched for them
+    found = [search.search_many(names.withColumn("table", F.lit(name)), keywords, column="name", keep=["table"]).groupBy("table", "keyword").agg(F.count("*").alias("n")) for name, names in (("part", part.select(F.col("p_name").alias("name"))), ("documents", documents.select(F.col("text").alias("name"))))]
     return found[0].unionByName(found[1])
 
 

@@ -34,6 +34,25 @@ def test_many_keywords_match_brute_force(spark, most):
         search.search_many(df, df.select(F.col("name").alias("keyword")), "fuzzy")
 
 
+@pytest.mark.parametrize("mode", ["contain", "exact"])
+def test_hits_carry_no_text_that_is_not_kept(spark, mode):
+    df = spark.createDataFrame([(1, "ab c", "t"), (2, "c", "t"), (3, None, "u")], "n long, name string, table string")
+    words = spark.createDataFrame([("ab",), ("c",), ("",), ("b c",)], "keyword string")
+    got = search.search_many(df, words, mode, keep=["table", "n"])
+    want = {"contain": [("t", 1, ""), ("t", 1, "ab"), ("t", 1, "b c"), ("t", 1, "c"), ("t", 2, ""), ("t", 2, "c")], "exact": [("t", 2, "c")]}
+    assert got.columns == ["table", "n", "keyword"] and sorted(map(tuple, got.collect())) == want[mode]
+    assert sorted(r.keyword for r in search.search_many(df, words, mode, keep=[]).collect()) == sorted(k for _, _, k in want[mode])
+
+
+def test_many_keywords_hold_no_texts(spark, sf001):
+    """Counting hits must not copy a text for each: only tables and keywords leave the automaton."""
+    from gazetta.plans.queries import QUERIES
+
+    plan = QUERIES["keyword_many"](spark, sf001)._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(made) == 2 and not any("name" in line.split("[")[-1].split("]")[0] for line in made), made
+
+
 def test_keywords_beyond_the_plan_of_one_condition(spark, sf001):
     part = spark.read.parquet(f"{sf001}/part.parquet").select("p_partkey", F.col("p_name").alias("name"))
     words = ["ring", "r", "small ring", "hot"]
