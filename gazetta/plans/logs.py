@@ -95,18 +95,18 @@ SELECT id, worker, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS claimed_at FROM n
 WHERE kind = 'claimed' AND (following > ts + INTERVAL 2 DAY OR following IS NULL AND ts + INTERVAL 2 DAY < (SELECT max(ts) FROM events))
 """)
 def claims_timed_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claims in a stream of the events that nothing followed within two days, by state and timers."""
+    """Claims in a stream of the events that nothing followed within two days, by sessions in state."""
     kind = F.create_map(*[F.lit(x) for pair in _KIND.items() for x in pair])
     source, out, mark = scratch(spark, "events"), scratch(spark, "released"), scratch(spark, "mark")
     table(spark, sf_dir, "events").select(
         F.concat_ws("-", F.col("user_id").cast("string"), F.col("event_id") % 40).alias("id"), F.element_at(kind, F.col("event_type")).alias("kind"), F.concat(F.lit("w"), F.length("props")).alias("worker"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("step"),
     ).write.parquet(source)
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, claims.PROVIDER)
     try:
-        rows = claims.timed_out(spark.readStream.schema("id string, kind string, worker string, ts timestamp").parquet(source), 2 * 24 * 60)
+        rows = claims.timed_out(spark.readStream.schema("id string, kind string, worker string, ts timestamp, step long").parquet(source), 2 * 24 * 60, order=["step"])
         control.await_within(rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start(), 600)
     finally:
         spark.conf.unset(provider) if before is None else spark.conf.set(provider, before)

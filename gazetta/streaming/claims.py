@@ -2,72 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-#: The state store that transformWithState needs.
+#: The state store that keeps open sessions on disk.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 RELEASED = "id string, worker string, claimed_at timestamp, released_at timestamp"
 
 
-def _row(key: tuple, worker: str | None, at: int, until: int) -> pd.DataFrame:
-    return pd.DataFrame({"id": [key[0]], "worker": [worker], "claimed_at": [pd.Timestamp(at, unit="us")], "released_at": [pd.Timestamp(until, unit="us")]})
-
-
-class _Claims(StatefulProcessor):
-    """Holds the open claim of each task (worker, when) and the time of its last event; a timer stands at the claim's end."""
-
-    def __init__(self, timeout_ms: int) -> None:
-        self.timeout_ms = timeout_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "worker string, at long")
-        self.last = handle.getValueState("last", "at long")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        seen = self.last.get()[0] if self.last.exists() else -(1 << 62)
-        worker, at = self.open.get() if self.open.exists() else (None, None)
-        before = at
-        got = pd.concat(rows).sort_values(["at", "kind"], kind="stable")
-        for kind, who, now in zip(got["kind"], got["worker"], got["at"], strict=True):
-            if now < seen:  # an event that comes after a later one of its task
-                continue
-            if at is not None and now > at + 1000 * self.timeout_ms:
-                yield _row(key, worker, at, at + 1000 * self.timeout_ms)
-            worker, at = (who, now) if kind == "claimed" else (None, None)
-            seen = now
-        self.last.update((int(seen),))
-        if at == before:
-            return
-        if before is not None:
-            self.handle.deleteTimer(before // 1000 + self.timeout_ms)
-        if at is None:
-            self.open.clear()
-        else:
-            self.open.update((worker, int(at)))
-            self.handle.registerTimer(int(at) // 1000 + self.timeout_ms)
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if self.open.exists():
-            worker, at = self.open.get()
-            self.open.clear()
-            yield _row(key, worker, at, at + 1000 * self.timeout_ms)
-
-    def close(self) -> None: ...
-
-
-def timed_out(events: DataFrame, timeout_minutes: int = 30, delay: str = "0 seconds") -> DataFrame:
+def timed_out(events: DataFrame, timeout_minutes: int = 30, delay: str = "0 seconds", order: Sequence[str] = ()) -> DataFrame:
     """(id, worker, claimed_at, released_at) of claims in a stream of events (id, kind, worker, ts) that no later event of their task followed in time.
 
-    Time is that of the events: a claim without a later event is released when the watermark, `delay` behind the latest event, passes
-    its end. Any event of a task ends its claim; of several at one time they count in the order of their kind. An event that arrives
-    after a later one of its task is passed over. Events without an id or a time are left out. Needs the state store PROVIDER.
+    Time is that of the events. Events of a task no more than the timeout apart are a session; its state is its last event, and it
+    ends when the watermark, `delay` behind the latest event, passes the timeout after that. A session that ends with a claim is a
+    claim timed out. Any event of a task ends its claim; of several at one time they count in the order of their kind (null last),
+    then of the columns `order`, then of the worker. Events that arrive out of order count at their own time, those behind the
+    watermark are left out, and so are events without an id or a time. Watermarks are in milliseconds. For many tasks set PROVIDER.
     """
     rows = events.where("id is not null and ts is not null").withWatermark("ts", delay)
-    rows = rows.select("id", "kind", "worker", F.unix_micros("ts").alias("at"), "ts")
-    return rows.groupBy("id").transformWithStateInPandas(statefulProcessor=_Claims(timeout_minutes * 60_000), outputStructType=RELEASED, outputMode="Append", timeMode="EventTime")
+    last = F.max_by(F.struct("kind", "worker", "ts"), F.struct("ts", F.col("kind").isNull(), "kind", *order, "worker"))
+    ended = rows.groupBy("id", F.session_window("ts", f"{int(timeout_minutes)} minutes").alias("_s")).agg(last.alias("_last"))
+    return ended.where("_last.kind = 'claimed'").select("id", F.col("_last.worker").alias("worker"), F.col("_last.ts").alias("claimed_at"), F.col("_s.end").alias("released_at"))

@@ -183,3 +183,31 @@ def test_claims_are_released_by_timers_and_by_later_events(spark, tmp_path):
     spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     got = sorted((r.id, r.worker, int(r.claimed_at.timestamp() - 1_700_000_000) // 60, int(r.released_at.timestamp() - 1_700_000_000) // 60) for r in spark.read.schema(claims.RELEASED).parquet(out).collect())
     assert got == [("a", "w1", 0, 30), ("b", "w1", 0, 30), ("b", "w3", 40, 70)]
+
+
+def test_claims_count_at_their_own_time_however_events_arrive(spark, tmp_path):
+    """Brute force over all events in their order; each turn brings some that are older than what came before."""
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", claims.PROVIDER)
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    rng, kinds = random.Random(6), ["claimed", "claimed", "done", "retry", None]
+    rows = [(f"t{rng.randrange(40)}", rng.choice(kinds), f"w{rng.randrange(3)}", 10 * rng.randrange(60), n) for n in range(300)]
+    rows += [("edge", "claimed", "w0", 0, 1000), ("edge", "claimed", "w1", 30, 1001), ("tie", "claimed", "w9", 50, 1002), ("tie", "claimed", "w1", 50, 1003), ("end", "done", None, 2000, 1004)]
+    schema = "id string, kind string, worker string, ts timestamp, step long"
+    for turn in range(2):
+        part = [r for r in rows if (r[4] % 2 == turn if r[0] != "end" else turn == 1)]
+        spark.createDataFrame(part, "id string, kind string, worker string, m int, step long").select("id", "kind", "worker", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("m") * 60).alias("ts"), "step").write.mode("append").parquet(source)
+        stream = claims.timed_out(spark.readStream.schema(schema).parquet(source), 30, "2 days" if turn == 0 else "0 seconds", order=["step"])
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
+        control.await_within(query, 200)
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass") if before is None else spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    tasks_of = defaultdict(list)
+    for i, kind, worker, m, step in rows:
+        tasks_of[i].append((m, kind is None, kind or "", step, worker))
+    want = []
+    for i, events in tasks_of.items():
+        events.sort()
+        ends = [e[0] for e in events[1:]] + [None]
+        want += [(i, e[4], e[0]) for e, after in zip(events, ends, strict=True) if e[2] == "claimed" and (after is None or after > e[0] + 30)]
+    got = [(r.id, r.worker, int(r.claimed_at.timestamp() - 1_700_000_000) // 60) for r in spark.read.schema(claims.RELEASED).parquet(out).collect()]
+    assert sorted(got) == sorted(want) and ("edge", "w1", 30) in got and ("tie", "w1", 50) in got and len(got) > 40
